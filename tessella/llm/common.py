@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from tessella.session import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +41,21 @@ def bounded(df: DataFrame, bytes_per_row: int, bound_mb: int) -> DataFrame:
     return F.broadcast(df) if df.count() * bytes_per_row <= bound_mb << 20 else df
 
 
+def arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def batch_of(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
+    """A record batch of arrays, lists or numpy arrays by name."""
+    return pa.RecordBatch.from_arrays([x.cast(f.type) if isinstance(x := columns[f.name], pa.Array) else pa.array(x, f.type) for f in schema], schema=schema)
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return to_arrow_schema(schema)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tessella.llm import exact, mixing, shards
+from tessella.llm import decontamination, exact, language, mixing, quality, shards
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_language_id": language.op2_language_id,
     "op3_shuffle_shards": shards.op3_shuffle_shards,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op9_exact_dedup": exact.op9_exact_dedup,
+    "op10_quality": quality.op10_quality,
 }
 SQL = {"op9_exact_dedup": exact.OP9_SQL}
