@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tessella.llm import decontamination, exact, language, mixing, quality, shards
+from tessella.llm import decontamination, exact, html_text, language, mixing, quality, secrets, shards
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_language_id": language.op2_language_id,
     "op3_shuffle_shards": shards.op3_shuffle_shards,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_html_extraction": html_text.op7_html_extraction,
+    "op8_secret_scan": secrets.op8_secret_scan,
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_quality": quality.op10_quality,
 }
