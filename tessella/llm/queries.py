@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessella.llm import decontamination, exact, html_text, language, mixing, quality, secrets, shards, substrings
+from tessella.llm import decontamination, exact, html_text, language, mixing, near, quality, secrets, shards, substrings
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_language_id": language.op2_language_id,
     "op3_shuffle_shards": shards.op3_shuffle_shards,
+    "op4_jaccard_join": near.op4_jaccard_join,
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_html_extraction": html_text.op7_html_extraction,
