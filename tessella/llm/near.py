@@ -448,10 +448,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     again = sets.verify(sets.prefix_pairs(open_sets))
     bridges = rooted(rooted(again.filter("linked"), "x", "u"), "p", "v").select("u", "v")
     tops = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    final = roots.join(tops, "root", "left").select(F.col("node").alias("fp"), F.coalesce("top", "root").alias("top"))
 
-    named = _named(docs, id_col, text_col, rows)
-    named = cut(named.join(final, "fp", "left").withColumn("top", F.coalesce("top", "fp")), "near-named")
+    named = rooted(_named(docs, id_col, text_col, rows), "fp", "root").join(tops, "root", "left").withColumn("top", F.coalesce("top", "root"))
+    named = cut(named.select("id", "key", "n", "top"), "near-named")
     least = cut(named.filter("n > 0").groupBy("top").agg(F.min("id").alias("least")), "near-least")
     full = named.filter("n > 0").join(least, "top").select("id", "key", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
     return full.union(named.filter("n = 0").select("id", "key", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
