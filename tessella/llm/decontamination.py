@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, slices, table, utf8
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, slices, table, utf8
 from tessella.llm.words import ALNUM_LOWERED, grams, inside, words
 
 FILTER_BITS = 22
@@ -183,13 +183,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, item_id: str = "item_id", i
     Returns ``carry`` with n_words, n_hit, longest (words of the longest stretch of hits), items (ids as strings),
     contaminated (hits, and at least ``percent`` in a hundred words hit) and, if ``clean``, clean_text: the text without
     its hit stretches where contaminated, else as it was. Null and empty texts have no words and are clean; items
-    without words match nothing; repeated items count by id. No items, or no documents, gives no hits. ``carry`` may
-    not hold names that begin with an underscore or names of the results.
+    without words match nothing; repeated items count by id. No items, or no documents, gives no hits. A carried column
+    with the name of a result gives way to it.
 
     The items are the stated query set. They go out in blocks of at most about ``block_mb`` of text, one pass over the
     documents a block, so that an automaton's size is bounded whatever the number of items; documents are never shuffled.
     """
-    carry = list(carry if carry is not None else [c for c in docs.columns if c != text_col])
+    carry = carried(docs, carry, text_col, ("n_words", "n_hit", "longest", "items", "contaminated", "clean_text"))
     items = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).filter("id IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // (block_mb << 20)))

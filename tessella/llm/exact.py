@@ -30,7 +30,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     count as possibly repeated. Counting, choosing and the shuffle before them all combine on the map side, so a text
     that a third of all rows share costs one row a task.
     """
-    carry = [id_col] if carry is None else carry
+    carry = [c for c in ([id_col] if carry is None else carry) if c not in ("keep_id", "group_size", "kept", "text_sha256")]
     text = text_or_empty(text_col)
     rows = cut(docs.select(*carry, F.col(id_col).alias("_id"), F.unhex(F.sha2(normalised(text), 256)).alias("_sha"), F.length(text).alias("_n"), F.monotonically_increasing_id().alias("_row")), "exact-rows")
     words = max(1, rows.count() * bits_per_row // 64)
@@ -48,7 +48,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         hit = F.coalesce(F.col("_set").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
         unique, maybe = probed.filter(~hit), probed.filter(hit)
     out = [*carry, "keep_id", "group_size", "kept", F.lower(F.hex("_sha")).alias("text_sha256")]
-    best = maybe.groupBy("_sha").agg(F.count("*").alias("group_size"), F.min(F.struct((-F.col("_n")).alias("n"), F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("_best"))
+    # Written, so that the join below shuffles both sides for itself and Spark may split a text that many rows share.
+    best = cut(maybe.groupBy("_sha").agg(F.count("*").alias("group_size"), F.min(F.struct((-F.col("_n")).alias("n"), F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("_best")), "exact-best")
     repeated = maybe.join(best, "_sha").withColumns({"keep_id": F.col("_best.id"), "kept": F.col("_best.row") == F.col("_row")}).select(*out)
     if unique is None:
         return repeated

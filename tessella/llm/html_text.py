@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, cut, slices, table
+from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, carried, cut, slices, table
 
 #: Elements of the HTML standard by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -200,7 +200,7 @@ def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     a newline. Null and empty pages give an empty text, and pages without a readable url share one host. Repeated rows each get a row; an
     empty table gives none. Pages are not shuffled if the hosts' lists are few enough to broadcast (counted against 64 MB), else by host.
     """
-    carry = list(carry if carry is not None else [c for c in pages.columns if c != html_col])
+    carry = carried(pages, carry, html_col, ("main_text",))
     sited = pages.select(host(F.col(url_col)).alias("_host"), F.col(html_col).alias("html"))
     totals = sited.groupBy("_host").agg(F.count("*").alias("_pages")).filter(F.col("_pages") >= least_pages)
     counts = arrow(sited, _hashes, "_host string, _hash bigint, _n bigint").groupBy("_host", "_hash").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= least_pages)

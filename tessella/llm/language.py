@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, slices, table, utf8
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, hash_sample, slices, table, utf8
 from tessella.llm.words import mixed
 
 BUCKET_BITS = 16
@@ -144,8 +144,8 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 6, rate: float
 
 def learned(docs: DataFrame, rows: Column, id_col: str, text_col: str, lang_col: str, per_lang: int, most_bytes: int) -> list[tuple[str, str]]:
     """A bounded sample to learn from: of each language the ``per_lang`` rows with the least hash of the id, of at most ``most_bytes`` of text each."""
-    named = docs.filter(rows & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, lang_col, F.xxhash64(id_col).alias("_h"))
-    chosen = named.withColumn("_r", F.expr(f"row_number() OVER (PARTITION BY {lang_col} ORDER BY _h, {id_col})")).filter(F.col("_r") <= per_lang).select(id_col)
+    named = docs.filter(rows & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
+    chosen = hash_sample(named, lang_col, id_col, per_lang).select(id_col)
     texts = docs.join(F.broadcast(chosen.distinct()), id_col, "left_semi").filter(rows & F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= most_bytes))
     return [(t, lang) for _, t, lang in sorted((str(r[0]), r[1], r[2]) for r in texts.select(id_col, text_col, lang_col).collect())]
 
@@ -177,10 +177,10 @@ def identify(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id
     language with at most ``most_bytes`` of text each. Only text and language are used, the language only to learn.
     Returns ``carry`` with lang_pred, score (calibrated, 0 to 1) and rejected (below the calibrated threshold). Null texts
     and texts without a letter are ``und`` with score 0 and rejected; so are all texts if nothing could be learned.
-    Repeated rows each get a row, an empty table gives none; ``carry`` may not hold names of the results. No row is
+    Repeated rows each get a row, an empty table gives none; a carried column with the name of a result gives way to it. No row is
     shuffled; a text is read in pieces, so its length does not matter.
     """
-    carry = list(carry if carry is not None else [c for c in docs.columns if c != text_col])
+    carry = carried(docs, carry, text_col, ("lang_pred", "score", "rejected"))
     model = fit(learned(docs, F.lit(True) if learn is None else learn, id_col, text_col, lang_col, per_lang, most_bytes))
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     return arrow(docs.select(*dict.fromkeys([*carry, text_col])), _predict(model, text_col, carry, arrow_schema(schema)), schema)

@@ -76,7 +76,7 @@ def draw(plan: DataFrame, shards: int, seed: int) -> DataFrame:
     return counts.filter("taken > 0").select(F.col("place").cast("bigint").alias("place"), "shard", F.col("before").alias("first"), "taken").union(moved)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 128, shards: int = 64, rows_per_bucket: int = 20_000, seed: int = 29) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 128, shards: int = 64, rows_per_bucket: int = 4_000, seed: int = 29, row_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Mix the sources of ``docs`` to their targets; returns (sized, pieces, slots).
 
     sized: _row, id, source, size, place, source_size, target of every row. pieces: the stretches of words (_row,
@@ -90,7 +90,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows is spread like any other.
     """
     text = text_or_empty(text_col)
-    sized = cut(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"), F.xxhash64(F.col(id_col), text).alias("hash")), "mix-sized")
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    sized = cut(docs.select(row.alias("_row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"), F.xxhash64(F.col(id_col), text).alias("hash")), "mix-sized")
     buckets = max(1, -(-sized.count() // rows_per_bucket))
     plan = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-targets")
     plan = plan.withColumn("blocks", F.expr(f"(source_size + {block_words - 1}) div {block_words}"))
@@ -122,6 +123,27 @@ def taken_words(sized: DataFrame, pieces: DataFrame, slots: DataFrame) -> DataFr
     return sized.join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", chars_col: str | None = "n_chars", **options: int) -> DataFrame:
+    """The mix as documents: copy c of a row holds those of its blocks' stretches that the mix takes at least c times.
+
+    A copy of all stretches keeps its text as it was; otherwise its words are joined by single blanks. Rows that the mix does not take, and those
+    without words, are left out. Returns the columns of ``docs``, ``chars_col`` (if there is one) counted again.
+    """
+    names = docs.columns
+    base = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    _, pieces, slots = mix(base, id_col, text_col, source_col, row_col="_row", **options)
+    times = slots.groupBy("place", "block").agg(F.count("*").cast("int").alias("times"))
+    taken = pieces.join(times, ["place", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    taken = taken.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("first_word", "words", "times"))).alias("_pieces"), F.max("times").alias("_most"), F.min("times").alias("_least")).filter("_most > 0")
+    copies = base.join(taken, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_most"))))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
+    part = F.expr("flatten(transform(filter(_pieces, p -> p.times >= _copy), p -> slice(_words, int(p.first_word) + 1, int(p.words))))")
+    copies = copies.withColumn("_words", F.when(F.col("_copy") > F.col("_least"), words)).withColumn(text_col, F.when(F.col("_copy") <= F.col("_least"), F.col(text_col)).otherwise(F.array_join(part, " ")))
+    if chars_col in names:
+        copies = copies.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
+    return copies.select(*names)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = taken_words(*mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

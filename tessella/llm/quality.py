@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, slices, table, utf8
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, hash_sample, slices, table, utf8
 from tessella.llm.language import fold
 
 LEVEL, BLOCK = 3, 4096
@@ -80,8 +80,8 @@ def fit(rows: list[tuple[str, int]], dictionary_bytes: int = 1 << 18, stretch: i
 
 def learned(docs: DataFrame, labels: DataFrame, rows: Column, id_col: str, text_col: str, label_col: str, per_label: int, most_bytes: int) -> list[tuple[str, int]]:
     """A bounded sample: of each label the ``per_label`` ids with the least hash, of at most ``most_bytes`` of text each."""
-    named = labels.filter(rows & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("_y"), F.max(label_col).alias("_z")).filter("_y = _z").withColumn("_h", F.xxhash64(id_col))
-    chosen = named.withColumn("_r", F.expr(f"row_number() OVER (PARTITION BY _y ORDER BY _h, {id_col})")).filter(F.col("_r") <= per_label).select(id_col, "_y")
+    named = labels.filter(rows & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("_y"), F.max(label_col).alias("_z")).filter("_y = _z")
+    chosen = hash_sample(named, "_y", id_col, per_label)
     texts = docs.select(id_col, text_col).filter(F.octet_length(text_col) <= most_bytes).join(F.broadcast(chosen), id_col)
     return [(t, y) for _, _, t, y in sorted((hash_, str(i), t, y) for hash_, i, t, y in texts.select(F.xxhash64(id_col), id_col, text_col, "_y").collect())]
 
@@ -105,10 +105,10 @@ def quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_
     Learns on the driver from a bounded sample of the labelled rows that ``learn`` allows: at most ``per_label`` of each
     label with at most ``most_bytes`` of text; ids with both labels are left out. Returns ``carry`` with difference, score
     (calibrated, 0 to 1, higher: better) and predicted. Null and empty texts have difference 0 and its score; without labels of both
-    kinds every score is 0.5. Repeated rows each get a row, an empty table gives none; ``carry`` may not hold names of the results.
+    kinds every score is 0.5. Repeated rows each get a row, an empty table gives none; a carried column with the name of a result gives way to it.
     Documents are not shuffled.
     """
-    carry = list(carry if carry is not None else [c for c in docs.columns if c != text_col])
+    carry = carried(docs, carry, text_col, ("difference", "score", "predicted"))
     model = fit(learned(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col, label_col, per_label, most_bytes))
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("difference", T.DoubleType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return arrow(docs.select(*dict.fromkeys([*carry, text_col])), _score(model, text_col, carry, arrow_schema(schema), threshold), schema)

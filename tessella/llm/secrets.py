@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, slices, table, utf8
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, hash_sample, slices, table, utf8
 
 ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
 ACCESS, HEX = re.compile(rb"AKIA[A-Z0-9]{16,}"), re.compile(rb"[0-9a-f]{24,}")
@@ -234,11 +234,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a digit, those with the least hash of the id, labelled by the patterns. Tokens that are short or without a digit can only be outside, so decoding
     runs on the chains of the others and is exact. Returns ``carry`` with n_assign, n_access, n_hex, base_sha256 and
     spans (``kind:start:end`` in code points, the field's as ``crf``). Null and empty texts have no spans; repeated rows each get a
-    row, an empty table gives none; ``carry`` may not hold names of the results. Documents are not shuffled.
+    row, an empty table gives none; a carried column with the name of a result gives way to it. Documents are not shuffled.
     """
-    carry = list(carry if carry is not None else [c for c in docs.columns if c != text_col])
-    chosen = docs.filter(F.col(text_col).rlike("[0-9]{2}") & (F.octet_length(text_col) <= most_bytes)).select(id_col, F.xxhash64(id_col).alias("_h")).orderBy("_h", id_col).limit(learn_rows)
-    sample = docs.filter(F.octet_length(text_col) <= most_bytes).join(F.broadcast(chosen.select(id_col).distinct()), id_col, "left_semi")
+    carry = carried(docs, carry, text_col, ("n_assign", "n_access", "n_hex", "base_sha256", "spans"))
+    numbered = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).rlike("[0-9]{2}") & (F.octet_length(text_col) <= most_bytes)).withColumn("_all", F.lit(0))
+    chosen = hash_sample(numbered, "_all", id_col, learn_rows)
+    sample = docs.filter(F.octet_length(text_col) <= most_bytes).join(F.broadcast(chosen), id_col, "left_semi")
     field = fit([r[1] for r in sorted((str(r[0]), r[1]) for r in sample.select(id_col, text_col).collect())])
     schema = T.StructType([*(docs.schema[c] for c in carry), *(T.StructField(c, T.LongType()) for c in ("n_assign", "n_access", "n_hex")), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
     return arrow(docs.select(*dict.fromkeys([*carry, text_col])), _scan(field, text_col, carry, arrow_schema(schema)), schema)

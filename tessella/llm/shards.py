@@ -21,7 +21,7 @@ def shuffle_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
     checksum of no bytes, 0. A table without rows gives no rows. Returns ``carry`` (the id by default) with size,
     text_crc32, law, shard, slot and grown_shard; other columns are not read.
     """
-    carry = [id_col] if carry is None else carry
+    carry = [c for c in ([id_col] if carry is None else carry) if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
     text = text_or_empty(text_col)
     rows = docs.select(F.struct(*carry).alias("_row"), F.octet_length(text).cast("bigint").alias("_bytes"), F.crc32(text.cast("binary")).alias("_crc"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("_hash"))
     if text_col not in carry:
