@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,9 +43,23 @@ def bounded(df: DataFrame, bytes_per_row: int, bound_mb: int) -> DataFrame:
 
 
 def arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors."""
+    """``df.mapInArrow`` with this package at hand on the executors, and with workers that give memory back."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return_memory()
+        yield from function(batches)
+
+    return df.mapInArrow(lean, schema)
+
+
+def return_memory() -> None:
+    """Have arrays of a megabyte or more mapped for themselves, so that a long-lived worker does not keep what it once used."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)
+    except (AttributeError, OSError):  # not glibc
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
 
 
 def batch_of(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
@@ -56,6 +71,24 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def carried(docs: DataFrame, carry: list[str] | None, text_col: str, results: tuple[str, ...]) -> list[str]:
+    """The columns that go along with an operator's results: all but the text if not told. A name of a result, or one with a leading underscore, stands for the result alone."""
+    names = [c for c in docs.columns if c != text_col] if carry is None else carry
+    return [c for c in dict.fromkeys(names) if c not in results and not c.startswith("_")]
+
+
+def hash_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int) -> DataFrame:
+    """Of each ``kind`` the ``per_kind`` rows with the least hash of the id, repeated ids once.
+
+    Kinds are counted first, and a cut through the hashes leaves a few times ``per_kind`` of each to rank, however many rows there are.
+    """
+    rows = rows.select(id_col, kind, F.xxhash64(id_col).alias("_h")).distinct()
+    counts = rows.groupBy(F.col(kind).alias("_kind")).agg(F.count("*").alias("_n"))
+    share = F.least(F.lit(1.0), (4 * per_kind + 64) / F.col("_n"))
+    near = rows.join(counts, F.col(kind) == F.col("_kind")).filter(F.pmod("_h", F.lit(1 << 40)) < share * (1 << 40))
+    return near.withColumn("_r", F.expr(f"row_number() OVER (PARTITION BY {kind} ORDER BY pmod(_h, {1 << 40}), _h, {id_col})")).filter(F.col("_r") <= per_kind).select(id_col, kind)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -172,7 +172,7 @@ FOUND = "key bigint, n bigint, fp bigint, x bigint, p bigint, shared bigint, man
 
 def _index(k: int, percent: int, parts: int, schema: pa.Schema) -> Callable:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 16 << 20):
+        for batch in slices(batches, "_text", 4 << 20):
             keys = batch.column("_key").to_numpy(zero_copy_only=False)
             _, h, n = shingles(*utf8(batch.column("_text")), k)
             fp = fingerprints(h, n)
@@ -256,7 +256,7 @@ def _compare(k: int, percent: int, schema: pa.Schema) -> Callable:
 
 def _sets(k: int, carry: list[str], schema: pa.Schema) -> Callable:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 8 << 20):
+        for batch in slices(batches, "_text", 4 << 20):
             _, h, n = shingles(*utf8(batch.column("_text")), k)
             edges = np.concatenate([[0], np.cumsum(n)])
             yield batch_of(schema, {c: batch.column(c) for c in carry} | {"_set": [short(np.sort(h[a:b])) for a, b in zip(edges, edges[1:], strict=False)]})
@@ -277,7 +277,14 @@ class Texts:
         schema = T.StructType([T.StructField("_fp", T.LongType()), T.StructField("_set", T.BinaryType())])
         found = self.texts.join(near, "_key").select("_fp", "_text")
         sets = arrow(found, _sets(self.k, ["_fp"], arrow_schema(schema)), schema)
-        return sets.join(wanted, "_fp").select("_fp", *carry, "_set")
+        return sets.join(bounded(wanted, 64, self.bound_mb), "_fp").select("_fp", *carry, "_set")
+
+    def shared(self, docs: DataFrame) -> DataFrame:
+        """(_fp, n, r) of ``docs`` (_fp, _root): how many of each set's n shingles any other set of ``docs`` has too."""
+        width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sent, counted = T._parse_datatype_string("part bigint, blob binary"), T._parse_datatype_string("_fp bigint, n bigint, c bigint")
+        listed = arrow(self.of(docs, {"_root": T.LongType()}), _spread(width, arrow_schema(sent)), sent).repartition(width, "part").sortWithinPartitions("part")
+        return arrow(listed, _shared(arrow_schema(counted)), counted).groupBy("_fp").agg(F.max("n").alias("n"), F.sum("c").alias("r"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """(x, p, linked) of pairs (x, p), each compared with p's whole set; a pivot of many is sent to several tasks."""
@@ -303,6 +310,50 @@ class Texts:
         return arrow(prefix, _partners(self.percent, arrow_schema(s4)), s4).distinct()
 
 
+def _spread(parts: int, schema: pa.Schema) -> Callable:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shingles by part of their hash, packed by set."""
+        for batch in batches:
+            fp = batch.column("_fp").to_numpy(zero_copy_only=False)
+            raw = batch.column("_set").to_pylist()
+            n = np.array([len(b) // SHORT for b in raw], np.int64)
+            h = long(b"".join(raw), int(n.sum()))
+            owner = np.repeat(np.arange(len(n)), n)
+
+            def pack(i: np.ndarray, h: np.ndarray = h, owner: np.ndarray = owner, fp: np.ndarray = fp, n: np.ndarray = n) -> bytes:
+                sets, per = np.unique(owner[i], return_counts=True)
+                return b"".join([np.array([len(sets)], "<i8").tobytes(), fp[sets].astype("<i8").tobytes(), n[sets].astype("<u4").tobytes(), per.astype("<u4").tobytes(), short(h[i] << np.uint64(64 - 8 * SHORT))])
+
+            filled, blobs = by_part(mixed(h), parts, pack)
+            yield batch_of(schema, {"part": filled, "blob": blobs})
+
+    return spread
+
+
+def _shared(schema: pa.Schema) -> Callable:
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs, _ in each_part(batches):
+            fps, ns, pers, hs = [], [], [], []
+            for b in blobs:
+                m = int(np.frombuffer(b, "<i8", 1)[0])
+                fps.append(np.frombuffer(b, "<i8", m, 8))
+                ns.append(np.frombuffer(b, "<u4", m, 8 + 8 * m))
+                pers.append(np.frombuffer(b, "<u4", m, 8 + 12 * m))
+                hs.append(long(b, int(pers[-1].sum(dtype=np.int64)), 8 + 16 * m))
+            fp, n, per, h = map(np.concatenate, (fps, ns, pers, hs))
+            order = np.argsort(h, kind="stable")
+            s = h[order]
+            twin = np.zeros(len(s) + 1, bool)
+            twin[1:-1] = s[1:] == s[:-1]
+            flag = np.zeros(len(s), np.int64)
+            flag[order] = twin[1:] | twin[:-1]
+            total = np.concatenate([[0], np.cumsum(flag)])
+            edges = np.concatenate([[0], np.cumsum(per, dtype=np.int64)])
+            yield batch_of(schema, {"_fp": fp, "n": n.astype(np.int64), "c": total[edges[1:]] - total[edges[:-1]]})
+
+    return shared
+
+
 def _scatter(parts: int, schema: pa.Schema) -> Callable:
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -410,18 +461,18 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", bound_mb: int = 32) -> DataFrame:
-    """(id, key, n_shingles, component_id) of every row: its component under links of Jaccard similarity ``percent`` or more.
+    """(id, key, n_shingles, component_id, stays) of every row: its component under links of Jaccard similarity ``percent`` or more.
 
     A row's set: its distinct shingles of ``k`` words, A-Z in lower case; with fewer words the whole sequence as one; null and
     empty texts and texts of blanks have none and link with nothing, so that each is its own component. component_id is the smallest id in the
-    component. Equal sets, repeated rows among them, are one class from the start and travel once a batch. ``key`` is ``row_key`` of the row. Rows with a null id
+    component. Equal sets, repeated rows among them, are one class from the start and travel once a batch. ``key`` is ``row_key`` of the row; ``stays`` marks the rows of one key in each component. Rows with a null id
     take part; a component of such rows alone has a null component_id. An empty table gives none. Only the two columns named are read.
 
     1. Each set is cut into segments by the hash of its shingles, as many as its size band needs by ``allocation``; signatures of the segments (and of
        their one-deletion neighbours) meet by hash. A bucket gives only the pairs of each member with its least member.
     2. Each set is compared exactly with the one that it shares most signatures with. Linked sets form components.
-    3. Where a bucket's members are not all in one component, all sets that met its least member are joined exactly with one
-       another by prefix filtering, leaving out pairs that are in one component already or whose shared shingles cannot suffice.
+    3. Where a bucket's members are not all in one component, all sets that met its least member are open. Open sets whose
+       shingles are too few in other open sets are done; the others are joined exactly by prefix filtering, leaving out pairs that are in one component already or whose shared shingles cannot suffice.
     Sets are hashed to 64 bits, shingles within a comparison to 40.
     """
     spark = docs.sparkSession
@@ -445,15 +496,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     apart = rooted(rooted(stars, "x", "rx"), "p", "rp").filter("rx <> rp").join(tested.select("x", "p", F.lit(True).alias("t")), ["x", "p"], "left").filter("many OR t IS NULL")
     hubs = apart.select("p").distinct()
     open_sets = cut(rooted(stars.join(hubs, "p", "left_semi").select(F.col("x").alias("_fp")).union(hubs.select(F.col("p").alias("_fp"))).distinct(), "_fp", "_root"), "near-open")
-    again = sets.verify(sets.prefix_pairs(open_sets))
+    # A set most of whose shingles no other open set has links with none of them; families left with one component are settled.
+    alive = cut(sets.shared(open_sets).filter(100 * F.col("r") >= percent * F.col("n")).join(open_sets, "_fp").select("_fp", "_root"), "near-alive")
+    family = stars.join(hubs, "p", "left_semi").select("p", F.col("x").alias("_fp")).union(hubs.select("p", F.col("p").alias("_fp"))).join(alive, "_fp")
+    unsettled = family.groupBy("p").agg(F.min("_root").alias("a"), F.max("_root").alias("b")).filter("a <> b").select("p")
+    doubtful = cut(family.join(unsettled, "p", "left_semi").select("_fp", "_root").distinct(), "near-doubtful")
+    again = sets.verify(sets.prefix_pairs(doubtful))
     bridges = rooted(rooted(again.filter("linked"), "x", "u"), "p", "v").select("u", "v")
     tops = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
 
     named = rooted(_named(docs, id_col, text_col, rows), "fp", "root").join(tops, "root", "left").withColumn("top", F.coalesce("top", "root"))
     named = cut(named.select("id", "key", "n", "top"), "near-named")
-    least = cut(named.filter("n > 0").groupBy("top").agg(F.min("id").alias("least")), "near-least")
-    full = named.filter("n > 0").join(least, "top").select("id", "key", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
-    return full.union(named.filter("n = 0").select("id", "key", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+    least = cut(named.filter("n > 0").groupBy("top").agg(F.min(F.struct("id", "key")).alias("least")), "near-least")
+    full = named.filter("n > 0").join(least, "top").select("id", "key", F.col("n").alias("n_shingles"), F.col("least.id").alias("component_id"), (F.col("least.key") == F.col("key")).alias("stays"))
+    return full.union(named.filter("n = 0").select("id", "key", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(True).alias("stays")))
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", bound_mb: int = 32) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the least id (and key), of wholly repeated rows one.
+
+    Rows without words are in no component and all stay. Returns the columns of ``docs``.
+    """
+    found = cut(near_duplicates(docs, k, percent, id_col, text_col, bound_mb), "near-result")
+    stays = bounded(found.filter("stays").groupBy(F.col("key").alias("_key")).agg((F.count("*") > 1).alias("_twice"), F.max("n_shingles").alias("_n")), 48, bound_mb)
+    rows = docs.withColumn("_key", row_key(id_col, text_col)).join(stays, "_key")
+    names = docs.columns
+    again = F.col("_twice") & (F.col("_n") > 0)
+    return rows.filter(~again).select(*names).union(rows.filter(again).dropDuplicates(["_key"]).select(*names))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame) -> DataFrame:
