@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, slices, table, utf8
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, slices, table, utf8
 from tessella.llm.words import AS_WRITTEN, grams, inside, mixed, rows_of, words
 
 #: Words of an anchor. Every window of ``window`` words has window - ANCHOR + 1 of them, and is filed under the least.
@@ -58,7 +58,7 @@ def runs_of(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def _seeds(text_col: str, window: int, parts: int, schema: pa.Schema) -> Callable:
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows to compare with other batches, packed by part; and the stretches whose windows occur earlier in this batch."""
-        for batch in slices(batches, text_col, 16 << 20):
+        for batch in slices(batches, text_col, 4 << 20):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             buf, bounds = utf8(batch.column(batch.schema.get_field_index(text_col)))
             _, _, hashes, at = words(buf, bounds, AS_WRITTEN)
@@ -84,35 +84,54 @@ def _seeds(text_col: str, window: int, parts: int, schema: pa.Schema) -> Callabl
     return seeds
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Unsigned integers by as many bytes as the largest needs; the first byte tells."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(values) or int(values.max()) >> 8 * w == 0)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def five(values: np.ndarray) -> bytes:
+    return (values >> np.uint64(24)).astype("<u8").view("<u1").reshape(-1, 8)[:, :5].tobytes()
+
+
 def packed(seeds: np.ndarray) -> bytes:
-    """Seeds sorted by document: anchors once for the windows that share one, and half of each window's hash."""
+    """Seeds of one part, sorted by document and word: the anchor once for the windows that share one, 40 bits of each hash."""
     turn = np.ones(len(seeds), bool)
     turn[1:] = (seeds["doc"][1:] != seeds["doc"][:-1]) | (seeds["anchor"][1:] != seeds["anchor"][:-1]) | (seeds["word"][1:] != seeds["word"][:-1] + 1)
     head = np.flatnonzero(turn)
-    size = np.diff(np.concatenate([head, [len(seeds)]])).astype("<u4")
+    size = np.diff(np.concatenate([head, [len(seeds)]]))
+    doc = seeds["doc"][head]
     new = np.ones(len(head), bool)
-    new[1:] = seeds["doc"][head][1:] != seeds["doc"][head][:-1]
-    docs = seeds["doc"][head][new]
-    per = np.diff(np.concatenate([np.flatnonzero(new), [len(head)]])).astype("<u4")
-    return b"".join([np.array([len(docs), len(head), len(seeds)], "<u8").tobytes(), docs.tobytes(), per.tobytes(), seeds["anchor"][head].tobytes(), seeds["word"][head].tobytes(), size.astype("<u2" if size.max() < 1 << 16 else "<u4").tobytes(), (seeds["context"] >> np.uint64(16)).astype("<u8").view("<u1").reshape(-1, 8)[:, :5].tobytes(), b"\x02" if size.max() < 1 << 16 else b"\x04"])
+    new[1:] = doc[1:] != doc[:-1]
+    per = np.diff(np.concatenate([np.flatnonzero(new), [len(head)]]))
+    base = int(doc.min())
+    counts = np.array([len(per), len(head), len(seeds), base], "<i8").tobytes()
+    return b"".join([counts, narrow(doc[new] - base), narrow(per), narrow(seeds["word"][head]), narrow(size), five(seeds["anchor"][head]), five(seeds["context"])])
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    docs, heads, n = (int(x) for x in np.frombuffer(raw, "<u8", 3))
-    at = 24
+    docs, heads, n, base = (int(x) for x in np.frombuffer(raw, "<i8", 4))
+    at = 32
 
-    def take(kind: str, count: int) -> np.ndarray:
+    def take(count: int) -> np.ndarray:
         nonlocal at
-        out = np.frombuffer(raw, kind, count, at)
-        at += out.nbytes
+        out = np.frombuffer(raw, f"<u{raw[at]}", count, at + 1)
+        at += 1 + out.nbytes
         return out
 
-    doc, per, anchor, word, size = take("<i8", docs), take("<u4", docs), take("<u8", heads), take("<u4", heads), take(f"<u{raw[-1]}", heads)
-    context = np.zeros((n, 8), np.uint8)
-    context[:, :5] = take("<u1", 5 * n).reshape(-1, 5)
+    def take_five(count: int) -> np.ndarray:
+        nonlocal at
+        out = np.zeros((count, 8), np.uint8)
+        out[:, :5] = np.frombuffer(raw, np.uint8, 5 * count, at).reshape(-1, 5)
+        at += 5 * count
+        return out.view("<u8")[:, 0]
+
+    doc, per, word, size = take(docs), take(docs), take(heads), take(heads)
+    anchor, context = take_five(heads), take_five(n)
     out = np.zeros(n, SEED)
-    out["doc"], out["anchor"], out["context"] = np.repeat(np.repeat(doc, per), size), np.repeat(anchor, size), context.view("<u8")[:, 0]
-    out["word"] = np.repeat(word, size) + np.arange(n) - np.repeat(np.cumsum(size) - size, size)
+    out["doc"] = np.repeat(np.repeat(doc.astype(np.int64) + base, per), size)
+    out["anchor"], out["context"] = np.repeat(anchor, size), context
+    out["word"] = np.repeat(word, size) + np.arange(n) - np.repeat(np.cumsum(size, dtype=np.int64) - size, size)
     return out
 
 
@@ -183,14 +202,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other batches for it: the others are repeats whatever the answer is, so a passage that a third of all documents share costs one seed a
     batch. Seeds travel packed, by part of the anchors' hash; texts are shuffled once, by id, to meet their repeats.
 
-    Windows are compared by 64 bits of anchor and 40 of context. Null and empty texts have no words; texts below ``window``
+    Windows are compared by 40 bits of anchor and 40 of context, within a part of the anchors. Null and empty texts have no words; texts below ``window``
     words lose none; repeated ids count as one document, so that they do not delete each other. Rows with a null id ask and answer nothing and are kept whole.
     An empty table gives none. Returns ``carry`` with n_words, n_removed, kept_sha256 and, if ``keep_text``, kept_text.
     """
     spark = docs.sparkSession
-    carry = list(carry if carry is not None else [c for c in docs.columns if c != text_col])
+    carry = carried(docs, carry, text_col, ("n_words", "n_removed", "kept_sha256", "kept_text"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = parts or 3 * width
+    parts = parts or 2 * width
     texts = docs.filter(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= 2 * window - 1)).select(F.col(id_col).cast("bigint").alias("_doc"), F.col(text_col).alias("_text"))
     seed_schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("seeds", T.BinaryType())])
     run_schema = T.StructType(seed_schema.fields[1:4])
