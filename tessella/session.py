@@ -1,12 +1,13 @@
-"""Making this package importable in Python workers."""
+"""Making this package importable in Python workers, and tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +24,23 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(package.parent))
     context.addPyFile(str(folder / "tessella.zip"))
     _shipped.add(context.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset (tests on one machine) a folder in the warehouse is used.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/tessella-checkpoints"
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/tessella/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it again, so that what follows neither recomputes it nor depends on an executor's disk."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
