@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tessella.session import cut as cut
 from tessella.session import ship
 
 
@@ -20,23 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset (tests on one machine) a folder in the warehouse is used.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/tessella-checkpoints"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again, so that what follows neither recomputes it nor depends on an executor's disk."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessella/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bounded(df: DataFrame, bytes_per_row: int, bound_mb: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows fit in ``bound_mb``; without one, Spark shuffles both sides."""
     return F.broadcast(df) if df.count() * bytes_per_row <= bound_mb << 20 else df

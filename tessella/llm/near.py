@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, cut, slices, table, text_or_empty, utf8
-from tessella.llm.components import components
 from tessella.llm.words import LOWERED, grams, inside, mixed, rows_of, words
+from tessella.operators.graph import components
 
 SALT = 0xA0761D6478BD642F
 RATIO = 1.35
