@@ -11,6 +11,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.session import ship
 
@@ -123,12 +124,12 @@ def normal(text: str) -> str:
     return " ".join(re.sub(r"(?:(?<=\w)|\b)str\.(?=[\s,;/]|$)", "strasse", text).split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normalised(texts: pd.Series) -> pd.Series:
     return texts.map(normal, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescaped(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
@@ -149,7 +150,7 @@ def sentences_of(body: str) -> list[str]:
     return [s for s in (*out, text[start:]) if s.strip()]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def sentences(texts: pd.Series) -> pd.Series:
     return texts.map(sentences_of, na_action="ignore")
 
@@ -166,7 +167,7 @@ def aliases_of(name: str) -> list[str]:
     return sorted(forms | {f + "es" for f in forms if f.endswith("platz")})
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def name_aliases(names: pd.Series) -> pd.Series:
     return names.map(aliases_of, na_action="ignore")
 

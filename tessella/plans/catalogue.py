@@ -1,6 +1,9 @@
-"""Registered queries over the driver's tables, each with its DuckDB counterpart."""
+"""Registered queries over the driver's tables, each with its DuckDB counterpart where SQL can express it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tessella.plans import map_plans, state_plans, text_plans
+
+_ALL = {**map_plans.QUERIES, **state_plans.QUERIES, **text_plans.QUERIES}
+QUERIES = {name: query for name, (query, _) in _ALL.items()}
+SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
