@@ -109,7 +109,7 @@ def hashed(node: Node) -> None:
 
 
 def subtrees(page: str) -> set[int]:
-    """Signed hashes of the page's subtrees that hold text."""
+    """Signed hashes of the page's block subtrees; a word in bold that many pages share is no template."""
     root, out = parse(page), set()
     hashed(root)
     todo = [root]
@@ -117,7 +117,8 @@ def subtrees(page: str) -> set[int]:
         x = todo.pop()
         for k in x.kids:
             if isinstance(k, Node) and k.tag not in DROPPED and not k.marked:
-                out.add(k.hash - (1 << 64) if k.hash >> 63 else k.hash)
+                if k.tag in BLOCK:
+                    out.add(k.hash - (1 << 64) if k.hash >> 63 else k.hash)
                 todo.append(k)
     return out
 
@@ -152,7 +153,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
             line.append(x)
         elif x.tag == "br":
             line.append(" ")
-        elif x.tag in DROPPED or x.marked or template and (x.hash - (1 << 64) if x.hash >> 63 else x.hash) in template:
+        elif x.tag in DROPPED or x.marked or template and x.tag in BLOCK and (x.hash - (1 << 64) if x.hash >> 63 else x.hash) in template:
             line.append(" ")
         elif x.tag in BLOCK:
             close()
@@ -189,7 +190,7 @@ def _extract(carry: list[str], schema: pa.Schema) -> Callable:
     return extract
 
 
-def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.4, template_rows: int = 500) -> DataFrame:
+def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.6, template_rows: int = 500) -> DataFrame:
     """Add main_text to every page.
 
     The hashes of a page's element subtrees are counted per host, combined within each batch before the shuffle. A subtree that
