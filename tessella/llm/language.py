@@ -147,7 +147,8 @@ def learned(docs: DataFrame, rows: Column, id_col: str, text_col: str, lang_col:
     named = docs.filter(rows & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = hash_sample(named, lang_col, id_col, per_lang).select(id_col)
     texts = docs.join(F.broadcast(chosen.distinct()), id_col, "left_semi").filter(rows & F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= most_bytes))
-    return [(t, lang) for _, t, lang in sorted((str(r[0]), r[1], r[2]) for r in texts.select(id_col, text_col, lang_col).collect())]
+    one = texts.groupBy(F.col(id_col).cast("string").alias("i")).agg(F.min(F.struct(F.col(text_col).alias("t"), F.col(lang_col).alias("l"))).alias("s"))
+    return [(r["s"]["t"], r["s"]["l"]) for r in sorted(one.collect(), key=lambda r: r["i"])]
 
 
 def _predict(model: Model | None, text_col: str, carry: list[str], schema: pa.Schema) -> Callable:

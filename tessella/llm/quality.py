@@ -83,7 +83,8 @@ def learned(docs: DataFrame, labels: DataFrame, rows: Column, id_col: str, text_
     named = labels.filter(rows & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("_y"), F.max(label_col).alias("_z")).filter("_y = _z")
     chosen = hash_sample(named, "_y", id_col, per_label)
     texts = docs.select(id_col, text_col).filter(F.octet_length(text_col) <= most_bytes).join(F.broadcast(chosen), id_col)
-    return [(t, y) for _, _, t, y in sorted((hash_, str(i), t, y) for hash_, i, t, y in texts.select(F.xxhash64(id_col), id_col, text_col, "_y").collect())]
+    one = texts.groupBy(F.xxhash64(id_col).alias("h"), F.col(id_col).cast("string").alias("i")).agg(F.min(F.struct(F.col(text_col).alias("t"), F.col("_y").alias("y"))).alias("s"))
+    return [(r["s"]["t"], r["s"]["y"]) for r in sorted(one.collect(), key=lambda r: (r["h"], r["i"]))]
 
 
 def _score(model: Model | None, text_col: str, carry: list[str], schema: pa.Schema, threshold: float) -> Callable:

@@ -240,7 +240,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     numbered = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).rlike("[0-9]{2}") & (F.octet_length(text_col) <= most_bytes)).withColumn("_all", F.lit(0))
     chosen = hash_sample(numbered, "_all", id_col, learn_rows)
     sample = docs.filter(F.octet_length(text_col) <= most_bytes).join(F.broadcast(chosen), id_col, "left_semi")
-    field = fit([r[1] for r in sorted((str(r[0]), r[1]) for r in sample.select(id_col, text_col).collect())])
+    one = sample.groupBy(F.col(id_col).cast("string").alias("i")).agg(F.min(text_col).alias("t"))
+    field = fit([r["t"] for r in sorted(one.collect(), key=lambda r: r["i"])])
     schema = T.StructType([*(docs.schema[c] for c in carry), *(T.StructField(c, T.LongType()) for c in ("n_assign", "n_access", "n_hex")), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
     return arrow(docs.select(*dict.fromkeys([*carry, text_col])), _scan(field, text_col, carry, arrow_schema(schema)), schema)
 
