@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, carried, cut, slices, table
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, cut, slices, table
 
 #: Elements of the HTML standard by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -190,7 +190,7 @@ def _extract(carry: list[str], schema: pa.Schema) -> Callable:
     return extract
 
 
-def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.6, template_rows: int = 500) -> DataFrame:
+def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.6, broadcast_mb: int = 64) -> DataFrame:
     """Add main_text to every page.
 
     The hashes of a page's element subtrees are counted per host, combined within each batch before the shuffle. A subtree that
@@ -199,16 +199,16 @@ def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     forms, scripts, adverts, notices and comments go by element, class, id and role. What is left of the article (the
     body, where there is none) becomes text: references decoded, white space in a block made one blank, blocks joined by
     a newline. Null and empty pages give an empty text, and pages without a readable url share one host. Repeated rows each get a row; an
-    empty table gives none. Pages are not shuffled if the hosts' lists are few enough to broadcast (counted against 64 MB), else by host.
+    empty table gives none. Pages are not shuffled if the hosts' lists are few enough to broadcast (their hashes are counted against ``broadcast_mb``), else by host.
     """
     carry = carried(pages, carry, html_col, ("main_text",))
     sited = pages.select(host(F.col(url_col)).alias("_host"), F.col(html_col).alias("html"))
     totals = sited.groupBy("_host").agg(F.count("*").alias("_pages")).filter(F.col("_pages") >= least_pages)
     counts = arrow(sited, _hashes, "_host string, _hash bigint, _n bigint").groupBy("_host", "_hash").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= least_pages)
     found = counts.join(totals, "_host").filter(F.col("_n") >= least_share * F.col("_pages"))
+    found = cut(found.select("_host", "_hash"), "html-templates")
     templates = found.groupBy("_host").agg(F.array_sort(F.collect_set("_hash")).alias("_template"))
-
-    templates = bounded(cut(templates, "html-templates"), 8 * template_rows, 64)
+    templates = F.broadcast(templates) if found.count() * 64 <= broadcast_mb << 20 else templates
     whole = pages.select(*carry, host(F.col(url_col)).alias("_host"), F.col(html_col).alias("_html")).join(templates, "_host", "left")
     schema = T.StructType([*(pages.schema[c] for c in carry), T.StructField("main_text", T.StringType())])
     return arrow(whole.select(*carry, "_html", "_template"), _extract(carry, arrow_schema(schema)), schema)
