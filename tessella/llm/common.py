@@ -16,6 +16,10 @@ from tessella.session import cut as cut
 from tessella.session import ship
 
 
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,8 +30,14 @@ def bounded(df: DataFrame, bytes_per_row: int, bound_mb: int) -> DataFrame:
 
 
 def arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors, and with workers that give memory back."""
-    ship(df.sparkSession)
+    """``df.mapInArrow`` with this package at hand on the executors, and with workers that give memory back.
+
+    The session's Arrow batches are cut to ``BATCH_ROWS`` rows (unless they are smaller), since executors hold a batch twice, once in each process.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return_memory()
@@ -65,6 +75,7 @@ def hash_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int) -> DataF
 
     Kinds are counted first, and a cut through the hashes leaves a few times ``per_kind`` of each to rank, however many rows there are.
     """
+    return_memory()  # what is sampled is learned from in this process
     rows = rows.select(id_col, kind, F.xxhash64(id_col).alias("_h")).distinct()
     counts = rows.groupBy(F.col(kind).alias("_kind")).agg(F.count("*").alias("_n"))
     share = F.least(F.lit(1.0), (4 * per_kind + 64) / F.col("_n"))

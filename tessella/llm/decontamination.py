@@ -210,6 +210,20 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), "contaminated")
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+bi AS (SELECT item, ws, least(len(ws), 13) AS size, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item, size, array_to_string(ws[i:i + size - 1], ' ') AS g FROM bi),
+di AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+dw AS (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS g FROM di, (SELECT DISTINCT size FROM bw) WHERE i + size - 1 <= len(ws)),
+h AS (SELECT doc_id, i, size, item FROM dw JOIN bw USING (size, g)),
+n AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def brute_force(docs: list[tuple], items: list[tuple], window: int = 13) -> list[tuple]:
     """The contract, window by window: for tests on small tables."""
     import re

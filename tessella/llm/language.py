@@ -35,7 +35,7 @@ def subwords(text: np.ndarray, order: int) -> np.ndarray:
     return (mixed(value + np.uint64(order)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
-def sums(buf: np.ndarray, bounds: np.ndarray, weights: np.ndarray, piece: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+def sums(buf: np.ndarray, bounds: np.ndarray, weights: np.ndarray, piece: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
     """For each text the sum of its subwords' weights, and how many there are; subwords of blanks alone don't count."""
     total, count = np.zeros((len(bounds) - 1, weights.shape[1])), np.zeros(len(bounds) - 1, np.int64)
     for lo in range(0, len(buf), piece):

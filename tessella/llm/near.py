@@ -60,7 +60,7 @@ def bands(percent: int, upto: int) -> np.ndarray:
 
 
 @lru_cache(1 << 12)
-def allocation(percent: int, largest: int, common: float = 0.3, weight: float = 1000.0) -> tuple[int, int, int, int]:
+def allocation(percent: int, largest: int, common: float = 0.1, weight: float = 1e4) -> tuple[int, int, int, int]:
     """(exact segments, one-deletion segments, slack, most differences) for pairs whose larger set has at most ``largest`` shingles.
 
     A pair of that similarity differs in at most ``most`` shingles, so of segments that tolerate 0 or 1 differences, counted 1
@@ -133,7 +133,7 @@ def short(values: np.ndarray) -> bytes:
     return (values >> np.uint64(64 - 8 * SHORT)).astype("<u8").view("<u1").reshape(-1, 8)[:, :SHORT].tobytes()
 
 
-def long(raw: bytes, count: int, at: int = 0) -> np.ndarray:
+def long(raw: bytes | pa.Buffer, count: int, at: int = 0) -> np.ndarray:
     out = np.zeros((count, 8), np.uint8)
     out[:, :SHORT] = np.frombuffer(raw, np.uint8, SHORT * count, at).reshape(-1, SHORT)
     return out.view("<u8")[:, 0]
@@ -148,7 +148,7 @@ def by_part(key: np.ndarray, parts: int, pack: Callable[[np.ndarray], bytes]) ->
     return filled, [pack(order[edges[p] : edges[p + 1]]) for p in filled]
 
 
-def each_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[pa.RecordBatch]]]:
+def each_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Buffer], list[pa.RecordBatch]]]:
     """The blobs of one part after the other, from batches sorted by part; rows without a blob as they come."""
     held, part = [], None
     for batch in batches:
@@ -156,12 +156,12 @@ def each_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes],
         asks, others = batch.filter(has), batch.filter(pc.invert(has))
         if others.num_rows:
             yield [], [others]
-        for p, blob in zip(asks.column("part").to_pylist(), asks.column("blob").to_pylist(), strict=True):
+        for p, blob in zip(asks.column("part").to_pylist(), asks.column("blob"), strict=True):
             if p != part and held:
                 yield held, []
                 held = []
             part = p
-            held.append(blob)
+            held.append(blob.as_buffer())
     if held:
         yield held, []
 
@@ -215,7 +215,7 @@ def _stars(schema: pa.Schema) -> Callable:
                 yield batch_of(schema, {"key": rows.column("key"), "n": rows.column("n"), "fp": rows.column("fp"), "x": none, "p": none, "shared": none, "many": none})
             if not blobs:
                 continue
-            counts = [len(b) // (SHORT + 8) for b in blobs]
+            counts = [b.size // (SHORT + 8) for b in blobs]
             key = np.concatenate([long(b, c) for b, c in zip(blobs, counts, strict=True)])
             node = np.concatenate([np.frombuffer(b, "<i8", c, SHORT * c) for b, c in zip(blobs, counts, strict=True)])
             node, first, many = groups(key, node)
@@ -282,9 +282,10 @@ class Texts:
     def shared(self, docs: DataFrame) -> DataFrame:
         """(_fp, n, r) of ``docs`` (_fp, _root): how many of each set's n shingles any other set of ``docs`` has too."""
         width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        sent, counted = T._parse_datatype_string("part bigint, blob binary"), T._parse_datatype_string("_fp bigint, n bigint, c bigint")
+        sent, counted = T._parse_datatype_string("part bigint, blob binary"), T._parse_datatype_string("_fp bigint, n bigint, r bigint")
         listed = arrow(self.of(docs, {"_root": T.LongType()}), _spread(width, arrow_schema(sent)), sent).repartition(width, "part").sortWithinPartitions("part")
-        return arrow(listed, _shared(arrow_schema(counted)), counted).groupBy("_fp").agg(F.max("n").alias("n"), F.sum("c").alias("r"))
+        summed = arrow(listed, _shared(width, arrow_schema(sent)), sent).repartition(width, "part").sortWithinPartitions("part")
+        return arrow(summed, _summed(arrow_schema(counted)), counted)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """(x, p, linked) of pairs (x, p), each compared with p's whole set; a pivot of many is sent to several tasks."""
@@ -330,7 +331,7 @@ def _spread(parts: int, schema: pa.Schema) -> Callable:
     return spread
 
 
-def _shared(schema: pa.Schema) -> Callable:
+def _shared(parts: int, schema: pa.Schema) -> Callable:
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs, _ in each_part(batches):
             fps, ns, pers, hs = [], [], [], []
@@ -349,11 +350,23 @@ def _shared(schema: pa.Schema) -> Callable:
             flag[order] = twin[1:] | twin[:-1]
             total = np.concatenate([[0], np.cumsum(flag)])
             edges = np.concatenate([[0], np.cumsum(per, dtype=np.int64)])
-            yield batch_of(schema, {"_fp": fp, "n": n.astype(np.int64), "c": total[edges[1:]] - total[edges[:-1]]})
+            rows = np.stack([fp, n.astype(np.int64), total[edges[1:]] - total[edges[:-1]]], 1)
+            filled, packed = by_part(mixed(fp.view(np.uint64)), parts, lambda i, rows=rows: rows[i].tobytes())
+            yield batch_of(schema, {"part": filled, "blob": packed})
 
     return shared
 
 
+def _summed(schema: pa.Schema) -> Callable:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs, _ in each_part(batches):
+            rows = np.concatenate([np.frombuffer(b, "<i8").reshape(-1, 3) for b in blobs])
+            fp, first, inverse = np.unique(rows[:, 0], return_index=True, return_inverse=True)
+            yield batch_of(schema, {"_fp": fp, "n": rows[first, 1], "r": np.bincount(inverse, rows[:, 2]).astype(np.int64)})
+
+    return summed
+
+
 def _scatter(parts: int, schema: pa.Schema) -> Callable:
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -472,7 +485,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
        their one-deletion neighbours) meet by hash. A bucket gives only the pairs of each member with its least member.
     2. Each set is compared exactly with the one that it shares most signatures with. Linked sets form components.
     3. Where a bucket's members are not all in one component, all sets that met its least member are open. Open sets whose
-       shingles are too few in other open sets are done; the others are joined exactly by prefix filtering, leaving out pairs that are in one component already or whose shared shingles cannot suffice.
+       shingles are too few in other open sets are done. The others are compared with the most central set they met; where that
+       leaves several components, they are joined exactly by prefix filtering, leaving out pairs that are in one component already or whose shared shingles cannot suffice.
     Sets are hashed to 64 bits, shingles within a comparison to 40.
     """
     spark = docs.sparkSession
@@ -497,12 +511,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     hubs = apart.select("p").distinct()
     open_sets = cut(rooted(stars.join(hubs, "p", "left_semi").select(F.col("x").alias("_fp")).union(hubs.select(F.col("p").alias("_fp"))).distinct(), "_fp", "_root"), "near-open")
     # A set most of whose shingles no other open set has links with none of them; families left with one component are settled.
-    alive = cut(sets.shared(open_sets).filter(100 * F.col("r") >= percent * F.col("n")).join(open_sets, "_fp").select("_fp", "_root"), "near-alive")
-    family = stars.join(hubs, "p", "left_semi").select("p", F.col("x").alias("_fp")).union(hubs.select("p", F.col("p").alias("_fp"))).join(alive, "_fp")
+    # The others are compared with their most central set, the one with the least share of shingles of its own, before the exact join.
+    alive = cut(sets.shared(open_sets).filter(100 * F.col("r") >= percent * F.col("n")).join(open_sets, "_fp").select("_fp", "_root", (F.col("r") / F.col("n")).alias("_central")), "near-alive")
+    family = cut(stars.join(hubs, "p", "left_semi").select("p", F.col("x").alias("_fp")).union(hubs.select("p", F.col("p").alias("_fp"))).join(alive, "_fp"), "near-family")
+    centres = family.groupBy("p").agg(F.max(F.struct("_central", (-F.col("_fp")).alias("q"), "_fp", "_root")).alias("c"), F.min("_root").alias("a"), F.max("_root").alias("b")).filter("a <> b").select("p", F.col("c._fp").alias("centre"), F.col("c._root").alias("cr"))
+    central = sets.verify(family.join(centres, "p").filter("_root <> cr").select(F.col("_fp").alias("x"), F.col("centre").alias("p")))
+    first = cut(rooted(rooted(central.filter("linked"), "x", "u"), "p", "v").select("u", "v"), "near-central")
+    merged = cut(components(first).select(F.col("node").alias("_root"), F.col("root").alias("_top")), "near-merged")
+    family = family.join(merged, "_root", "left").withColumn("_root", F.coalesce("_top", "_root")).drop("_top")
     unsettled = family.groupBy("p").agg(F.min("_root").alias("a"), F.max("_root").alias("b")).filter("a <> b").select("p")
     doubtful = cut(family.join(unsettled, "p", "left_semi").select("_fp", "_root").distinct(), "near-doubtful")
     again = sets.verify(sets.prefix_pairs(doubtful))
-    bridges = rooted(rooted(again.filter("linked"), "x", "u"), "p", "v").select("u", "v")
+    bridges = rooted(rooted(again.filter("linked"), "x", "u"), "p", "v").select("u", "v").union(first)
     tops = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
 
     named = rooted(_named(docs, id_col, text_col, rows), "fp", "root").join(tops, "root", "left").withColumn("top", F.coalesce("top", "root"))
@@ -536,6 +556,19 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:least(i + 3, len(ws))], ' ') AS s FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 85 * (a.n + b.n - c)),
+l AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
+r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.v, r.root FROM r JOIN l ON r.node = l.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node) c USING (doc_id)
+"""
+
+
 def brute_force(docs: list[tuple], k: int, percent: int) -> list[tuple]:
     """The contract over all pairs that share a shingle: for tests on small tables."""
     import re

@@ -16,4 +16,4 @@ QUERIES = {
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_quality": quality.op10_quality,
 }
-SQL = {"op9_exact_dedup": exact.OP9_SQL}
+SQL = {"op4_jaccard_join": near.OP4_SQL, "op5_substring_dedup": substrings.OP5_SQL, "op6_decontamination": decontamination.OP6_SQL, "op9_exact_dedup": exact.OP9_SQL}

@@ -225,6 +225,18 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
 
 
+OP5_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM i),
+m AS (SELECT g, min(doc_id) AS m FROM g GROUP BY g),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM g JOIN m USING (g) WHERE m < doc_id),
+k AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+s AS (SELECT k.doc_id, count(r.j) AS n_removed, string_agg(word, ' ' ORDER BY k.j) FILTER (r.j IS NULL) AS kept FROM k LEFT JOIN r ON k.doc_id = r.doc_id AND k.j = r.j GROUP BY k.doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN s USING (doc_id)
+"""
+
+
 def brute_force(docs: list[tuple], window: int = 13) -> list[tuple]:
     """The contract, window by window: for tests on small tables."""
     import re

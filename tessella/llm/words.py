@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 BASE, GRAM = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def letters(separators: bytes, lower: bool) -> np.ndarray:
