@@ -36,7 +36,7 @@ def arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> Data
     """
     spark = df.sparkSession
     ship(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -283,7 +283,7 @@ class Texts:
         """(_fp, n, r) of ``docs`` (_fp, _root): how many of each set's n shingles any other set of ``docs`` has too."""
         width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         sent, counted = T._parse_datatype_string("part bigint, blob binary"), T._parse_datatype_string("_fp bigint, n bigint, r bigint")
-        listed = arrow(self.of(docs, {"_root": T.LongType()}), _spread(width, arrow_schema(sent)), sent).repartition(width, "part").sortWithinPartitions("part")
+        listed = arrow(self.of(docs, {"_root": T.LongType()}), _spread(4 * width, arrow_schema(sent)), sent).repartition(2 * width, "part").sortWithinPartitions("part")
         summed = arrow(listed, _shared(width, arrow_schema(sent)), sent).repartition(width, "part").sortWithinPartitions("part")
         return arrow(summed, _summed(arrow_schema(counted)), counted)
 
@@ -342,13 +342,14 @@ def _shared(parts: int, schema: pa.Schema) -> Callable:
                 pers.append(np.frombuffer(b, "<u4", m, 8 + 12 * m))
                 hs.append(long(b, int(pers[-1].sum(dtype=np.int64)), 8 + 16 * m))
             fp, n, per, h = map(np.concatenate, (fps, ns, pers, hs))
-            order = np.argsort(h, kind="stable")
-            s = h[order]
-            twin = np.zeros(len(s) + 1, bool)
-            twin[1:-1] = s[1:] == s[:-1]
-            flag = np.zeros(len(s), np.int64)
+            del fps, ns, pers, hs
+            order = np.argsort(h)
+            h = h[order]
+            twin = np.zeros(len(h) + 1, bool)
+            twin[1:-1] = h[1:] == h[:-1]
+            flag = np.zeros(len(h), bool)
             flag[order] = twin[1:] | twin[:-1]
-            total = np.concatenate([[0], np.cumsum(flag)])
+            total = np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])
             edges = np.concatenate([[0], np.cumsum(per, dtype=np.int64)])
             rows = np.stack([fp, n.astype(np.int64), total[edges[1:]] - total[edges[:-1]]], 1)
             filled, packed = by_part(mixed(fp.view(np.uint64)), parts, lambda i, rows=rows: rows[i].tobytes())
@@ -493,7 +494,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(row_key(id_col, text_col).alias("_key"), text_or_empty(text_col).alias("_text"))
     index_schema, found_schema = T._parse_datatype_string(ROW), T._parse_datatype_string(FOUND)
-    filed = arrow(texts, _index(k, percent, 2 * width, arrow_schema(index_schema)), index_schema).repartition(width, "part").sortWithinPartitions("part")
+    filed = arrow(texts, _index(k, percent, 4 * width, arrow_schema(index_schema)), index_schema).repartition(2 * width, "part").sortWithinPartitions("part")
     found = cut(arrow(filed, _stars(arrow_schema(found_schema)), found_schema), "near-found")
     rows = found.filter("fp IS NOT NULL").select("key", "n", "fp")
     reps = rows.groupBy(F.col("fp").alias("_fp")).agg(F.min("key").alias("_key"))
