@@ -304,7 +304,7 @@ class Texts:
         spark = docs.sparkSession
         width = int(spark.conf.get("spark.sql.shuffle.partitions"))
         sets = self.of(docs, {"_root": T.LongType()})
-        s1, s2, s3, s4 = (T._parse_datatype_string(x) for x in ("part bigint, blob binary", "_fp bigint, _root bigint, n bigint, h bigint, df bigint", "part bigint, h bigint, _fp bigint, _root bigint, n bigint, r bigint", "x bigint, p bigint"))
+        s1, s2, s3, s4 = (T._parse_datatype_string(x) for x in ("part bigint, blob binary", "_fp bigint, _root bigint, n bigint, h bigint, df bigint", "part bigint, h bigint, _fp bigint, _root bigint, n bigint, r bigint, pos bigint", "x bigint, p bigint"))
         listed = arrow(sets, _scatter(width, arrow_schema(s1)), s1).repartition(width, "part").sortWithinPartitions("part")
         common = arrow(listed, _frequencies(arrow_schema(s2)), s2).repartition(width, "_fp").sortWithinPartitions("_fp", "df", "h")
         prefix = arrow(common, _prefixes(self.percent, width, arrow_schema(s3)), s3).repartition(width, "part").sortWithinPartitions("part", "h")
@@ -409,7 +409,7 @@ def _prefixes(percent: int, parts: int, schema: pa.Schema) -> Callable:
             keep = n - (percent * n + 99) // 100 + 1 - (n - shared)  # the shingles of one set are the rarest
             h = rows[: max(keep, 0), 3]
             m = len(h)
-            return batch_of(schema, {"part": (mixed(h.view(np.uint64)) % np.uint64(parts)).astype(np.int64), "h": h, "_fp": [fp] * m, "_root": [root] * m, "n": [n] * m, "r": [shared] * m})
+            return batch_of(schema, {"part": (mixed(h.view(np.uint64)) % np.uint64(parts)).astype(np.int64), "h": h, "_fp": [fp] * m, "_root": [root] * m, "n": [n] * m, "r": [shared] * m, "pos": np.arange(m) + n - shared})
 
         held: list[np.ndarray] = []
         for batch in batches:
@@ -437,7 +437,7 @@ def _partners(percent: int, schema: pa.Schema) -> Callable:
             if len(rows) < 2 or (rows[:, 1] == rows[0, 1]).all():
                 return
             rows = rows[np.argsort(rows[:, 2], kind="stable")]
-            fp, root, n, r = rows.T
+            fp, root, n, r, pos = rows.T
             # With at most r shingles in common, a partner has at most r (100 + percent) / percent - n of them.
             low, high = (percent * n + 99) // 100, np.minimum(100 * n // percent, r * (100 + percent) // percent - n)
             lo, hi = np.maximum(np.searchsorted(n, low, "left"), np.arange(len(n)) + 1), np.searchsorted(n, high, "right")
@@ -446,7 +446,9 @@ def _partners(percent: int, schema: pa.Schema) -> Callable:
                 x = np.repeat(np.arange(a, min(a + 256, len(n))), counts)
                 y = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(lo[a : a + 256], counts)
                 most = np.minimum(r[x], r[y])
-                ok = (root[x] != root[y]) & (100 * most >= percent * (n[x] + n[y] - most))
+                need = (percent * (n[x] + n[y]) + 99 + percent) // (100 + percent)
+                # At their first common shingle, a pair has no more in common than what either set has from there on.
+                ok = (root[x] != root[y]) & (most >= need) & (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need)
                 if ok.any():
                     u, v = fp[x[ok]], fp[y[ok]]
                     yield batch_of(schema, {"x": np.maximum(u, v), "p": np.minimum(u, v)})
@@ -454,7 +456,7 @@ def _partners(percent: int, schema: pa.Schema) -> Callable:
         held: list[np.ndarray] = []
         last = None
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("_fp", "_root", "n", "r")], 1)
+            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("_fp", "_root", "n", "r", "pos")], 1)
             h = batch.column("h").to_numpy(zero_copy_only=False)
             for a, b in zip(edges := [0, *(np.flatnonzero(h[1:] != h[:-1]) + 1).tolist(), len(h)], edges[1:], strict=False):
                 if a == b:
