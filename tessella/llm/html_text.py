@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, carried, cut, slices, table
+from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, carried, cut, slices, table
 
 #: Elements of the HTML standard by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,6 +26,9 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|gdpr|sidebar|side-?bar|menu|navbar|nav|navigation|breadcrumbs?|header|footer|masthead|comments?|comment-?list|replies|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|skip-?link|pagination|pager|toolbar|contentinfo|complementary|search)(?:$|[\s_-])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+DIGITS = re.compile(r"\d+")
+#: An inline element with less text than this is part of a sentence if its line goes on at both its sides.
+PHRASE = 20
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 
 
@@ -37,10 +40,10 @@ def decoded(text: str) -> str:
 
 
 class Node:
-    __slots__ = ("hash", "kids", "marked", "tag")
+    __slots__ = ("gone", "hash", "kids", "marked", "names", "size", "tag")
 
-    def __init__(self, tag: str, marked: bool = False):
-        self.tag, self.marked, self.kids, self.hash = tag, marked, [], 0
+    def __init__(self, tag: str, marked: bool = False, names: str = ""):
+        self.tag, self.marked, self.names, self.kids, self.hash, self.size, self.gone = tag, marked, names, [], 0, 0, False
 
 
 def parse(page: str) -> Node:
@@ -84,7 +87,7 @@ def parse(page: str) -> Node:
                     del stack[k:]
                     break
         names = " ".join(x for y in NAMED.findall(m[3]) for x in y) if m[3] else ""
-        node = Node(tag, bool(m[3]) and (bool(MARKS.search(names)) and tag not in ("article", "main", "body", "html") or bool(HIDDEN.search(m[3]))))
+        node = Node(tag, bool(m[3]) and (bool(MARKS.search(names)) and tag not in ("article", "main", "body", "html") or bool(HIDDEN.search(m[3]))), names)
         stack[-1].kids.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
@@ -98,28 +101,70 @@ def parse(page: str) -> Node:
     return root
 
 
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
 def hashed(node: Node) -> None:
-    """Give every element a hash of its subtree: tags and text, white space aside; without recursion, since trees may be deep."""
+    """Give every element a signed hash of its subtree (tags and text, white space aside) and the length of its text; without recursion, since trees may be deep."""
     order = [node]
     for x in order:
         order.extend(k for k in x.kids if k.__class__ is Node)
     for x in reversed(order):
-        parts = [f"\0{k.hash}" if k.__class__ is Node else " ".join(k.split()) for k in x.kids]
-        x.hash = xxhash.xxh64_intdigest("\1".join([x.tag, *parts]).encode("utf-8", "surrogatepass"))
+        parts, x.size = [], 0
+        for k in x.kids:
+            if k.__class__ is Node:
+                parts.append(f"\0{k.hash}")
+                x.size += k.size
+            else:
+                parts.append(" ".join(k.split()))
+                x.size += len(parts[-1])
+        x.hash = signed(xxhash.xxh64_intdigest("\1".join([x.tag, *parts]).encode("utf-8", "surrogatepass")))
 
 
-def subtrees(page: str) -> set[int]:
-    """Signed hashes of the page's block subtrees; a word in bold that many pages share is no template."""
-    root, out = parse(page), set()
-    hashed(root)
-    todo = [root]
+def _breaks(x: Node) -> bool:
+    return x.tag in BLOCK or x.tag == "br"
+
+
+def spots(root: Node, places: dict[tuple[int, str, str], int] | None = None) -> Iterator[tuple[Node, int]]:
+    """The elements of a hashed tree that hold text and may be a template's, with a hash of their place: the tags, classes and ids above and of them (0 if not asked for by a dictionary of known ones).
+
+    A few words in bold amid a sentence are no element of a template, so a short inline element whose line has text at both sides is left out.
+    """
+    todo = [(root, 0, False, False)]
     while todo:
-        x = todo.pop()
-        for k in x.kids:
-            if isinstance(k, Node) and k.tag not in DROPPED and not k.marked:
-                if k.tag in BLOCK:
-                    out.add(k.hash - (1 << 64) if k.hash >> 63 else k.hash)
-                todo.append(k)
+        x, place, left, right = todo.pop()
+        kids = x.kids
+        after, ahead = [False] * len(kids), right and not _breaks(x)
+        for i in range(len(kids) - 1, -1, -1):
+            k = kids[i]
+            after[i] = ahead
+            ahead = ahead or bool(k.strip()) if k.__class__ is str else not _breaks(k) and (ahead or k.size > 0 and k.tag not in DROPPED and not k.marked)
+        behind = left and not _breaks(x)
+        for k, ahead in zip(kids, after, strict=True):
+            if k.__class__ is str:
+                behind = behind or bool(k.strip())
+                continue
+            if k.size and k.tag not in DROPPED and not k.marked:
+                key = (place, k.tag, k.names)
+                if places is not None and key not in places:
+                    places[key] = signed(xxhash.xxh64_intdigest(f"{place} {k.tag} {DIGITS.sub('0', k.names)}".encode("utf-8", "surrogatepass")))
+                here = 0 if places is None else places[key]
+                if k.tag in BLOCK or k.size >= PHRASE or not (behind and ahead):
+                    yield k, here
+                todo.append((k, here, behind, ahead))
+            behind = not _breaks(k) and (behind or k.size > 0 and k.tag not in DROPPED and not k.marked)
+
+
+def subtrees(page: str, section: int = 0, places: dict | None = None) -> set[tuple[int, int | None]]:
+    """(group, hash) of the page's subtrees and (group, None) of the groups that the page is in: 0 for the host, its section, and the places of the elements."""
+    root = parse(page)
+    hashed(root)
+    wider = (0, section) if section else (0,)
+    out: set[tuple[int, int | None]] = {(g, None) for g in wider}
+    for x, place in spots(root, {} if places is None else places):
+        out.add((place, None))
+        out.update((g, x.hash) for g in (*wider, place))
     return out
 
 
@@ -128,6 +173,8 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     root = parse(page)
     if template:
         hashed(root)
+        for x, _ in spots(root):
+            x.gone = x.hash in template
     tops, todo = [], [root]
     while todo:
         x = todo.pop()
@@ -153,7 +200,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
             line.append(x)
         elif x.tag == "br":
             line.append(" ")
-        elif x.tag in DROPPED or x.marked or template and x.tag in BLOCK and (x.hash - (1 << 64) if x.hash >> 63 else x.hash) in template:
+        elif x.tag in DROPPED or x.marked or x.gone:
             line.append(" ")
         elif x.tag in BLOCK:
             close()
@@ -169,14 +216,20 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit(""))
 
 
+def section(url: Column) -> Column:
+    """The first folder of a url's path, empty for pages outside any."""
+    return F.coalesce(F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), "^/+([^/]+)/", 1), F.lit(""))
+
+
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A combined count for each host and subtree of a batch, so that a common host costs little."""
+    """A combined count for each host, group and subtree of a batch, so that a common host costs little; the copies of a page make up one."""
     for batch in slices(batches, "html"):
-        counts: dict[tuple[str, int], int] = {}
-        for site, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for h in subtrees(page or ""):
-                counts[site, h] = counts.get((site, h), 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()), pa.array(counts.values(), pa.int64())], names=["_host", "_hash", "_n"])
+        counts: dict[tuple[str, int, int | None], float] = {}
+        places: dict[tuple[int, str, str], int] = {}
+        for site, part, page, copies in zip(*(batch.column(c).to_pylist() for c in ("_host", "_section", "html", "_copies")), strict=True):
+            for group, h in subtrees(page, signed(xxhash.xxh64_intdigest(f"section {part}".encode("utf-8", "surrogatepass"))) if part else 0, places):
+                counts[site, group, h] = counts.get((site, group, h), 0.0) + 1 / copies
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()), pa.array([k[2] for k in counts], pa.int64()), pa.array(counts.values(), pa.float64())], names=["_host", "_group", "_hash", "_n"])
 
 
 def _extract(carry: list[str], schema: pa.Schema) -> Callable:
@@ -190,23 +243,31 @@ def _extract(carry: list[str], schema: pa.Schema) -> Callable:
     return extract
 
 
-def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.6, broadcast_mb: int = 64) -> DataFrame:
+def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.2, place_share: float = 0.5, broadcast_mb: int = 64) -> DataFrame:
     """Add main_text to every page.
 
-    The hashes of a page's element subtrees are counted per host, combined within each batch before the shuffle. A subtree that
-    is on at least ``least_pages`` pages of a host and on ``least_share`` of them belongs to the site's template and is deleted; so few
-    subtrees can reach that share that a host's list is bounded by its pages' size, not their number. Menus, headers, footers, sidebars,
+    The hashes of a page's element subtrees, whatever their tags, are counted per host, combined within each batch before the shuffle; copies of a
+    page count as one. A subtree belongs to the site's template and is deleted on the whole host if it is on at least ``least_pages`` of its pages
+    (on every page of a host with three pages or more, but fewer than that) and on ``least_share`` of the host's pages, or on ``place_share`` of those of a section
+    (first folder of the path) or of those with an element at its place (the same tags, classes and ids above it). Only short inline elements amid a
+    sentence stay. So few subtrees can reach a share that a host's list is bounded by its pages' size, its sections and places, not their number. Menus, headers, footers, sidebars,
     forms, scripts, adverts, notices and comments go by element, class, id and role. What is left of the article (the
     body, where there is none) becomes text: references decoded, white space in a block made one blank, blocks joined by
     a newline. Null and empty pages give an empty text, and pages without a readable url share one host. Repeated rows each get a row; an
-    empty table gives none. Pages are not shuffled if the hosts' lists are few enough to broadcast (their hashes are counted against ``broadcast_mb``), else by host.
+    empty table gives none. Pages are not shuffled if the hosts' lists and the repeated pages are few enough to broadcast (counted against ``broadcast_mb``).
     """
     carry = carried(pages, carry, html_col, ("main_text",))
-    sited = pages.select(host(F.col(url_col)).alias("_host"), F.col(html_col).alias("html"))
-    totals = sited.groupBy("_host").agg(F.count("*").alias("_pages")).filter(F.col("_pages") >= least_pages)
-    counts = arrow(sited, _hashes, "_host string, _hash bigint, _n bigint").groupBy("_host", "_hash").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= least_pages)
-    found = counts.join(totals, "_host").filter(F.col("_n") >= least_share * F.col("_pages"))
-    found = cut(found.select("_host", "_hash"), "html-templates")
+    sited = pages.select(host(F.col(url_col)).alias("_host"), section(F.col(url_col)).alias("_section"), F.col(html_col).alias("html")).filter("html <> ''").withColumn("_page", F.xxhash64("html"))
+    repeated = cut(sited.groupBy("_host", "_page").agg(F.count("*").alias("_copies")).filter("_copies > 1"), "html-copies")
+    weighed = sited.join(bounded(repeated, 64, broadcast_mb), ["_host", "_page"], "left").select("_host", "_section", "html", F.coalesce("_copies", F.lit(1)).alias("_copies"))
+    counts = arrow(weighed, _hashes, "_host string, _group bigint, _hash bigint, _n double").groupBy("_host", "_group", "_hash").agg(F.sum("_n").alias("_n"))
+    counts = cut(counts.filter(F.col("_n") > min(3, least_pages) - 0.001), "html-counts")
+    totals = counts.filter("_hash IS NULL").select("_host", "_group", F.col("_n").alias("_pages"))
+    sizes = totals.filter("_group = 0").select("_host", F.least(F.lit(float(least_pages)), F.col("_pages")).alias("_least"))
+    found = counts.filter("_hash IS NOT NULL").join(totals, ["_host", "_group"]).join(sizes, "_host")
+    share = F.when(F.col("_group") == 0, least_share).otherwise(place_share)
+    found = found.filter((F.col("_n") > F.col("_least") - 0.001) & (F.col("_n") > share * F.col("_pages") - 0.001))
+    found = cut(found.select("_host", "_hash").distinct(), "html-templates")
     templates = found.groupBy("_host").agg(F.array_sort(F.collect_set("_hash")).alias("_template"))
     templates = F.broadcast(templates) if found.count() * 64 <= broadcast_mb << 20 else templates
     whole = pages.select(*carry, host(F.col(url_col)).alias("_host"), F.col(html_col).alias("_html")).join(templates, "_host", "left")
