@@ -276,3 +276,26 @@ def test_field_adds_what_the_patterns_miss():
     scores = field.scores(secrets.features(raw, tokens))
     paths = [(sum(scores[k][t] for k, t in enumerate(p)) + sum(field.transitions()[a, b] for a, b in zip([0, *p], [*p, 0], strict=True)), list(p)) for p in np.ndindex(*(3,) * len(tokens))]
     assert field.viterbi(scores) == max(paths)[1]
+
+
+def test_field_tags_short_tokens_and_letters(spark):
+    rng = random.Random(4)
+    secret = lambda: "".join(rng.choice("BCDFGHJKLMNPQRSTVWXZbcdfghjklmnpqrstvwxz") for _ in range(9))
+    rows = [(k, f'{prose(rng, 9)} password = "{secret()}" {prose(rng, 9)}') for k in range(150)]
+    hidden = secret()
+    rows += [(1000, f'{prose(rng, 9)} pwd - "{hidden}" {prose(rng, 9)}'), (1001, prose(rng, 30))]
+    found = {r.doc_id: r.spans for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    at = dict(rows)[1000].index(hidden)
+    assert found[1000] == f"crf:{at}:{at + 9}" and found[1001] == ""
+
+
+def test_field_decodes_exactly():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        field, sizes = secrets.Field(), rng.integers(1, 7, 3)
+        field.move = rng.normal(0, 1.5, (3, 3))
+        scores = rng.normal(0, 2.5, (sizes.sum(), 3)) + [rng.choice([0, 3, 6]), 0, 0]
+        last = np.zeros(len(scores), bool)
+        last[np.cumsum(sizes) - 1] = True
+        want = [tag for part in np.split(scores, np.cumsum(sizes)[:-1]) for tag in field.viterbi(part)]
+        assert field.decode(scores, last).tolist() == want
