@@ -18,6 +18,8 @@ from tessella.session import ship
 
 #: Rows of an Arrow batch at most.
 BATCH_ROWS = 2000
+#: Groups of ids within which a sample is ranked.
+SAMPLE_SPREAD = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,17 +72,19 @@ def carried(docs: DataFrame, carry: list[str] | None, text_col: str, results: tu
     return [c for c in dict.fromkeys(names) if c not in results and not c.startswith("_")]
 
 
-def hash_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int) -> DataFrame:
-    """Of each ``kind`` the ``per_kind`` rows with the least hash of the id, repeated ids once.
+def hash_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int, most_kinds: int = 256) -> DataFrame:
+    """About the ``per_kind`` rows with the least hash of the id of each ``kind``, repeated ids once; of the ``most_kinds`` most frequent kinds.
 
-    Kinds are counted first, and a cut through the hashes leaves a few times ``per_kind`` of each to rank, however many rows there are.
+    Kinds are counted first, and a cut through the hashes, before any shuffle, leaves a few times ``per_kind`` of each to rank, however many rows
+    there are. Ranks are taken within ``SAMPLE_SPREAD`` groups of ids, so that a kind is not one task's.
     """
     return_memory()  # what is sampled is learned from in this process
-    rows = rows.select(id_col, kind, F.xxhash64(id_col).alias("_h")).distinct()
-    counts = rows.groupBy(F.col(kind).alias("_kind")).agg(F.count("*").alias("_n"))
+    rows = rows.select(id_col, kind, F.pmod(F.xxhash64(id_col), F.lit(1 << 40)).alias("_h"))
+    counts = rows.groupBy(F.col(kind).alias("_kind")).agg(F.approx_count_distinct("_h").alias("_n")).orderBy(F.desc("_n"), "_kind").limit(most_kinds)
     share = F.least(F.lit(1.0), (4 * per_kind + 64) / F.col("_n"))
-    near = rows.join(counts, F.col(kind) == F.col("_kind")).filter(F.pmod("_h", F.lit(1 << 40)) < share * (1 << 40))
-    return near.withColumn("_r", F.expr(f"row_number() OVER (PARTITION BY {kind} ORDER BY pmod(_h, {1 << 40}), _h, {id_col})")).filter(F.col("_r") <= per_kind).select(id_col, kind)
+    near = rows.join(F.broadcast(counts), F.col(kind) == F.col("_kind")).filter(F.col("_h") < share * (1 << 40)).select(id_col, kind, "_h").distinct()
+    each = -(-per_kind // SAMPLE_SPREAD)
+    return near.withColumn("_r", F.expr(f"row_number() OVER (PARTITION BY {kind}, _h % {SAMPLE_SPREAD} ORDER BY _h, {id_col})")).filter(F.col("_r") <= each).select(id_col, kind)
 
 
 def text_or_empty(name: str) -> Column:
