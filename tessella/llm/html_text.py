@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -17,19 +18,37 @@ from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, carried,
 #: Elements of the HTML standard by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-DROPPED = frozenset("script style noscript template iframe object embed svg math canvas audio video map head title nav header footer aside form button select textarea input dialog menu datalist".split())
+UNSEEN = frozenset("script style noscript template iframe object embed svg canvas audio video map head title".split())
+DROPPED = UNSEEN | frozenset("nav header footer aside form button select textarea input dialog menu datalist".split())
+CORE = frozenset(("article", "main"))
 BLOCK = frozenset("address article blockquote body caption center dd details dir div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"} | {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 #: What an element closes when it begins, up to the nearest element that may hold it.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-#: Words in class, id and role that mark what is not the article.
-MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|gdpr|sidebar|side-?bar|menu|navbar|nav|navigation|breadcrumbs?|header|footer|masthead|comments?|comment-?list|replies|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|skip-?link|pagination|pager|toolbar|contentinfo|complementary|search)(?:$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)", re.S)
+#: Words that mark what is not the article, where a whole name of class, id or role is made of them and of the words that only tell a place or form.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent notice gdpr sidebar menu navbar nav navigation breadcrumb breadcrumbs header footer masthead"
+    " comment comments commentlist reply replies disqus share sharing social related recommended recommendations newsletter subscribe signup login popup modal skip pagination pager toolbar contentinfo complementary search".split()
+)
+PLACES = frozenset("site page main top bottom left right list box bar area wrapper container section block slot unit form links link widget wrap inner primary secondary global wide user reader side respond to".split())
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)", re.S)
+STOP = re.compile(r"""=\s*(["'])|>""")
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-DIGITS = re.compile(r"\d+")
+DIGITS, PART = re.compile(r"\d+"), re.compile(r"[-_]+")
 #: An inline element with less text than this is part of a sentence if its line goes on at both its sides.
 PHRASE = 20
-HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+#: Groups of counts that are no section or place: the whole host, and shapes on the host.
+HOST, SHAPE = 0, 1
+
+
+@lru_cache(maxsize=1 << 14)
+def marked(names: str) -> bool:
+    """Whether a name of class, id or role says that an element is not the article: ``cookie-notice`` does, ``market-share``, ``article-header`` and ``with-sidebar`` don't."""
+    for name in names.lower().split():
+        parts = set(PART.split(name)) - {""}
+        if parts & MARKS and parts <= MARKS | PLACES:
+            return True
+    return False
 
 
 def decoded(text: str) -> str:
@@ -40,56 +59,92 @@ def decoded(text: str) -> str:
 
 
 class Node:
-    __slots__ = ("gone", "hash", "kids", "marked", "names", "size", "tag")
+    __slots__ = ("core", "gone", "hash", "kids", "linked", "marked", "names", "shape", "size", "tag")
+
+    def __init__(self, tag: str, names: str = ""):
+        self.tag, self.names, self.kids, self.marked, self.core, self.gone = tag, names, [], bool(names) and tag not in ("main", "body", "html") and marked(names), False, False
+        self.hash = self.shape = self.size = self.linked = 0
+
+
+class _Stack:
+    """The open elements, with the places of each tag and of blocks, so that no step looks through all of them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at, self.blocks = [root], {}, [0]
+
+    def last(self, tags: Iterable[str]) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK and node.tag != "p":
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, k: int) -> None:
+        while len(self.nodes) > k:
+            self.at[self.nodes.pop().tag].pop()
+            if self.blocks[-1] == len(self.nodes):
+                self.blocks.pop()
 
-    def __init__(self, tag: str, marked: bool = False, names: str = ""):
-        self.tag, self.marked, self.names, self.kids, self.hash, self.size, self.gone = tag, marked, names, [], 0, 0, False
+
+def _tag_end(page: str, at: int, astray: set[int]) -> tuple[int, int]:
+    """Where the attributes of a tag end, and where the tag does. A quote that is never closed ends with the next ``>``.
+
+    ``astray`` collects opening quotes from which a page was read to its end in vain, so that none is tried twice.
+    """
+    i, path = at, []
+    while m := STOP.search(page, i):
+        if not m[1]:
+            return m.start(), m.end()
+        if m.end() in astray:
+            break
+        path.append(m.end())
+        i = page.find(m[1], m.end()) + 1
+        if not i:
+            break
+    else:
+        if not path:
+            return len(page), len(page)
+    astray.update(path)
+    i = page.find(">", at)
+    return (i, i + 1) if i >= 0 else (len(page), len(page))
 
 
 def parse(page: str) -> Node:
-    """The tree of a page, however malformed: text is str, elements are nodes."""
+    """The tree of a page, however malformed, in time linear in its length: text is str, elements are nodes."""
     root = Node("html")
-    stack, at, n = [root], 0, len(page)
+    stack, at, n, astray = _Stack(root), 0, len(page), set()
     while at < n:
         m = TOKEN.search(page, at)
         end = m.start() if m else n
         if end > at:
-            stack[-1].kids.append(decoded(page[at:end]))
+            stack.nodes[-1].kids.append(decoded(page[at:end]))
         if not m:
             break
         at = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
-                stack[-1].kids.append(m[0][9:].removesuffix("]]>"))
+                stack.nodes[-1].kids.append(m[0][9:].removesuffix("]]>"))
             continue
         tag = m[2].lower()
+        stop, at = _tag_end(page, at, astray)
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if k := stack.last((tag,)):
+                stack.close(k)
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in stack[1 - (tag == "html") :]):
+        if tag == "html" or tag == "body" and stack.last(("body",)):
             continue
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCK:
-                    break
+        if tag in CLOSES_P and (k := stack.last(("p",))) > stack.blocks[-1]:
+            stack.close(k)
         if tag in SIBLINGS:
             closed, within = SIBLINGS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in within:
-                    break
-                if stack[k].tag in closed:
-                    del stack[k:]
-                    break
-        names = " ".join(x for y in NAMED.findall(m[3]) for x in y) if m[3] else ""
-        node = Node(tag, bool(m[3]) and (bool(MARKS.search(names)) and tag not in ("article", "main", "body", "html") or bool(HIDDEN.search(m[3]))), names)
-        stack[-1].kids.append(node)
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
+            if (k := stack.last(closed)) > stack.last(within):
+                stack.close(k)
+        written = page[m.end() : stop]
+        node = Node(tag, " ".join(x for y in NAMED.findall(written) for x in y if x) if written else "")
+        stack.nodes[-1].kids.append(node)
+        if tag in VOID or written.endswith("/") and tag not in BLOCK:
             continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -97,39 +152,56 @@ def parse(page: str) -> Node:
                 node.kids.append(page[at : close.start() if close else n])
             at = close.end() if close else n
             continue
-        stack.append(node)
+        stack.push(node)
     return root
 
 
-def signed(h: int) -> int:
+def signed(text: str) -> int:
+    h = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
     return h - (1 << 64) if h >> 63 else h
 
 
-def hashed(node: Node) -> None:
-    """Give every element a signed hash of its subtree (tags and text, white space aside) and the length of its text; without recursion, since trees may be deep."""
-    order = [node]
+def measured(root: Node, hashes: bool) -> None:
+    """From the leaves up, without recursion since trees may be deep: the length of each element's text, how much of it is in links, and whether it is or holds an article; no mark holds for what does.
+
+    With ``hashes``, two hashes of the subtree too: of its tags, names and text (white space aside), and of its shape, in which
+    text, digits in names and repeats of a child's shape do not count.
+    """
+    order = [root]
     for x in order:
         order.extend(k for k in x.kids if k.__class__ is Node)
     for x in reversed(order):
-        parts, x.size = [], 0
+        parts, shapes = [x.tag, x.names], [x.tag, DIGITS.sub("0", x.names)]
+        core = False
         for k in x.kids:
             if k.__class__ is Node:
-                parts.append(f"\0{k.hash}")
                 x.size += k.size
+                x.linked += k.size if k.tag == "a" else k.linked
+                core = core or k.core
+                if hashes:
+                    parts.append(f"\0{k.hash}")
+                    if shapes[-1] != (shape := str(k.shape)):
+                        shapes.append(shape)
             else:
-                parts.append(" ".join(k.split()))
-                x.size += len(parts[-1])
-        x.hash = signed(xxhash.xxh64_intdigest("\1".join([x.tag, *parts]).encode("utf-8", "surrogatepass")))
+                text = " ".join(k.split())
+                x.size += len(text)
+                parts.append(text)
+        if x.tag in CORE and not x.marked:
+            core = True
+        x.core, x.marked = core, x.marked and not core
+        if hashes:
+            x.hash, x.shape = signed("\1".join(parts)), signed("\2".join(shapes))
 
 
 def _breaks(x: Node) -> bool:
     return x.tag in BLOCK or x.tag == "br"
 
 
-def spots(root: Node, places: dict[tuple[int, str, str], int] | None = None) -> Iterator[tuple[Node, int]]:
-    """The elements of a hashed tree that hold text and may be a template's, with a hash of their place: the tags, classes and ids above and of them (0 if not asked for by a dictionary of known ones).
+def spots(root: Node, places: dict[tuple[int, str, str], int] | None = None) -> Iterator[tuple[Node, int, bool]]:
+    """The elements of a measured tree that hold text, menus, footers and adverts among them, with a hash of their place (the tags, classes and ids above and of them; 0 if not asked for by a dictionary of known ones), and whether their shape alone may tell a template.
 
-    A few words in bold amid a sentence are no element of a template, so a short inline element whose line has text at both sides is left out.
+    A few words in bold amid a sentence are no element of a template, so a short inline element whose line has text at both sides is left out. A
+    shape tells nothing of prose: it counts outside the article alone, and on pages without an article where links are half of the text.
     """
     todo = [(root, 0, False, False)]
     while todo:
@@ -145,43 +217,63 @@ def spots(root: Node, places: dict[tuple[int, str, str], int] | None = None) ->
             if k.__class__ is str:
                 behind = behind or bool(k.strip())
                 continue
-            if k.size and k.tag not in DROPPED and not k.marked:
+            if k.size and k.tag not in UNSEEN:
                 key = (place, k.tag, k.names)
                 if places is not None and key not in places:
-                    places[key] = signed(xxhash.xxh64_intdigest(f"{place} {k.tag} {DIGITS.sub('0', k.names)}".encode("utf-8", "surrogatepass")))
+                    places[key] = signed(f"{place} {k.tag} {DIGITS.sub('0', k.names)}")
                 here = 0 if places is None else places[key]
-                if k.tag in BLOCK or k.size >= PHRASE or not (behind and ahead):
-                    yield k, here
+                if k.tag in BLOCK or k.tag in DROPPED or k.size >= PHRASE or not (behind and ahead):
+                    yield k, here, not k.core and (root.core or 2 * k.linked >= k.size)
                 todo.append((k, here, behind, ahead))
             behind = not _breaks(k) and (behind or k.size > 0 and k.tag not in DROPPED and not k.marked)
 
 
+def inside_articles(root: Node) -> set[int]:
+    """The elements of articles, whose shapes tell nothing, as ids of nodes."""
+    found, todo = set(), articles(root)
+    while todo:
+        x = todo.pop()
+        found.add(id(x))
+        todo.extend(k for k in x.kids if k.__class__ is Node)
+    return found
+
+
+def articles(root: Node) -> list[Node]:
+    """The outermost articles, in page order, that are not within something dropped or marked."""
+    tops, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if x.tag in CORE and not x.marked:
+            tops.append(x)
+        elif x.tag not in DROPPED and not x.marked:
+            todo.extend(k for k in reversed(x.kids) if k.__class__ is Node)
+    return tops
+
+
 def subtrees(page: str, section: int = 0, places: dict | None = None) -> set[tuple[int, int | None]]:
-    """(group, hash) of the page's subtrees and (group, None) of the groups that the page is in: 0 for the host, its section, and the places of the elements."""
+    """(group, hash) of the page's subtrees and (group, None) of the groups that the page is in: the host, its shapes, its section, and the places of the elements."""
     root = parse(page)
-    hashed(root)
-    wider = (0, section) if section else (0,)
-    out: set[tuple[int, int | None]] = {(g, None) for g in wider}
-    for x, place in spots(root, {} if places is None else places):
+    measured(root, True)
+    within = inside_articles(root)
+    wider = (HOST, section) if section else (HOST,)
+    out: set[tuple[int, int | None]] = {(g, None) for g in (*wider, SHAPE)}
+    for x, place, shaped in spots(root, {} if places is None else places):
         out.add((place, None))
         out.update((g, x.hash) for g in (*wider, place))
+        if shaped and id(x) not in within:
+            out.add((SHAPE, x.shape))
     return out
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     """The blocks of the article, or of the body where there is none, without dropped, marked and template elements."""
     root = parse(page)
+    measured(root, bool(template))
+    tops = articles(root)
     if template:
-        hashed(root)
-        for x, _ in spots(root):
-            x.gone = x.hash in template
-    tops, todo = [], [root]
-    while todo:
-        x = todo.pop()
-        if x.tag in ("article", "main"):
-            tops.append(x)
-        elif x.tag not in DROPPED and not x.marked:
-            todo.extend(k for k in reversed(x.kids) if isinstance(k, Node))
+        within = inside_articles(root)
+        for x, _, shaped in spots(root):
+            x.gone = x.hash in template or shaped and x.shape in template and id(x) not in within
     blocks: list[str] = []
     line: list[str] = []
 
@@ -191,23 +283,22 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
         if text:
             blocks.append(text)
 
-    work: list = [x for x in reversed(tops or [root])]
+    work: list = [(x, bool(tops)) for x in reversed(tops or [root])]
     while work:
-        x = work.pop()
+        x, inner = work.pop()
         if x is None:
             close()
-        elif isinstance(x, str):
+        elif x.__class__ is str:
             line.append(x)
         elif x.tag == "br":
             line.append(" ")
-        elif x.tag in DROPPED or x.marked or x.gone:
+        elif x.tag in DROPPED and not (inner and x.tag == "header") or x.marked or x.gone:
             line.append(" ")
-        elif x.tag in BLOCK:
-            close()
-            work.append(None)
-            work.extend(reversed(x.kids))
         else:
-            work.extend(reversed(x.kids))
+            if x.tag in BLOCK or x.tag == "header":
+                close()
+                work.append((None, inner))
+            work.extend((k, inner) for k in reversed(x.kids))
     close()
     return "\n".join(blocks)
 
@@ -227,7 +318,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, int, int | None], float] = {}
         places: dict[tuple[int, str, str], int] = {}
         for site, part, page, copies in zip(*(batch.column(c).to_pylist() for c in ("_host", "_section", "html", "_copies")), strict=True):
-            for group, h in subtrees(page, signed(xxhash.xxh64_intdigest(f"section {part}".encode("utf-8", "surrogatepass"))) if part else 0, places):
+            for group, h in subtrees(page, signed(f"section {part}") if part else 0, places):
                 counts[site, group, h] = counts.get((site, group, h), 0.0) + 1 / copies
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()), pa.array([k[2] for k in counts], pa.int64()), pa.array(counts.values(), pa.float64())], names=["_host", "_group", "_hash", "_n"])
 
@@ -246,14 +337,17 @@ def _extract(carry: list[str], schema: pa.Schema) -> Callable:
 def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None, least_pages: int = 10, least_share: float = 0.2, place_share: float = 0.5, broadcast_mb: int = 64) -> DataFrame:
     """Add main_text to every page.
 
-    The hashes of a page's element subtrees, whatever their tags, are counted per host, combined within each batch before the shuffle; copies of a
+    The hashes of a page's element subtrees, of all tags, are counted per host, combined within each batch before the shuffle; copies of a
     page count as one. A subtree belongs to the site's template and is deleted on the whole host if it is on at least ``least_pages`` of its pages
     (on every page of a host with three pages or more, but fewer than that) and on ``least_share`` of the host's pages, or on ``place_share`` of those of a section
-    (first folder of the path) or of those with an element at its place (the same tags, classes and ids above it). Only short inline elements amid a
-    sentence stay. So few subtrees can reach a share that a host's list is bounded by its pages' size, its sections and places, not their number. Menus, headers, footers, sidebars,
-    forms, scripts, adverts, notices and comments go by element, class, id and role. What is left of the article (the
+    (first folder of the path) or of those with an element at its place (the same tags, classes and ids above it). Menus, adverts and footers whose text
+    changes from page to page recur by their shape (tags and names, without text): outside the article, and where there is none among links, a shape on
+    ``place_share`` of a host's pages goes too. Only short inline elements amid a
+    sentence stay. So few subtrees can reach a share that a host's list is bounded by its pages' size, its sections and places, not their number.
+    What a host's pages cannot tell goes by element, and by names of class, id and role that say nothing but what they mark; neither holds for what is around the article,
+    and an article's own header stays. What is left of the article (the
     body, where there is none) becomes text: references decoded, white space in a block made one blank, blocks joined by
-    a newline. Null and empty pages give an empty text, and pages without a readable url share one host. Repeated rows each get a row; an
+    a newline. Null and empty pages give an empty text, and pages without a readable url share one host; hosts of one or two distinct pages have no template. Repeated rows each get a row; an
     empty table gives none. Pages are not shuffled if the hosts' lists and the repeated pages are few enough to broadcast (counted against ``broadcast_mb``).
     """
     carry = carried(pages, carry, html_col, ("main_text",))
@@ -263,9 +357,9 @@ def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     counts = arrow(weighed, _hashes, "_host string, _group bigint, _hash bigint, _n double").groupBy("_host", "_group", "_hash").agg(F.sum("_n").alias("_n"))
     counts = cut(counts.filter(F.col("_n") > min(3, least_pages) - 0.001), "html-counts")
     totals = counts.filter("_hash IS NULL").select("_host", "_group", F.col("_n").alias("_pages"))
-    sizes = totals.filter("_group = 0").select("_host", F.least(F.lit(float(least_pages)), F.col("_pages")).alias("_least"))
+    sizes = totals.filter(F.col("_group") == HOST).select("_host", F.least(F.lit(float(least_pages)), F.col("_pages")).alias("_least"))
     found = counts.filter("_hash IS NOT NULL").join(totals, ["_host", "_group"]).join(sizes, "_host")
-    share = F.when(F.col("_group") == 0, least_share).otherwise(place_share)
+    share = F.when(F.col("_group") == HOST, least_share).otherwise(place_share)
     found = found.filter((F.col("_n") > F.col("_least") - 0.001) & (F.col("_n") > share * F.col("_pages") - 0.001))
     found = cut(found.select("_host", "_hash").distinct(), "html-templates")
     templates = found.groupBy("_host").agg(F.array_sort(F.collect_set("_hash")).alias("_template"))
