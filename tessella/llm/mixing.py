@@ -11,6 +11,8 @@ from tessella.llm.common import cut, table, text_or_empty
 STRIDES = (1073741827, 1073741831)
 WORD = r"[^\x20\x09-\x0D]+"
 CELLS = 4096
+#: Slots of an output shard if not told otherwise, of a row that is unfolded at once, and of a task.
+SHARD, RUN, TASK = 1 << 20, 1 << 12, 1 << 16
 
 
 def word_count(text: Column) -> Column:
@@ -47,14 +49,13 @@ def permuted(df: DataFrame, index: str, of: str, keys: list[str], seed: int, rou
     return df.withColumn(index, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, swap_or_not))
 
 
-def draw(plan: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(place, shard, first, taken): which stretch of each source's slots every output shard gets.
+def draw(plan: DataFrame, n: int, shards: int, seed: int) -> DataFrame:
+    """(place, shard, first, taken): which stretch of each source's slots, of ``n`` of all sources, every output shard gets.
 
     Every slot of every shard draws its source from the multinomial of the targets. Where a source was drawn more often
     than its target allows, its last slots go to the sources that were drawn too seldom, in order.
     """
     spark = plan.sparkSession
-    n = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     per = max(1, -(-n // shards))
     plan = plan.withColumn("to", F.expr("sum(slots) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING)")).withColumn("from", F.expr("to - slots"))
     cells = plan.filter("slots > 0").select("place", "from", "to", F.explode(F.expr(f"sequence(from * {CELLS} div {max(n, 1)}, (to - 1) * {CELLS} div {max(n, 1)})")).alias("cell"))
@@ -76,7 +77,7 @@ def draw(plan: DataFrame, shards: int, seed: int) -> DataFrame:
     return counts.filter("taken > 0").select(F.col("place").cast("bigint").alias("place"), "shard", F.col("before").alias("first"), "taken").union(moved)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 128, shards: int = 64, rows_per_bucket: int = 4_000, seed: int = 29, row_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 128, shards: int | None = None, rows_per_bucket: int = 4_000, seed: int = 29, row_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Mix the sources of ``docs`` to their targets; returns (sized, pieces, slots).
 
     sized: _row, id, source, size, place, source_size, target of every row. pieces: the stretches of words (_row,
@@ -87,7 +88,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     A null text has no words; null is a source of its own, the last; documents without words are in no block. Repeated
     rows are separate rows. An empty table gives three empty results. Offsets of words in a source come from sums over
     hash buckets of about ``rows_per_bucket`` rows, not from one window over a source, so a source with a third of all
-    rows is spread like any other.
+    rows is spread like any other. There are 64 ``shards``, more beyond 64 times ``SHARD`` slots.
     """
     text = text_or_empty(text_col)
     row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
@@ -104,7 +105,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     pieces = worded.select("_row", "place", "at", "size", F.explode(F.expr(f"sequence(at div {block_words}, (at + size - 1) div {block_words})")).alias("block"))
     pieces = pieces.select("_row", "place", "block", F.expr(f"greatest(at, block * {block_words}) - at").alias("first_word"), F.expr(f"least(at + size, (block + 1) * {block_words}) - greatest(at, block * {block_words})").alias("words"))
 
-    slots = draw(plan, shards, seed).join(plan.select("place", "blocks"), "place").select("place", "blocks", "shard", F.explode(F.expr("sequence(first, first + taken - 1)")).alias("slot"))
+    n = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    slots = draw(plan, n, shards or max(64, n // SHARD), seed).join(plan.select("place", "blocks"), "place")
+    # A stretch is unfolded in two steps, so that no array holds more than RUN slots or stretches of a shard, and no task much more than TASK.
+    slots = slots.select("place", "blocks", "shard", F.expr("first + taken - 1").alias("last"), F.explode(F.expr(f"sequence(first, first + taken - 1, {RUN})")).alias("start"))
+    slots = slots.repartition(min(20_000, 1 + n // TASK), "place", "start").select("place", "blocks", "shard", F.explode(F.expr(f"sequence(start, least(last, start + {RUN - 1}))")).alias("slot"))
     slots = slots.withColumn("epoch", F.expr("slot div blocks")).withColumn("block", F.expr("slot % blocks"))
     slots = permuted(slots, "block", "blocks", ["place", "epoch"], seed).select("shard", "slot", "place", "epoch", "block")
     return sized, pieces, slots

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -230,36 +230,95 @@ class Field:
         return slope, seen - moved
 
 
-def labels(raw: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Tags by the fixed patterns: the first token of a found secret (of an assignment, the value) is B, a further one I."""
+def values(raw: bytes) -> list[tuple[int, int, int]]:
+    """(start of the whole span, start and end of the secret in it) of what the fixed patterns find, from left to right and without overlaps."""
+    spans = [(m.start(), m.start(1), m.end(1)) for m in ASSIGN.finditer(raw) if m.end(1) - m.start(1) >= 6] + [(m.start(), m.start(), m.end()) for p in (ACCESS, HEX) for m in p.finditer(raw)]
+    out: list[tuple[int, int, int]] = []
+    for whole, a, b in sorted(spans):
+        if not out or whole >= out[-1][2]:
+            out.append((whole, a, b))
+    return out
+
+
+def labels(first: np.ndarray, end: np.ndarray, spans: Iterable[tuple[int, int, int]]) -> np.ndarray:
+    """Tags of tokens: the first token of a secret is B, a further one I."""
     tags = np.zeros(len(first), np.int64)
-    spans = [(m.start(1), m.end(1)) for m in ASSIGN.finditer(raw) if m.end(1) - m.start(1) >= 6] + [(m.start(), m.end()) for p in (ACCESS, HEX) for m in p.finditer(raw)]
-    for a, b in sorted(spans):
+    for _, a, b in spans:
         lo, hi = np.searchsorted(end, a, "right"), np.searchsorted(first, b)
         if hi > lo and not tags[lo:hi].any():
             tags[lo], tags[lo + 1 : hi] = B, I
     return tags
 
 
-def fit(texts: list[str], epochs: int = 8, rate: float = 0.1, seed: int = 3) -> Field | None:
-    """Learn from what the fixed patterns find, from all tokens. Texts are cut where two tokens are outside into pieces of some ``PIECE`` tokens."""
+def doubtful(buf: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Tokens of 16 characters or more with both digits and letters."""
+    digits, letters = _sums(DIGIT[buf]), _sums(TOKEN[buf] & ~DIGIT[buf] & (buf > 64) & (buf != 95))
+    return (end - first >= 16) & (digits[end] > digits[first]) & (letters[end] > letters[first])
+
+
+#: What made-up secrets are written with: words before them, what joins both, quotes, and the kinds of their characters.
+LEADS = "password passwd pwd pass passphrase login secret token key apikey auth bearer credential credentials client_secret private access".split()
+JOINTS = (" = ", "=", ": ", ":", " is ", " -> ", " := ", " - ", " ")
+DIGITS_, LETTERS = b"0123456789", b"abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = (DIGITS_ + LETTERS + LETTERS.upper(), DIGITS_ + LETTERS + LETTERS.upper() + b"_-", DIGITS_ + LETTERS + LETTERS.upper() + b"+/", DIGITS_ + b"abcdef", DIGITS_ + b"ABCDEF", DIGITS_ + LETTERS, DIGITS_ + LETTERS.upper(), LETTERS + LETTERS.upper())
+
+
+def made_up(raw: bytes, spans: list[tuple[int, int, int]], rng: np.random.Generator) -> tuple[bytes, list[tuple[int, int, int]]]:
+    """The text with each secret and what announces it written anew, so that neither the patterns' words and marks nor their alphabets tell all secrets."""
+    parts, out, at, size = [], [], 0, 0
+    for whole, _, b in spans:
+        parts.append(raw[at:whole])
+        size += whole - at
+        alphabet = np.frombuffer(ALPHABETS[rng.integers(len(ALPHABETS))], np.uint8)
+        secret = rng.choice(alphabet, int(rng.integers(8, 16) if rng.random() < 0.3 else rng.integers(16, 65))).tobytes()
+        lead = (LEADS[rng.integers(len(LEADS))] + JOINTS[rng.integers(len(JOINTS))]).encode() if rng.random() < 0.7 or len(secret) < 16 else b""
+        lead = lead.upper() if rng.random() < 0.2 else lead
+        quote = (b'"', b"'", b"`", b"")[rng.integers(4)]
+        parts += [lead, quote, secret, quote if raw[b : b + 1] not in (b'"', b"'") else b""]
+        size += len(lead) + len(quote)
+        out.append((size - len(lead) - len(quote), size, size + len(secret)))
+        size += len(secret) + len(parts[-1])
+        at = b
+    return b"".join([*parts, raw[at:]]), out
+
+
+def fit(texts: list[str], epochs: int = 8, rate: float = 0.1, seed: int = 3, copies: int = 2) -> Field | None:
+    """Learn from what the fixed patterns find, and from ``copies`` (more where few are found) of those texts with the found secrets written anew (``made_up``), from all tokens.
+
+    Texts are cut where two tokens are outside into pieces of some ``PIECE`` tokens. Pieces with a token that no pattern finds, but that looks like a
+    secret, teach nothing, since it may be one.
+    """
     rows, tags, places, n = [], [], [], 0
-    for text in texts:
-        raw = text.encode()
+    rng = np.random.default_rng(seed)
+    copies = min(10 * copies, max(copies, -(-200 * copies // max(1, sum(bool(values(t.encode())) for t in texts)))))
+
+    def examples() -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
+        for text in texts:
+            raw = text.encode()
+            spans = values(raw)
+            yield raw, spans
+            if spans:
+                for _ in range(copies):
+                    yield made_up(raw, spans, rng)
+
+    for raw, spans in examples():
         buf, bounds = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
         first, end = candidates(buf, bounds)
         if not len(first):
             continue
         rows.extend(columns(buf, bounds, first, end))
-        tags.append(labels(raw, first, end))
+        tags.append(labels(first, end, spans))
         at = np.arange(PIECE, len(first), PIECE)
         at = at[(tags[-1][at] == O) & (tags[-1][at - 1] == O)]
-        places.extend(zip([n, *(n + at).tolist()], [*(n + at).tolist(), n + len(first)], strict=True))
+        doubt = _sums(doubtful(buf, first, end) & (tags[-1] == O))
+        at = np.concatenate([[0], at, [len(first)]])
+        sure = np.flatnonzero(doubt[at[1:]] == doubt[at[:-1]])
+        places.extend(zip((n + at[sure]).tolist(), (n + at[sure + 1]).tolist(), strict=True))
         n += len(first)
-    if not n:
+    if not places:
         return None
     rows, tags = np.concatenate(rows), np.concatenate(tags)
-    field, rng = Field(), np.random.default_rng(seed)
+    field = Field()
     size = max(1, min(1024, len(places) // 25))
     square = [np.full_like(field.emit, 1e-2), np.full_like(field.move, 1e-2)]
     places = np.array(places)
@@ -345,7 +404,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Find secrets in every whole text: those of three fixed patterns, and those that the random field adds.
 
     The field learns on the driver from a bounded sample of at most ``learn_rows`` texts of at most ``most_bytes`` that have
-    two digits or a credential's word, those with the least hash of the id, labelled by the patterns. Every token of every text may be tagged; decoding is exact
+    two digits or a credential's word, those with the least hash of the id, labelled by the patterns; what these find is also learned in other words, marks, alphabets and lengths (``made_up``). Every token of every text may be tagged; decoding is exact
     (what is proven to be outside is left out of the search). Returns ``carry`` with n_assign, n_access, n_hex, base_sha256 and
     spans (``kind:start:end`` in code points, the field's as ``crf``). Null and empty texts have no spans; repeated rows each get a
     row, an empty table gives none; a carried column with the name of a result gives way to it. Documents are not shuffled.

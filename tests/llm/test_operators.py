@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import string
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -156,7 +158,8 @@ def test_seeds_survive_packing():
 def test_decontamination(spark, docs, rows):
     rng = random.Random(11)
     texts = dict(rows)
-    items = [(0, texts[405][100:400]), (1, texts[100]), (2, "Alpha, beta"), (3, None), (4, ""), (5, texts[7] + " " + texts[9]), (6, prose(rng, 40)), (1, texts[101])]
+    items = [(0, texts[405][100:400]), (1, texts[100]), (2, "Alpha, beta"), (3, None), (4, ""), (5, texts[7] + " " + texts[9]), (6, prose(rng, 40)), (1, texts[101]), (None, texts[9])]
+    assert any(len((t or "").split()) == 1 for _, t in items)
     frame = spark.createDataFrame(items, "item_id bigint, text string")
     want = sorted(decontamination.brute_force(rows, items), key=repr)
     for blocks in (16, 0.0003):  # one block, and several
@@ -164,6 +167,7 @@ def test_decontamination(spark, docs, rows):
         keyed = found.select("doc_id", "n_words", "n_hit", F.size("items").alias("n"), F.sha2(F.concat_ws(",", "items"), 256).alias("s"), "contaminated")
         assert got(keyed, "doc_id", "n_words", "n_hit", "n", "s", "contaminated") == want
     assert decontamination.decontaminate(docs, frame.limit(0)).filter("n_hit > 0").count() == 0
+    assert decontamination.decontaminate(docs.limit(0), frame).count() == 0 and decontamination.decontaminate(docs.union(docs), frame).count() == 2 * len(rows)
 
 
 def _blocked(docs, frame):
@@ -219,6 +223,66 @@ def test_mixing(docs, rows):
     assert mixing.taken_words(*mixing.mix(docs.limit(0))).count() == 0
 
 
+def test_mixing_by_brute_force(docs, rows):
+    """Sizes, blocks and taken words counted again from the texts, in loops; the slots are a multinomial mix of whole passes over each source."""
+    both = docs.union(docs.filter("doc_id < 10"))
+    sized, pieces, slots = mixing.mix(both, block_words=8, shards=5)
+    by_row = {r["_row"]: r for r in sized.collect()}
+    texts = dict(rows)
+    assert sorted(r.id for r in by_row.values()) == sorted([d for d, _ in rows] + [d for d, _ in rows if d < 10])
+    assert all(r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", texts[r.id] or "")) for r in by_row.values())
+    blocks, used = {}, {}
+    for r in pieces.collect():
+        blocks.setdefault((r.place, r.block), []).append((r["_row"], r.first_word, r.words))
+        used.setdefault(r["_row"], []).append((r.first_word, r.words))
+    for row, parts in used.items():  # the pieces of a text lie end to end
+        at = 0
+        for first, n in sorted(parts):
+            assert first == at and n > 0
+            at += n
+        assert at == by_row[row]["size"]
+    last = {place: max(b for p, b in blocks if p == place) for place, _ in blocks}
+    assert all(sum(n for *_, n in parts) == 8 or block == last[place] for (place, block), parts in blocks.items())
+    times, epochs = {}, {}
+    taken = slots.collect()
+    for r in taken:
+        times[r.place, r.block] = times.get((r.place, r.block), 0) + 1
+        epochs.setdefault((r.place, r.epoch), []).append(r.block)
+    for (place, epoch), some in epochs.items():  # each pass takes a block once, and all of them before the next pass
+        assert len(set(some)) == len(some) and ((place, epoch + 1) not in epochs or len(some) == last[place] + 1)
+    assert len({(r.place, r.slot) for r in taken}) == len(taken)
+    per = [sum(r.shard == k for r in taken) for k in range(5)]
+    assert max(per) - min(per) <= 5
+    want = dict.fromkeys(by_row, 0)
+    for key, parts in blocks.items():
+        for row, _, n in parts:
+            want[row] += n * times.get(key, 0)
+    found = mixing.taken_words(sized, pieces, slots).collect()
+    assert {r["_row"]: r.taken for r in found} == want
+
+
+def test_shards_by_brute_force(docs, rows):
+    """Buckets lie end to end, each in an order of its own that no sort explains, and equal stretches of that order are the shards."""
+    found = shards.shuffle_shards(docs, shards=3, bucket_mb=1, carry=["doc_id", "text"]).collect()
+    n = len(rows)
+    ends = [-(-n * k // 3) for k in range(4)]
+    order = {}
+    for r in found:
+        order[ends[r.shard] + r.slot] = r.doc_id
+    assert sorted(order) == list(range(n)) and sorted(order.values()) == sorted(d for d, _ in rows)
+    texts = {d: (t or "").encode() for d, t in rows}
+    assert all(r["size"] == len(texts[r.doc_id]) + 1 and r.text_crc32 == zlib.crc32(texts[r.doc_id]) for r in found)
+    hashes = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64(F.lit(17), "doc_id", F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    buckets = max(1, -(-sum(len(t) + 64 for t in texts.values()) // (1 << 20)))
+    dealt = [hashes[order[k]] % buckets for k in range(n)]
+    assert dealt == sorted(dealt)
+    for b in range(buckets):
+        mine = [hashes[order[k]] for k in range(n) if dealt[k] == b]
+        assert len(mine) < 10 or mine not in (sorted(mine), sorted(mine, reverse=True))
+    twice = shards.shuffle_shards(docs.union(docs), shards=3)
+    assert got(twice, "doc_id") == sorted(((d,) for d, _ in rows * 2), key=repr)
+
+
 def test_mixed_documents_hold_what_the_mix_takes(docs):
     taken = mixing.taken_words(*mixing.mix(docs, block_words=8)).filter("taken > 0")
     out = mixing.mixed_documents(docs.withColumn("n_chars", F.length("text")), block_words=8).withColumn("n", mixing.word_count(F.col("text")))
@@ -349,6 +413,33 @@ def test_secrets(spark, sf):
     assert all((r.n_assign, r.n_access, r.n_hex, r.base_sha256) == want[r.doc_id] for r in found) and len(found) == len(rows)
 
 
+def test_field_finds_forms_it_was_never_shown(spark):
+    """Precision and recall on secrets that no pattern finds, in real texts: other words and marks around them, other alphabets and prefixes."""
+    rng, kinds = random.Random(5), string.ascii_letters + string.digits
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    forms = (lambda: "ghp_" + draw(kinds, 36), lambda: draw(kinds, 24), lambda: "eyJ" + draw(kinds + "_-", 60), lambda: "xoxb-" + draw("0123456789", 11) + "-" + draw(kinds, 24))
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) BETWEEN 100 AND 4000").select("doc_id", "text").collect()
+    rows, hidden = [(r.doc_id, r.text) for r in real], {}
+    for k, r in enumerate(x for x in real if not secrets.base_spans(x.text.encode())):
+        if k % 3 == 0:
+            words, secret = r.text.split(" "), forms[k // 3 % 4]()
+            words.insert(rng.randrange(len(words)), rng.choice(("pwd is {}", 'authorization "{}"', "the login {}", '"{}"')).format(secret))
+            rows.append((10**6 + r.doc_id, " ".join(words)))
+            hidden[10**6 + r.doc_id] = (rows[-1][1].index(secret), secret)
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("spans LIKE '%crf%'").collect()
+    spans = [(r.doc_id, *map(int, x.split(":")[1:])) for r in found for x in r.spans.split(",") if x.startswith("crf")]
+    right = [(d, a, b) for d, a, b in spans if d in hidden and a <= hidden[d][0] and b >= hidden[d][0] + len(hidden[d][1])]
+    assert len({d for d, *_ in right}) >= 0.8 * len(hidden) > 20 and len(right) >= 0.95 * len(spans)
+
+
+def test_secrets_in_odd_tables(spark, docs, rows):
+    found = secrets.scan_secrets(docs.withColumns({"spans": F.lit("clash"), "n_hex": F.lit("clash")}))
+    assert found.count() == len(rows) and {r.spans for r in found.filter("doc_id IN (400, 401, 402)").collect()} == {""}
+    twice = secrets.scan_secrets(docs.union(docs), carry=["doc_id"])
+    assert got(twice, "doc_id", "spans") == sorted(got(found, "doc_id", "spans") * 2, key=repr)
+    assert secrets.scan_secrets(docs.limit(0)).count() == 0
+
+
 def test_field_adds_what_the_patterns_miss():
     rng = random.Random(1)
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
