@@ -82,13 +82,13 @@ def _block(buf: np.ndarray, bounds: np.ndarray, first: np.ndarray, end: np.ndarr
     turn = _sums(np.concatenate([[False], digit[1:] != digit[:-1]]))
     turns = turn[end] - turn[first + 1]
     entropy = np.zeros(len(n), np.int64)
-    some = np.flatnonzero((n >= 6) & (n <= 4096))
+    some = np.flatnonzero((n >= 6) & (n <= 4096) & ((n >= 12) | (lowers < n - 1)))  # short words of small letters have the value 0
     for lo in range(0, len(some), 4096):
         part = some[lo : lo + 4096]
         at = np.repeat(np.arange(len(part)), n[part])
         where = np.arange(len(at)) - np.repeat(np.cumsum(n[part]) - n[part], n[part]) + np.repeat(first[part], n[part])
-        share = np.bincount(at * 128 + buf[where], minlength=len(part) * 128).reshape(-1, 128) / n[part][:, None]
-        entropy[part] = 1 + (-2 * (share * np.log2(np.where(share > 0, share, 1))).sum(1)).astype(np.int64)
+        count = np.minimum(np.bincount(at * 128 + buf[where], minlength=len(part) * 128), len(LOGS) - 1).reshape(-1, 128)
+        entropy[part] = 1 + (2 * (np.log2(n[part]) - LOGS[count].sum(1) / n[part])).astype(np.int64)
     low, high = bounds[owner], bounds[owner + 1]
     # The nearest byte before that is neither blank nor quote.
     solid = np.where((buf != 32) & (buf != 34) & (buf != 39), np.arange(1, len(buf) + 1), 0)
@@ -110,6 +110,8 @@ def _block(buf: np.ndarray, bounds: np.ndarray, first: np.ndarray, end: np.ndarr
     return np.stack([c.astype(np.uint16) + np.uint16(o) for c, o in zip(columns, OFFSET.values(), strict=True)], 1)
 
 
+#: x * log2(x) of a character's count in a token.
+LOGS = np.arange(4097) * np.log2(np.maximum(np.arange(4097), 1))
 MARK = np.zeros(256, np.int64)
 MARK[list(b":=(|")] = [1, 2, 3, 4]
 
@@ -154,10 +156,11 @@ class Field:
         self.emit, self.move = np.zeros((sum(VALUES.values()), 3)), np.zeros((3, 3))
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(rows), 3))
-        for column in rows.T:
-            out += self.emit[column]
-        return out
+        out = np.zeros((3, len(rows)))
+        for column in np.ascontiguousarray(rows.T):
+            for tag, weights in enumerate(np.ascontiguousarray(self.emit.T)):
+                out[tag] += weights[column]
+        return np.ascontiguousarray(out.T)
 
     def transitions(self) -> np.ndarray:
         move = self.move.copy()
