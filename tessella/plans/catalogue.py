@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessella.plans import map_plans, place_plans, record_plans, state_plans, stats_plans, stream_plans, text_plans
+from tessella.plans import map_plans, place_plans, record_plans, state_plans, stats_plans, stream_plans, text_plans, validity_plans
 
-_ALL = {**map_plans.QUERIES, **state_plans.QUERIES, **text_plans.QUERIES, **place_plans.QUERIES, **stats_plans.QUERIES, **record_plans.QUERIES, **stream_plans.QUERIES}
+_ALL = {**map_plans.QUERIES, **state_plans.QUERIES, **text_plans.QUERIES, **place_plans.QUERIES, **stats_plans.QUERIES, **record_plans.QUERIES, **stream_plans.QUERIES, **validity_plans.QUERIES}
 QUERIES = {name: query for name, (query, _) in _ALL.items()}
 SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
