@@ -59,7 +59,26 @@ SIGNATURES = [
     ("shooting", r"\bschussabgab\w*|\bschusswaffe\b"),
 ]
 MONTHS = ["Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"]
-DASHES = dict.fromkeys(map(ord, "‐‑‒–—−"), "-")
+
+
+def _single_forms() -> tuple[str, str]:
+    """Characters of the basic plane whose compatibility form is one other character, with that form; dashes become hyphens."""
+    pairs = {chr(c): f for c in range(0xA0, 0xFFFE) if len(f := unicodedata.normalize("NFKC", chr(c))) == 1 and f != chr(c)}
+    pairs |= dict.fromkeys("‐‑‒–—−", "-")
+    return "".join(pairs), "".join(pairs.values())
+
+
+FORMS = _single_forms()
+#: Umlauts written as letter and mark, ligatures, and the sharp s.
+SPELLINGS = {"a\u0308": "ä", "o\u0308": "ö", "u\u0308": "ü", "ﬁ": "fi", "ﬂ": "fl", "ß": "ss"}
+#: What makes German place names alike, tried in turn on text in lower case: pattern and what stands for it.
+ALIKE = {
+    r"\bs-(?:\s+und|\s*/)?\s*u-(bahnhof)s?\b": "s+u-$1",  # a station of both kinds, in all its spellings
+    r"(?<=\bbahnhof)s\b": "",  # genitives
+    r"[ \t]*-[ \t\n]*": "-",
+    r"str\.(?=[\s,;/]|$)": "strasse",
+    r"\s+": " ",
+}
 
 
 def collapsed(text: Column) -> Column:
@@ -115,18 +134,11 @@ def quoted(body: Column, quote: Column, least: int = 15) -> Column:
     return F.coalesce((F.length(q) >= least) & (F.instr(collapsed(body), q) > 0), F.lit(False))
 
 
-def normal(text: str) -> str:
-    """Compatibility forms, case, sharp s, dashes, short forms of Straße, station genitives and white space made alike."""
-    text = unicodedata.normalize("NFKC", text).casefold().translate(DASHES)
-    text = re.sub(r"\bs-\s*(?:und\s+|/\s*)u-bahnhofs?\b", "s+u-bahnhof", text)
-    text = re.sub(r"\b((?:[us](?:\+u)?-)?bahnhof)s\b", r"\1", text)
-    text = re.sub(r"\s*-\s*", "-", text)
-    return " ".join(re.sub(r"(?:(?<=\w)|\b)str\.(?=[\s,;/]|$)", "strasse", text).split())
-
-
-@F.pandas_udf(T.StringType())
-def normalised(texts: pd.Series) -> pd.Series:
-    return texts.map(normal, na_action="ignore")
+def normalised(text: Column) -> Column:
+    """Compatibility forms, case, sharp s, dashes, short forms of Straße, station genitives and white space made alike; null stays null."""
+    plain = F.lower(F.translate(text, *FORMS))
+    plain = reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), SPELLINGS.items(), plain)
+    return F.trim(reduce(lambda t, p: F.regexp_replace(t, f"(?U){p[0]}", p[1]), ALIKE.items(), plain))
 
 
 @F.pandas_udf(T.StringType())
@@ -134,53 +146,45 @@ def unescaped(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-SHORT_FORM = re.compile(r"(?:\b(?:st|dr|nr|ca|bzw)|\bz\. b|\bu\. a)\.$")
-ORDINAL, AFTER_ORDINAL = re.compile(r"\d\.$"), re.compile("|".join(m.lower() for m in MONTHS) + "|(?:einsatz)?hundertschaft|mordkommission")
-
-
-def sentences_of(body: str) -> list[str]:
-    """Sentences of a whole normalised text; short forms and ordinals before months end none."""
-    text, out, start = normal(body), [], 0
-    for m in re.finditer(r"(?<=[.!?])\s+", text):
-        before, after = text[max(start, m.start() - 12) : m.start()], text[m.end() : m.end() + 24]
-        if SHORT_FORM.search(before) or ORDINAL.search(before) and AFTER_ORDINAL.match(after) or not after[:1].isalpha() and after[:1] not in "„“":
-            continue
-        out.append(text[start : m.start()])
-        start = m.end()
-    return [s for s in (*out, text[start:]) if s.strip()]
+#: Where a sentence ends: after its mark and before a letter or opening quote, but not after a short form, nor between a day and its month or a number and a unit of police.
+SENTENCE_END = (
+    r"(?U)(?<=[.!?])(?<!\b(?:st|dr|nr|ca)\.)(?<!\bbzw\.)(?<!\b[zu]\.)(?<!\b(?:z\. b|u\. a)\.)\s+"
+    rf"(?<!\d\.\s(?=(?:{'|'.join(m.lower() for m in MONTHS)}|(?:einsatz)?hundertschaft|mordkommission)))(?=[\p{{L}}„“])"
+)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def sentences(texts: pd.Series) -> pd.Series:
-    return texts.map(sentences_of, na_action="ignore")
+def sentences(text: Column) -> Column:
+    """Sentences of a whole text in normal form; no text has none."""
+    return F.filter(F.split(normalised(text), SENTENCE_END), lambda s: F.trim(s) != "")
 
 
-def aliases_of(name: str) -> list[str]:
-    """Inflected forms under which a German name may be written."""
-    base = normal(name)
-    *head, last = base.split() or [""]
-    forms = {base}
-    if head:
-        bent = [w + "n" if w.endswith("sche") or w in ("alte", "neue", "grosse", "kleine") else w[:-1] + "n" if w in ("kleiner", "grosser") else w for w in head]
-        forms.add(" ".join([*bent, last]))
-    forms |= {f + "s" for f in forms if re.search("(?:ring|weg|damm|park|ufer|garten)$", f)}
-    return sorted(forms | {f + "es" for f in forms if f.endswith("platz")})
+#: How the words before the last of a German name bend, and what a name's last word takes on.
+BENT = {"sche$": "schen", "^(alte|neue|grosse|kleine)$": "$1n", "^(kleine|grosse)r$": "$1n"}
+TAKES = {"(ring|weg|damm|park|ufer|garten)$": "s", "platz$": "es"}
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def name_aliases(names: pd.Series) -> pd.Series:
-    return names.map(aliases_of, na_action="ignore")
+def name_aliases(name: Column) -> Column:
+    """Inflected forms under which a German name may be written, sorted, the name itself among them."""
+    words = F.split(normalised(name), " ")
+    bent = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: reduce(lambda x, p: F.regexp_replace(x, p[0], p[1]), BENT.items(), w))
+    forms = F.array(F.array_join(words, " "), F.array_join(F.concat(bent, F.slice(words, -1, 1)), " "))
+    takes = lambda f: F.coalesce(*[F.when(F.regexp_like(f, F.lit(end)), F.lit(more)) for end, more in TAKES.items()])
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(forms, F.transform(forms, lambda f: F.concat(f, takes(f)))))))
 
 
-def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: list[str]) -> DataFrame:
-    """(id, name, start, end) of dictionary names in normalised texts: the longest at each place, whole words only.
+def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, most: int = 200_000) -> DataFrame:
+    """(id, name, start, end) of the dictionary's names in normalised texts: the longest at each place, whole words only.
 
-    Names are grouped by first word, so a text is read once whatever the size of the dictionary; the dictionary is a bounded list of the caller's.
+    ``names`` has one column. The dictionary goes to every task, so more than ``most`` distinct names are refused. Names are grouped by first word, so a
+    text is read once whatever the size of the dictionary.
     """
     ship(docs.sparkSession)
+    known = names.select(F.regexp_extract_all(normalised(F.col(names.columns[0])), F.lit(r"(?U)(\w+)"), F.lit(1)).alias("n")).filter("size(n) > 0").distinct().limit(most + 1).collect()
+    if len(known) > most:
+        raise ValueError(f"a dictionary of more than {most} names")
     heads: dict[str, list[tuple[str, ...]]] = {}
-    for name in {tuple(re.findall(r"\w+", normal(n))) for n in names} - {()}:
-        heads.setdefault(name[0], []).append(name)
+    for row in known:
+        heads.setdefault(row["n"][0], []).append(tuple(row["n"]))
     for group in heads.values():
         group.sort(key=len, reverse=True)
 
@@ -188,7 +192,7 @@ def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: list[
         for batch in batches:
             rows = []
             for key, text in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
-                found = [(m[0], m.start(), m.end()) for m in re.finditer(r"\w+", normal(text or ""))]
+                found = [(m[0], m.start(), m.end()) for m in re.finditer(r"\w+", text)]
                 words, k = [w for w, _, _ in found], 0
                 while k < len(words):
                     hit = next((n for n in heads.get(words[k], ()) if tuple(words[k : k + len(n)]) == n), None)
@@ -198,7 +202,7 @@ def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: list[
             yield pd.DataFrame(rows, columns=["id", "name", "start", "end"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInPandas(match, f"id {kind}, name string, start bigint, end bigint")
+    return docs.select(id_col, normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_text")).mapInPandas(match, f"id {kind}, name string, start bigint, end bigint")
 
 
 def fingerprint(*columns: Column | str) -> Column:

@@ -75,10 +75,18 @@ def upstream_two_stage_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quote_evidence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the quote that a record claims stands word for word in its text."""
-    quotes = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("k"), F.substring("text", 1, 40).alias("quote"))
-    d = table(spark, sf_dir, "documents").withColumn("k", F.col("doc_id") % 40).join(quotes, "k", "left")
-    return d.select("doc_id", tx.quoted(F.col("text"), F.col("quote")).alias("in_benchmark"), tx.quoted(F.col("text"), F.substring("text", 5, 30)).alias("own_quote"))
+    """Quotes of benchmark items, each of twelve words, and the documents in which they stand word for word.
+
+    Documents meet quotes by the hash of any five words in a row, and are then searched for the whole quote.
+    """
+    fives = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda k: F.xxhash64(F.array_join(F.slice(w, k, 5), " ")))
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.split(tx.collapsed(F.coalesce("text", F.lit(""))), " ").alias("w")).filter("size(w) >= 12")
+    quotes = items.select("item_id", F.explode(F.sequence(F.lit(1), F.size("w") - 11, F.lit(12))).alias("k"), "w").select("item_id", F.col("k").cast("bigint").alias("word"), F.slice("w", F.col("k"), 12).alias("q"))
+    quotes = quotes.select("item_id", "word", F.array_join("q", " ").alias("quote"), F.xxhash64(F.array_join(F.slice("q", 1, 5), " ")).alias("h"))
+    bodies = table(spark, sf_dir, "documents").select("doc_id", tx.collapsed(F.coalesce("text", F.lit(""))).alias("body"))
+    seen = bodies.select("doc_id", F.split("body", " ").alias("w")).filter("size(w) >= 12").select("doc_id", F.explode(F.array_distinct(fives(F.col("w")))).alias("h"))
+    pairs = seen.join(quotes, "h").select("doc_id", "item_id", "word", "quote")
+    return pairs.join(bodies, "doc_id").filter(tx.quoted(F.col("body"), F.col("quote"))).select("doc_id", "item_id", "word").distinct()
 
 
 def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,20 +97,35 @@ def identical_article_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_fingerprint(spark, sf_dir).groupBy("sha256").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).filter("copies > 1")
 
 
+#: Spellings and their normal forms, put around names.
+SPELT = {"Str.": "strasse", "– S- und U-Bahnhofs": "-s+u-bahnhof", "GROẞE  Str. ,": "grosse strasse ,", "des U-Bahnhofs Ｎｒ.": "des u-bahnhof nr.", "Ka\u0308the - Weg": "käthe-weg"}
+BEFORE, AFTER = ("Alte", "Kleiner", "Deutsche", "Hohe"), ("Platz", "Weg", "Tor")
+
+
+def _picked(values: tuple[str, ...], by: str) -> F.Column:
+    return F.element_at(F.array(*map(F.lit, values)), (F.expr(by) % len(values) + 1).cast("int"))
+
+
 def normalise_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
-    return table(spark, sf_dir, "part").select("p_partkey", tx.normalised(F.concat(F.upper("p_name"), F.lit("  Str."))).alias("name"))
+    """Part names in capitals before spellings of streets and stations, in normal form."""
+    return table(spark, sf_dir, "part").select("p_partkey", tx.normalised(F.concat(F.upper("p_name"), F.lit("  "), _picked(tuple(SPELT), "p_partkey"))).alias("name"))
+
+
+def name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat_ws(" ", _picked(BEFORE, "p_partkey"), "p_name", _picked(AFTER, "p_partkey div 4"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(",", tx.name_aliases(name)).alias("aliases"))
 
 
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(tx.sentences("text")).cast("bigint").alias("sentences"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(tx.sentences(F.coalesce("text", F.lit("")))).cast("bigint").alias("sentences"))
 
 
 def dictionary_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions of the benchmark's opening words, a bounded dictionary, in all documents."""
-    opening = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", r"^(\S+ \S+ \S+)", 1).alias("n")).filter("n <> ''")
-    return tx.dictionary_matches(table(spark, sf_dir, "documents"), "doc_id", "text", [r["n"] for r in opening.collect()])
+    """Mentions of the benchmark's words, by threes, in all documents."""
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    threes = table(spark, sf_dir, "benchmark").select(words.alias("w")).filter("size(w) >= 3")
+    names = threes.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 2, F.lit(3)), lambda k: F.array_join(F.slice("w", k, 3), " "))))
+    return tx.dictionary_matches(table(spark, sf_dir, "documents"), "doc_id", "text", names)
 
 
 def header_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,11 +160,13 @@ l AS (SELECT page_id, seq, regexp_extract(a, '<a href="([^"]*)">', 1) AS href, r
     "upstream_two_stage_match": (upstream_two_stage_match, """WITH p AS (SELECT page_id, page_id % 20 AS src, TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS number FROM pages), r AS (SELECT doc_id, TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) AS src, doc_id * 2 AS number FROM documents),
 d AS (SELECT page_id, doc_id FROM p JOIN r USING (src, number)), u AS (SELECT number, min(doc_id) AS doc_id FROM r GROUP BY number HAVING count(*) = 1)
 SELECT page_id, doc_id, 'address' AS stage FROM d UNION ALL SELECT page_id, doc_id, 'number' FROM p JOIN u USING (number) WHERE page_id NOT IN (SELECT page_id FROM d)"""),
-    "quote_evidence_check": (quote_evidence_check, f"""WITH q AS (SELECT item_id AS k, {BODY.replace("coalesce(text, '')", 'substr(text, 1, 40)')} AS q FROM benchmark), d AS (SELECT doc_id, {BODY} AS body, {BODY.replace("coalesce(text, '')", 'substr(text, 5, 30)')} AS own, doc_id % 40 AS k FROM documents)
-SELECT doc_id, coalesce(length(q) >= 15 AND contains(body, q), false) AS in_benchmark, length(own) >= 15 AND contains(body, own) AS own_quote FROM d LEFT JOIN q USING (k)"""),
+    "quote_evidence_check": (quote_evidence_check, f"""WITH b AS (SELECT item_id, string_split({BODY}, ' ') AS w FROM benchmark), q AS (SELECT item_id, unnest(range(1, len(w) - 10, 12)) AS word, w FROM b WHERE len(w) >= 12), t AS (SELECT item_id, word, array_to_string(w[word:word + 11], ' ') AS quote FROM q), d AS (SELECT doc_id, {BODY} AS body FROM documents)
+SELECT DISTINCT doc_id, item_id, word FROM d JOIN t ON contains(body, quote)"""),
     "text_fingerprint": (text_fingerprint, f"SELECT doc_id, sha256({BODY}) AS sha256 FROM documents"),
     "identical_article_dups": (identical_article_dups, f"SELECT sha256({BODY}) AS sha256, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1"),
-    "normalise_names": (normalise_names, "SELECT p_partkey, lower(p_name) || ' strasse' AS name FROM part"),
+    "normalise_names": (normalise_names, f"SELECT p_partkey, replace(lower(p_name) || ' ' || list_extract([{', '.join(repr(v) for v in SPELT.values())}], CAST(p_partkey % {len(SPELT)} + 1 AS INT)), ' -', '-') AS name FROM part"),
+    "name_variants": (name_variants, """WITH n AS (SELECT p_partkey, list_extract(['alte', 'kleiner', 'deutsche', 'hohe'], CAST(p_partkey % 4 + 1 AS INT)) AS a, list_extract(['alten', 'kleinen', 'deutschen', 'hohe'], CAST(p_partkey % 4 + 1 AS INT)) AS b, lower(p_name) || list_extract([' platz', ' weg', ' tor'], CAST((p_partkey // 4) % 3 + 1 AS INT)) AS r, list_extract(['es', 's', ''], CAST((p_partkey // 4) % 3 + 1 AS INT)) AS e FROM part),
+f AS (SELECT DISTINCT p_partkey, unnest([a || ' ' || r, b || ' ' || r, a || ' ' || r || e, b || ' ' || r || e]) AS f FROM n) SELECT p_partkey, string_agg(f, ',' ORDER BY f) AS aliases FROM f GROUP BY 1"""),
     "sentence_split": (sentence_split, None),
     "dictionary_match": (dictionary_match, None),
     "header_times": (header_times, "SELECT event_id, strftime(ts, '%d.%m.%Y, %H:%M') AS time, CAST(ts AS DATE) AS day, DATE '2026-03-03' AS written FROM events"),

@@ -55,9 +55,31 @@ def test_german_rules(spark):
 def test_dates_quotes_normal_forms(spark):
     row = one(spark, d=text.weekday_date(F.lit("Montag, 3. März 2026")), bad=text.weekday_date(F.lit("31. Februar 2026")), q=text.quoted(F.lit("ein  langer\nText mit Beleg"), F.lit("langer Text mit")), short=text.quoted(F.lit("kurz"), F.lit("kurz")), x=text.escaped_xml(F.lit("<a & b>")))
     assert row.d.isoformat() == "2026-03-03" and row.bad is None and row.q and not row.short and row.x == "&lt;a &amp; b&gt;"
-    assert text.normal("Torstr.  am  S- und U-Bahnhofs – GROẞE") == "torstrasse am s+u-bahnhof-grosse"
-    assert text.aliases_of("Alte Platz") == ["alte platz", "alte platzes", "alten platz", "alten platzes"]
-    assert text.sentences_of("Am 3. März kam Dr. Ott. Er ging.") == ["am 3. märz kam dr. ott.", "er ging."]
+    forms = {
+        "Torstr.  am  S- und U-Bahnhofs – GROẞE": "torstrasse am s+u-bahnhof-grosse", "S-U-Bahnhof": "s+u-bahnhof", "am S-/U-Bahnhof": "am s+u-bahnhof", "des U-Bahnhofs": "des u-bahnhof", "Ｔｏｒ　１": "tor 1",
+        "Ka\u0308the-Str. , x": "käthe-strasse , x", "ﬁn": "fin", "Instr.5": "instr.5", "": "", " \n": "",
+    }
+    rows = spark.createDataFrame([(k,) for k in forms], "t string")
+    assert {r.t: r.n for r in rows.select("t", text.normalised(F.col("t")).alias("n")).collect()} == forms
+    row = one(spark, a=text.name_aliases(F.lit("Alte Platz")), b=text.name_aliases(F.lit("Kleiner Weg")), c=text.name_aliases(F.lit("Deutsche Oper")), d=text.name_aliases(F.lit("Ring")), none=text.normalised(F.lit(None).cast("string")))
+    assert row.a == ["alte platz", "alte platzes", "alten platz", "alten platzes"] and row.b == ["kleinen weg", "kleinen wegs", "kleiner weg", "kleiner wegs"]
+    assert row.c == ["deutsche oper", "deutschen oper"] and row.d == ["ring", "rings"] and row.none is None
+    texts = {
+        "Am 3. März kam Dr. Ott. Er ging.": ["am 3. märz kam dr. ott.", "er ging."], "Die 5. Mordkommission ermittelt! Wer sah es? 3 Zeugen.": ["die 5. mordkommission ermittelt!", "wer sah es? 3 zeugen."],
+        "Um 3. Dann z. B. hier.": ["um 3.", "dann z. b. hier."], "": [], "ohne Ende": ["ohne ende"], "Er rief: Halt! „Nein.“ Ende": ["er rief: halt!", "„nein.“ ende"],
+    }
+    rows = spark.createDataFrame([(k,) for k in texts], "t string")
+    assert {r.t: r.s for r in rows.select("t", text.sentences(F.col("t")).alias("s")).collect()} == texts
+
+
+def test_dictionary_by_brute_force(spark, sf):
+    docs = [(k, t) for k, t in enumerate(["Der Alte Platz am Ring, alte platz!", "alte", None, "", "ring ring-weg alter Platz", "Alte Platz Nord und Alte Platz"])]
+    names = ["Alte Platz", "Ring", "alte Platz Nord", "Ring Weg"]
+    found = text.dictionary_matches(spark.createDataFrame(docs, "id int, t string"), "id", "t", spark.createDataFrame([(n,) for n in names], "n string"))
+    want = {(0, "alte platz", 4, 14), (0, "ring", 18, 22), (0, "alte platz", 24, 34), (4, "ring", 0, 4), (4, "ring weg", 5, 13), (5, "alte platz nord", 0, 15), (5, "alte platz", 20, 30)}
+    assert {tuple(r) for r in found.collect()} == want
+    with pytest.raises(ValueError):
+        text.dictionary_matches(spark.createDataFrame(docs, "id int, t string"), "id", "t", spark.createDataFrame([(n,) for n in names], "n string"), 3)
 
 
 def test_place_kinds(spark):
