@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.session import cut
+
 
 def bridged(places: DataFrame, key: str, aliases: str) -> DataFrame:
     """(alias_id, key): every id under which a place is known, its own included."""
     return places.select(F.explode(F.array_distinct(F.concat(F.array(key), F.coalesce(F.col(aliases), F.array())))).alias("alias_id"), key)
 
 
-def within(points: DataFrame, places: DataFrame, radius: Column, most: float) -> DataFrame:
-    """Points (x, y) and places (px, py, radius) no more than the place's radius apart, which is at most ``most``.
+def within(points: DataFrame, places: DataFrame, radius: Column, most: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """Points (x, y) and places (px, py, radius) no more than the place's radius apart, which is at most ``most``; with ``by``, of equal columns of that name.
 
     Places are filed under the nine cells of side ``most`` about them, so that an equality join finds all partners; the distance decides.
     """
@@ -21,7 +23,7 @@ def within(points: DataFrame, places: DataFrame, radius: Column, most: float) ->
     cells = cells.withColumn("_b", F.explode(F.sequence(F.floor(F.col("py") / side) - 1, F.floor(F.col("py") / side) + 1)))
     here = points.withColumns({"_a": F.floor(F.col("x") / side), "_b": F.floor(F.col("y") / side)})
     dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
-    return here.join(cells, ["_a", "_b"]).filter(dx * dx + dy * dy <= F.col("_r") * F.col("_r")).drop("_a", "_b", "_r")
+    return here.join(cells, [*by, "_a", "_b"]).filter(dx * dx + dy * dy <= F.col("_r") * F.col("_r")).drop("_a", "_b", "_r")
 
 
 def nearest(pairs: DataFrame, key: str, distance: Column) -> DataFrame:
@@ -31,6 +33,25 @@ def nearest(pairs: DataFrame, key: str, distance: Column) -> DataFrame:
     return measured.join(least, key).filter("_d = _least").drop("_d", "_least")
 
 
+def nearest_within(points: DataFrame, places: DataFrame, key: str, by: str, side: float) -> DataFrame:
+    """The nearest places with the same ``by`` of each point (x, y), ties kept.
+
+    Whoever has a place within ``side`` is settled by it; the others look on within four times that, and so on until the radius spans all places
+    and points, so a point is compared with few places beyond its nearest, and no pairs of a group are made. Points without a place of their group are left out.
+    """
+    box = points.select("x", "y").union(places.select("px", "py")).agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    span = (box[0] or 0.0) + (box[1] or 0.0)
+    todo, found = points.join(places.select(by).distinct(), by, "left_semi"), None
+    while True:
+        dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
+        hit = cut(nearest(within(todo, places, F.lit(side), side, (by,)), key, dx * dx + dy * dy), "nearest")
+        found = hit if found is None else found.unionByName(hit)
+        todo = cut(todo.join(hit.select(key).distinct(), key, "left_anti"), "nearest-todo")
+        if side > span or todo.isEmpty():
+            return found
+        side *= 4
+
+
 def first_links(links: list[DataFrame], event: str, place: str) -> DataFrame:
     """One link for each (event, place): from the first list that has it, the first there by ``seq``."""
     ranked = None

@@ -25,8 +25,9 @@ def hex_category_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hex_filtered_first_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published cells list some ids twice; of the chosen ids each counts in its first cell alone."""
-    rows = announcements(spark, sf_dir).filter("id % 3 = 0")
+    """Published cells list some ids twice; of the ids that urgent orders choose each counts in its first cell alone."""
+    chosen = table(spark, sf_dir, "orders").filter("o_orderpriority LIKE '1-%'").select(F.col("o_orderkey").alias("id"))
+    rows = announcements(spark, sf_dir).join(chosen, "id", "left_semi")
     listed = rows.select("id", F.lit(0).alias("seq"), grid.hex_cell(F.col("x"), F.col("y"), 1100.0).alias("c")).union(rows.select("id", F.lit(1), grid.hex_cell(F.col("x") + 600, F.col("y"), 1100.0)))
     first = listed.groupBy("id").agg(F.min(F.struct("seq", "c.i", "c.j")).alias("f"))
     return first.groupBy("f.i", "f.j").agg(F.count("*").alias("count"))
@@ -134,7 +135,7 @@ QUERIES = {
     "month_hex_overview": (OVERVIEW, OVERVIEW_SQL),
     "month_hex_detail": (DETAIL, DETAIL_SQL),
     "hex_category_histogram": (hex_category_histogram, f"{ANNOUNCED}, {cells_sql('c', 'ann', 1100.0)} SELECT i, j, category, count(*) AS count FROM c GROUP BY ALL"),
-    "hex_filtered_first_cell": (hex_filtered_first_cell, f"{ANNOUNCED}, {cells_sql('c', 'ann', 1100.0)} SELECT i, j, count(*) AS count FROM c WHERE id % 3 = 0 GROUP BY ALL"),
+    "hex_filtered_first_cell": (hex_filtered_first_cell, f"{ANNOUNCED}, {cells_sql('c', 'ann', 1100.0)} SELECT i, j, count(*) AS count FROM c WHERE id IN (SELECT o_orderkey FROM orders WHERE o_orderpriority LIKE '1-%') GROUP BY ALL"),
     "tile_cover_points": (tile_cover_points, f"{ANNOUNCED} SELECT {_TILE}, count(*) AS count, min(id) AS first_id FROM ann GROUP BY ALL"),
     "tile_cover_bbox": (tile_cover_bbox, f"""WITH {placed_sql('s', 'supplier', 's_suppkey')}, b AS (SELECT *, lon + s_suppkey % 7 * 0.01::DOUBLE AS east, lat + s_suppkey % 5 * 0.01::DOUBLE AS north FROM s),
 a AS (SELECT *, unnest(range(CAST(floor(lon / 0.04::DOUBLE) AS BIGINT), CAST(floor(east / 0.04::DOUBLE) AS BIGINT) + 1)) AS tx FROM b), t AS (SELECT *, unnest(range(CAST(floor(lat / 0.025::DOUBLE) AS BIGINT), CAST(floor(north / 0.025::DOUBLE) AS BIGINT) + 1)) AS ty FROM a)

@@ -29,8 +29,7 @@ j AS (SELECT c_custkey, s_suppkey, (c.x - s.x) * (c.x - s.x) + (c.y - s.y) * (c.
 
 def place_id_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Announcements meet the places they name by id, if the place is of a kind that they mention."""
-    key = F.col("c_custkey")
-    named = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array_distinct(F.array(key % 100, key * 7 % 100))).alias("s_suppkey"))
+    named = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("c_custkey"), F.col("l_suppkey").alias("s_suppkey")).distinct()
     return named.join(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").filter("c_custkey % 3 = s_suppkey % 3").select("c_custkey", "s_suppkey")
 
 
@@ -44,18 +43,18 @@ def near_join_r(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def knn_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest site of the same nation, ties kept."""
-    pairs = _points(spark, sf_dir).join(_sites(spark, sf_dir), F.col("c_nationkey") == F.col("s_nationkey"))
-    dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
-    return places.nearest(pairs, "c_custkey", dx * dx + dy * dy).select("c_custkey", "s_suppkey")
+    points = _points(spark, sf_dir).withColumnRenamed("c_nationkey", "nation")
+    return places.nearest_within(points, _sites(spark, sf_dir).withColumnRenamed("s_nationkey", "nation"), "c_custkey", "nation", 1000.0).select("c_custkey", "s_suppkey")
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, n = table(spark, sf_dir, "events").select("event_id"), F.col("event_id")
-    kinds = [(n % 200, "named"), (n * 3 % 200, "context"), (n % 50 * 4, "near")]
-    return places.first_links([e.filter(n % (k + 2) == 0).select("event_id", part.alias("poi_id"), n.alias("seq"), F.lit(status).alias("status")) for k, (part, status) in enumerate(kinds)], "event_id", "poi_id")
+    """Links of announcements with places, found in three ways, the surest first."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.col("l_partkey").alias("poi_id"), F.col("l_linenumber").cast("bigint").alias("seq"), "l_returnflag", "l_linestatus")
+    ways = [("seq % 2 = 1", "named"), ("l_returnflag = 'R'", "context"), ("l_linestatus = 'O'", "near")]
+    return places.first_links([lines.filter(way).select("event_id", "poi_id", "seq", F.lit(status).alias("status")) for way, status in ways], "event_id", "poi_id")
 
 
-LINKS_SQL = """WITH l AS (SELECT event_id, event_id % 200 AS poi_id, 0 AS priority, 'named' AS status FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, event_id * 3 % 200, 1, 'context' FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id, event_id % 50 * 4, 2, 'near' FROM events WHERE event_id % 4 = 0),
+LINKS_SQL = """WITH l AS (SELECT l_orderkey AS event_id, l_partkey AS poi_id, 0 AS priority, 'named' AS status FROM lineitem WHERE l_linenumber % 2 = 1 UNION ALL SELECT l_orderkey, l_partkey, 1, 'context' FROM lineitem WHERE l_returnflag = 'R' UNION ALL SELECT l_orderkey, l_partkey, 2, 'near' FROM lineitem WHERE l_linestatus = 'O'),
 f AS (SELECT event_id, poi_id, priority, status FROM (SELECT *, row_number() OVER (PARTITION BY event_id, poi_id ORDER BY priority) AS r FROM l) WHERE r = 1)"""
 
 
@@ -84,10 +83,10 @@ def alias_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def market_site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parking and markets that are members of one site."""
+    """Parking and how many markets are members of its site, and the first of them: markets are summed up by site once, so no pairs are made."""
     members = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey")
-    parking, market = members.filter("s_suppkey % 3 = 0").withColumnRenamed("s_suppkey", "parking"), members.filter("s_suppkey % 3 = 1").withColumnRenamed("s_suppkey", "market")
-    return parking.join(market, "s_nationkey").groupBy("parking").agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_set("market")), lambda m: m.cast("string"))).alias("markets"))
+    markets = members.filter("s_suppkey % 3 = 1").groupBy("s_nationkey").agg(F.count("*").alias("markets"), F.min("s_suppkey").alias("first_market"))
+    return members.filter("s_suppkey % 3 = 0").join(markets, "s_nationkey").select(F.col("s_suppkey").alias("parking"), "markets", "first_market")
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +153,7 @@ def search_top8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "place_id_join": (place_id_join, "SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN supplier ON s_suppkey IN (c_custkey % 100, c_custkey * 7 % 100) WHERE c_custkey % 3 = s_suppkey % 3"),
+    "place_id_join": (place_id_join, "SELECT DISTINCT o_custkey AS c_custkey, s_suppkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN supplier ON l_suppkey = s_suppkey WHERE o_custkey % 3 = s_suppkey % 3"),
     "radius_join_50m": (radius_join_50m, POINTS + " SELECT c_custkey, s_suppkey FROM j WHERE d2 <= 2500"),
     "near_join_r": (near_join_r, POINTS + " SELECT s_suppkey, count(*) AS announcements FROM j WHERE d2 <= (100.0 + s_suppkey % 5 * 100) * (100.0 + s_suppkey % 5 * 100) GROUP BY 1"),
     "knn_ties": (knn_ties, POINTS + ", r AS (SELECT *, rank() OVER (PARTITION BY c_custkey ORDER BY d2) AS r FROM j WHERE c_nationkey = s_nationkey) SELECT c_custkey, s_suppkey FROM r WHERE r = 1"),
@@ -162,7 +161,7 @@ QUERIES = {
     "association_counts": (association_counts, LINKS_SQL + " SELECT poi_id, count(*) AS events, count(*) FILTER (status = 'named') AS named, count(*) FILTER (status = 'near') AS near, count(*) FILTER (status = 'context') AS context, round(least(0.78::DOUBLE, 0.12::DOUBLE + 0.16::DOUBLE * log2(1 + count(*))), 6) AS opacity FROM f GROUP BY 1"),
     "node_area_dedup": (node_area_dedup, "SELECT n.p_partkey AS node, min(a.p_partkey) AS area FROM part n JOIN part a ON n.p_name = a.p_name AND n.p_type = a.p_type AND abs(n.p_size - a.p_size) <= 5 WHERE n.p_partkey % 2 = 0 AND a.p_partkey % 2 = 1 GROUP BY 1"),
     "alias_bridge": (alias_bridge, "WITH k AS (SELECT p_partkey, p_partkey AS a FROM part UNION SELECT p_partkey, p_partkey + unnest([1000000, 2000000]) FROM part WHERE p_partkey % 3 = 0) SELECT p_partkey, count(*) AS uses FROM lineitem JOIN k ON a = l_partkey + l_linenumber % 3 * 1000000 GROUP BY 1"),
-    "market_site_links": (market_site_links, "SELECT p.s_suppkey AS parking, string_agg(CAST(m.s_suppkey AS VARCHAR), ',' ORDER BY m.s_suppkey) AS markets FROM supplier p JOIN supplier m USING (s_nationkey) WHERE p.s_suppkey % 3 = 0 AND m.s_suppkey % 3 = 1 GROUP BY 1"),
+    "market_site_links": (market_site_links, "SELECT p.s_suppkey AS parking, count(*) AS markets, min(m.s_suppkey) AS first_market FROM supplier p JOIN supplier m USING (s_nationkey) WHERE p.s_suppkey % 3 = 0 AND m.s_suppkey % 3 = 1 GROUP BY 1"),
     "native_rule_match": (native_rule_match, TAGS_SQL + " SELECT p_partkey, 'economy_bar' AS rule FROM t WHERE type = 'ECONOMY' AND amenity = 'bar' UNION ALL SELECT p_partkey, 'first_brand' FROM t WHERE brand = 'Brand#1' UNION ALL SELECT p_partkey, 'books' FROM t WHERE shop = 'books' UNION ALL SELECT p_partkey, 'books_cafe' FROM t WHERE shop = 'books' AND amenity = 'cafe'"),
     "core_first_match": (core_first_match, TAGS_SQL + " SELECT p_partkey, kind FROM k"),
     "scope_selection": (scope_selection, TAGS_SQL + ", l AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity >= 49) SELECT p_partkey, kind, l_partkey IS NOT NULL AS protected FROM k LEFT JOIN l ON p_partkey = l_partkey WHERE kind IS NOT NULL OR l_partkey IS NOT NULL"),

@@ -66,10 +66,12 @@ def evidence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A digest of each day's rows that does not depend on their order: hashes of hashes by bucket, so that no task sorts a whole day's."""
-    rows = announcements(spark, sf_dir).select("day", F.sha2(F.concat_ws("|", "id", "category"), 256).alias("h"))
-    buckets = rows.groupBy("day", F.substring("h", 1, 1).alias("b")).agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list("h"))), 256).alias("h"))
-    return buckets.groupBy("day").agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list("h"))), 256).alias("digest"))
+    """A digest of each day's rows that does not depend on their order: their number, and sums and differences of their hashes, all of which combine before the shuffle."""
+    h = F.sha2(F.concat_ws("|", "id", "category"), 256)
+    part = lambda at: F.conv(F.substring(h, at, 15), 16, 10).cast("bigint")
+    rows = announcements(spark, sf_dir).select("day", part(1).alias("a"), part(16).alias("b"))
+    sums = F.concat_ws(":", F.count("*"), F.bit_xor("a"), F.bit_xor("b"), F.sum(F.col("a") % 1_000_000_007), F.sum(F.col("b") % 1_000_000_009))
+    return rows.groupBy("day").agg(F.sha2(sums, 256).alias("digest"))
 
 
 def address_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,10 +108,9 @@ def berlin_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits with the names of their paths and countries; a hit of an unknown path keeps a null name."""
-    hits = table(spark, sf_dir, "events").select((F.col("user_id") % 30).alias("path"), (F.col("user_id") % 25).cast("int").alias("country"))
-    paths = table(spark, sf_dir, "part").filter("p_partkey < 28").select(F.col("p_partkey").alias("path"), "p_name")
-    named = hits.join(paths, "path", "left").join(table(spark, sf_dir, "nation"), F.col("country") == F.col("n_nationkey"))
-    return named.groupBy("p_name", "n_name").agg(F.count("*").alias("hits"))
+    hits = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_quantity") <= 48, F.col("l_partkey")).alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"))
+    named = hits.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", "left").join(table(spark, sf_dir, "supplier"), "s_suppkey")
+    return named.join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("p_name", "n_name").agg(F.count("*").alias("hits"))
 
 
 def public_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +130,8 @@ r(start, node) AS (SELECT s_suppkey, s_suppkey FROM supplier WHERE s_suppkey % 4
     "assessment_merge": (assessment_merge, """WITH o AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN toxic = 1 THEN 'supported' ELSE 'no_support' END AS v FROM labels WHERE doc_id % 4 <> 0), n AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN toxic = 1 OR doc_id % 11 = 0 THEN 'supported' ELSE 'no_support' END AS v FROM labels WHERE doc_id % 3 <> 0)
 SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, CASE WHEN o.v <> n.v THEN 'conflict' ELSE coalesce(o.v, n.v, 'not_evaluated') END AS verdict FROM o FULL JOIN n ON o.doc_id = n.doc_id"""),
     "evidence_merge": (evidence_merge, "SELECT l_partkey, l_suppkey % 10 AS place, count(*) AS links, string_agg(DISTINCT l_returnflag || l_linestatus, ',' ORDER BY l_returnflag || l_linestatus) AS kinds FROM lineitem GROUP BY 1, 2"),
-    "month_digest": (month_digest, f"""{ANNOUNCED}, h AS (SELECT day, sha256(concat_ws('|', id, category)) AS h FROM ann), b AS (SELECT day, sha256(string_agg(h, chr(10) ORDER BY h)) AS h FROM h GROUP BY day, substr(h, 1, 1)) SELECT day, sha256(string_agg(h, chr(10) ORDER BY h)) AS digest FROM b GROUP BY day"""),
+    "month_digest": (month_digest, f"""{ANNOUNCED}, h AS (SELECT day, sha256(concat_ws('|', id, category)) AS h FROM ann), p AS (SELECT day, CAST('0x' || substr(h, 1, 15) AS BIGINT) AS a, CAST('0x' || substr(h, 16, 15) AS BIGINT) AS b FROM h)
+SELECT day, sha256(concat_ws(':', count(*), bit_xor(a), bit_xor(b), sum(a % 1000000007), sum(b % 1000000009))) AS digest FROM p GROUP BY day"""),
     "address_lookup": (address_lookup, """WITH a AS (SELECT c_mktsegment, c_custkey % 97 AS number, c_custkey % 97 * 500 + c_custkey % 23 * 3 AS x, c_custkey % 89 AS y FROM customer), s AS (SELECT c_mktsegment, number FROM a GROUP BY ALL HAVING greatest(max(x) - min(x), max(y) - min(y)) <= 50)
 SELECT c_mktsegment, number, x, y FROM (SELECT a.*, row_number() OVER (PARTITION BY c_mktsegment, number ORDER BY x, y) AS r FROM a JOIN s USING (c_mktsegment, number)) WHERE r = 1"""),
     "road_segment_cut": (road_segment_cut, """WITH w AS (SELECT p_partkey AS k, list_transform(range(0, p_partkey % 9 + 3), lambda n: p_partkey + n * 3) AS way FROM part), p AS (SELECT *, coalesce(list_position(way, k + k % 3 * 3), 0) AS a, coalesce(list_position(way, k + (k + 1) % 5 * 3), 0) AS b FROM w),
@@ -138,6 +140,6 @@ c AS (SELECT *, CASE WHEN a > 0 AND b > 0 AND a <> b THEN list_slice(way, least(
     "berlin_time": (berlin_time, """WITH e AS (SELECT event_id, TIMESTAMP '2024-03-30 12:00:00' + to_days(CAST(event_id % 2 * 210 AS INT)) + to_hours(CAST(event_id % 30 AS INT)) + to_minutes(CAST(event_id % 60 AS INT)) AS l FROM events),
 f AS (SELECT event_id, l, l - INTERVAL 2 HOUR AS a, l - INTERVAL 1 HOUR AS b FROM e), z AS (SELECT *, a >= TIMESTAMP '2024-03-31 01:00:00' AND a < TIMESTAMP '2024-10-27 01:00:00' AS oka, b < TIMESTAMP '2024-03-31 01:00:00' OR b >= TIMESTAMP '2024-10-27 01:00:00' AS okb FROM f)
 SELECT event_id, CAST(oka AS BIGINT) + CAST(okb AS BIGINT) AS readings, CASE WHEN oka AND NOT okb THEN a WHEN okb AND NOT oka THEN b END AS utc FROM z"""),
-    "export_join": (export_join, "SELECT p_name, n_name, count(*) AS hits FROM events LEFT JOIN (SELECT * FROM part WHERE p_partkey < 28) ON user_id % 30 = p_partkey JOIN nation ON user_id % 25 = n_nationkey GROUP BY ALL"),
+    "export_join": (export_join, "SELECT p_name, n_name, count(*) AS hits FROM lineitem LEFT JOIN part ON CASE WHEN l_quantity <= 48 THEN l_partkey END = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL"),
     "public_texts": (public_texts, f"WITH t AS (SELECT unnest([source, lang, substr({BODY}, 1, 20)]) AS t FROM documents) SELECT DISTINCT t, sha256(t) AS sha256 FROM t WHERE t <> ''"),
 }

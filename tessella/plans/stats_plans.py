@@ -11,12 +11,18 @@ from tessella.sources.tables import announcements, table
 TAGS = ("quality", "toxic", "theft")
 
 
+def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Announcements as several files hold them: every second one again as it was, every tenth again in another category."""
+    a = announcements(spark, sf_dir).select("id", F.when(F.col("k") > 0, F.col("month")).alias("month"), "category")
+    return a.union(a.filter("id % 2 = 0")).union(a.filter("id % 10 = 0").withColumn("category", F.lit("moved")))
+
+
 def announcement_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of each category among the announcements of a month, identical repeats counted once; unknown months stay unknown."""
-    a = announcements(spark, sf_dir).select((F.col("id") - F.col("id") % 3).alias("id"), F.when(F.col("k") > 0, F.col("month")).alias("month"), (F.col("id") % 4).alias("category")).filter("id % 4 = category").distinct()
-    totals = a.groupBy("month").agg(F.count("*").alias("total"))
-    counts = a.groupBy("month", "category").agg(F.count("*").alias("count"))
-    return counts.join(totals, counts["month"].eqNullSafe(totals["month"])).select(counts["month"], "category", "count", st.share(F.col("count"), F.col("total")).alias("fraction"))
+    """Share of each category among the announcements of a month. Identical repeats count once, ids with differing rows not at all but as conflicts; unknown months stay unknown."""
+    ids = _repeated(spark, sf_dir).distinct().groupBy("id").agg(F.count("*").alias("n"), F.min("month").alias("month"), F.min("category").alias("category"))
+    counts = ids.groupBy("month", F.when(F.col("n") == 1, F.col("category")).alias("category")).agg(F.count("*").alias("count"))
+    totals = counts.groupBy(F.col("month").alias("m")).agg(F.sum(F.when(F.col("category").isNotNull(), F.col("count"))).alias("total"), F.coalesce(F.sum(F.when(F.col("category").isNull(), F.col("count"))), F.lit(0)).alias("conflicts"))
+    return counts.filter("category IS NOT NULL").join(totals, F.col("month").eqNullSafe(F.col("m"))).select("month", "category", "count", "conflicts", st.share(F.col("count"), F.col("total")).alias("fraction"))
 
 
 def _assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,11 +80,11 @@ def suppressed_country_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals by country and by day must agree; both from the same rows."""
-    e = table(spark, sf_dir, "events").select((F.col("user_id") % 25).alias("country"), F.to_date("ts").alias("day"), F.lit(1).alias("hit"))
-    by_country, by_day = e.groupBy("country").agg(F.sum("hit").alias("n")), e.groupBy("day").agg(F.sum("hit").alias("n"))
-    both = by_country.agg(F.sum("n").alias("n"), F.count("*").alias("groups")).withColumn("side", F.lit("country")).union(by_day.agg(F.sum("n"), F.count("*")).withColumn("side", F.lit("day")))
-    return both.select("side", "n", "groups")
+    """Totals that an export states, by order, against the sums of its rows, by line: the orders for which the two disagree."""
+    stated = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 7 + 1).alias("stated"))
+    summed = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("summed"))
+    both = stated.join(summed, "o_orderkey", "full_outer").select("o_orderkey", F.coalesce("stated", F.lit(0)).alias("stated"), F.coalesce("summed", F.lit(0)).alias("summed"))
+    return both.filter("stated <> summed")
 
 
 def review_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +95,9 @@ def review_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "announcement_fractions": (announcement_fractions, """WITH a AS (SELECT DISTINCT event_id - event_id % 3 AS id, CASE WHEN CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) > 0 THEN strftime(ts, '%Y-%m') END AS month, event_id % 4 AS category FROM events WHERE (event_id - event_id % 3) % 4 = event_id % 4),
-t AS (SELECT month, count(*) AS total FROM a GROUP BY 1), c AS (SELECT month, category, count(*) AS count FROM a GROUP BY 1, 2) SELECT c.month, category, count, count::DOUBLE / total AS fraction FROM c JOIN t ON c.month IS NOT DISTINCT FROM t.month"""),
+    "announcement_fractions": (announcement_fractions, """WITH b AS (SELECT event_id AS id, CASE WHEN CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) > 0 THEN strftime(ts, '%Y-%m') END AS month, event_type AS category FROM events),
+a AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE id % 2 = 0 UNION ALL SELECT id, month, 'moved' FROM b WHERE id % 10 = 0), i AS (SELECT id, count(DISTINCT category) AS n, min(month) AS month, min(category) AS category FROM a GROUP BY 1),
+t AS (SELECT month, count(*) FILTER (n = 1) AS total, count(*) FILTER (n > 1) AS conflicts FROM i GROUP BY 1), c AS (SELECT month, category, count(*) AS count FROM i WHERE n = 1 GROUP BY 1, 2) SELECT c.month, category, count, conflicts, count::DOUBLE / total AS fraction FROM c JOIN t ON c.month IS NOT DISTINCT FROM t.month"""),
     "tag_verdict_pivot": (tag_verdict_pivot, VERDICT_SQL + " SELECT * FROM v"),
     "tag_indices": (tag_indices, VERDICT_SQL + " SELECT * FROM i"),
     "composite_index": (composite_index, VERDICT_SQL + " SELECT sum(w * content_index) / sum(w) AS composite FROM (SELECT content_index, CASE tag WHEN 'quality' THEN 2.0::DOUBLE WHEN 'toxic' THEN 1.0::DOUBLE END AS w FROM i) WHERE w IS NOT NULL"),
@@ -103,6 +110,6 @@ b AS (SELECT 'quality' AS tag, l.quality = 1 AS g, p.quality AS p, p.doc_id FROM
 c AS (SELECT tag, count(*) FILTER (g AND p) AS tp, count(*) FILTER (NOT g AND p) AS fp, count(*) FILTER (g AND NOT p) AS fn, count(*) FILTER (NOT g AND NOT p) AS tn, count(*) FILTER (doc_id IS NULL) AS missing FROM b GROUP BY 1) SELECT *, tp::DOUBLE / nullif(tp + fp, 0) AS "precision", tp::DOUBLE / nullif(tp + fn, 0) AS recall FROM c"""),
     "suppressed_country_stats": (suppressed_country_stats, """WITH s AS (SELECT CASE WHEN n_nationkey = 7 THEN 'ZZ' ELSE n_name END AS code, count(*) AS pv FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1), t AS (SELECT * FROM s WHERE code <> 'ZZ' AND pv >= 20 ORDER BY pv DESC, code LIMIT 8)
 SELECT code, CAST(floor(pv / 10) * 10 AS BIGINT) AS pv FROM t UNION ALL SELECT 'OTHER', CAST(floor(sum(pv) / 10) * 10 AS BIGINT) FROM s WHERE code NOT IN (SELECT code FROM t) HAVING sum(pv) >= 20"""),
-    "export_reconcile": (export_reconcile, "SELECT 'country' AS side, count(*) AS n, count(DISTINCT user_id % 25) AS groups FROM events UNION ALL SELECT 'day', count(*), count(DISTINCT CAST(ts AS DATE)) FROM events"),
+    "export_reconcile": (export_reconcile, "WITH l AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey, CASE WHEN o_orderkey IS NULL THEN 0 ELSE o_orderkey % 7 + 1 END AS stated, coalesce(n, 0) AS summed FROM orders FULL JOIN l ON o_orderkey = l_orderkey WHERE CASE WHEN o_orderkey IS NULL THEN 0 ELSE o_orderkey % 7 + 1 END <> coalesce(n, 0)"),
     "review_status": (review_status, VERDICT_SQL + ", r AS (SELECT coalesce(verdict, 'pending') AS status, count(*) AS n FROM documents LEFT JOIN (SELECT * FROM l WHERE tag = 'toxic') USING (doc_id) GROUP BY 1) SELECT status, coalesce(n, 0) AS n FROM (SELECT unnest(['supported', 'no_support', 'uncertain', 'pending', 'stale']) AS status) LEFT JOIN r USING (status)"),
 }

@@ -29,9 +29,12 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset (tests on one machine) a folder in the warehouse is used.
+    Where it is unset, on one machine (tests) a folder in the warehouse is used; a cluster must set it. Tables that are cut lie under the
+    application's id and stay until whoever owns the folder clears it: a later query may still read them.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/tessella-checkpoints"
 
 

@@ -3,45 +3,63 @@
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.java_gateway import JavaClass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import tile_cover
 from tessella.operators.gates import differences, must_be_empty
+from tessella.session import cut
 
 
 def _put(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file by Spark's file system in one rename, so that a reader sees the old or the new one."""
+    """Write a small file by Spark's file system and put it in its place in one step, so that a reader sees the old or the new one, and never none."""
     jvm = spark._jvm
-    target, staged = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.next")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(staged, True)
+    target, staged = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    conf = spark._jsc.hadoopConfiguration()
+    out = target.getFileSystem(conf).create(staged, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(staged, target):
-        raise OSError(f"cannot replace {path}")
+    gateway = spark.sparkContext._gateway
+    mode = JavaClass("org.apache.hadoop.fs.Options$Rename", gateway._gateway_client)
+    modes = gateway.new_array(mode, 1)
+    modes[0] = mode.valueOf("OVERWRITE")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(staged, target, modes)
+
+
+def manifest(spark: SparkSession, folder: str) -> dict:
+    """What the manifest says; nothing where none was published yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest.json")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    return json.loads(spark.read.text(path.toString(), wholetext=True).first()[0])
 
 
 def publish(tables: dict[str, tuple[DataFrame, list[str]]], folder: str, gates: list[tuple[str, DataFrame]] = ()) -> str:
     """Write tables (with partition columns) as a new generation and point the manifest at it; its name.
 
     The gates run first: a violation raises, and what the manifest names stays. Every table is read back and compared with what was to be
-    written before the manifest changes. The generation's name is a digest of the rows, whatever their order, so the same content has the same name.
+    written before the manifest changes. The generation's name begins with a digest of the rows, whatever their order. Content that is published already
+    is not written again, and every other generation gets a folder of its own, so nothing that a manifest names is ever overwritten.
     """
     spark = next(iter(tables.values()))[0].sparkSession
     for what, found in gates:
         must_be_empty(found, what)
     sums = {}
     for name, (df, _) in sorted(tables.items()):
-        row = F.xxhash64(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}))
-        sums[name] = [int(x or 0) for x in df.agg(F.count("*"), F.bit_xor(row), F.sum(row % 1_000_003)).first()]
-    generation = spark.range(1).select(F.sha2(F.lit(json.dumps(sums)), 256)).first()[0][:16]
+        row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
+        parts = [F.conv(F.substring(row, at, 15), 16, 10).cast("bigint") for at in (1, 16, 31)]
+        sums[name] = [int(x or 0) for x in df.agg(F.count("*"), *map(F.bit_xor, parts), *[F.sum(p % 1_000_000_007) for p in parts]).first()]
+    digest = spark.range(1).select(F.sha2(F.lit(json.dumps(sums)), 256)).first()[0][:16]
+    live = manifest(spark, folder).get("generation", "")
+    if live.startswith(digest):
+        return live
+    generation = f"{digest}-{uuid.uuid4().hex[:8]}"
     for name, (df, by) in tables.items():
         path = f"{folder}/generation={generation}/{name}"
-        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         must_be_empty(differences(df, spark.read.schema(df.schema).parquet(path)), f"{name} read back")
     _put(spark, f"{folder}/manifest.json", json.dumps({"generation": generation, "tables": {k: v[0] for k, v in sums.items()}}))
     return generation
@@ -49,8 +67,7 @@ def publish(tables: dict[str, tuple[DataFrame, list[str]]], folder: str, gates:
 
 def current(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the generation that the manifest names."""
-    generation = json.loads(spark.read.text(f"{folder}/manifest.json", wholetext=True).first()[0])["generation"]
-    return spark.read.parquet(f"{folder}/generation={generation}/{name}")
+    return spark.read.parquet(f"{folder}/generation={manifest(spark, folder)['generation']}/{name}")
 
 
 def tiled(features: DataFrame, most: int = 10_000) -> DataFrame:
@@ -67,5 +84,6 @@ def review_packs(rows: DataFrame, done: DataFrame, key: str, size: int = 30) ->
     """
     size = min(max(size, 1), 200)
     pending = rows.join(done, key, "left_anti").repartitionByRange(key).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
+    pending = cut(pending, "review-pending")  # ranges are drawn from samples, so they must be drawn once
     starts = pending.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first")).withColumn("_before", F.expr("sum(_n) OVER (ORDER BY _part) - _n"))
     return pending.join(F.broadcast(starts), "_part").withColumn("batch", F.floor((F.col("_before") + F.col("_seq") - F.col("_first")) / size)).drop("_part", "_seq", "_n", "_first", "_before")

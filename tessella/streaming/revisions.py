@@ -29,26 +29,34 @@ def drained(stream: DataFrame, name: str, mode: str = "append", each: Callable[[
 
 
 def revisions(versions: DataFrame, key: str, order: str, body: str, least: int = 30) -> DataFrame:
-    """(key, order, status, revision) of versions as they arrive: new, revised, unchanged or rejected. State is one hash and number a key."""
+    """(key, order, status, revision) of versions as they arrive: new, revised, unchanged, rejected or late.
+
+    State is one hash, revision and order a key. Versions of a micro-batch are taken in order; one that comes in a later batch than a version after it
+    is ``late``: it has no revision and changes none, since what follows it has been settled.
+    """
     ship(versions.sparkSession)
     kind = versions.schema[key].dataType.simpleString()
 
     def handle(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, revision = state.get if state.exists else ("", 0)
-        out = []
-        for row in pd.concat(list(batches)).sort_values("_order").itertuples(index=False):
-            if row[2] is None:
-                out.append((group[0], row[1], "rejected", None))
-                continue
-            status = "new" if not revision else "unchanged" if row[2] == last else "revised"
-            revision, last = revision + (status != "unchanged"), row[2]
-            out.append((group[0], row[1], status, revision))
-        state.update((last, revision))
-        yield pd.DataFrame(out, columns=["key", "seq", "status", "revision"]).astype({"revision": "Int64"})
+        last, revision, newest = state.get if state.exists else ("", 0, None)
+        rows = pd.concat(list(batches), ignore_index=True).sort_values("_order", kind="stable")
+        late = rows["_order"] <= newest if newest is not None else pd.Series(False, rows.index)
+        rows["status"] = rows["_hash"].isna().map({True: "rejected", False: "late"}).astype(object)
+        good = rows[~late & rows["_hash"].notna()]
+        turned = good["_hash"] != good["_hash"].shift(fill_value=last)
+        rows.loc[good.index, "revision"] = revision + turned.cumsum()
+        rows.loc[good.index, "status"] = turned.map({True: "revised", False: "unchanged"})
+        if len(good):
+            if not revision:
+                rows.loc[good.index[0], "status"] = "new"
+            last, revision, newest = good["_hash"].iloc[-1], revision + int(turned.sum()), int(good["_order"].iloc[-1])
+        state.update((last, revision, newest))
+        out = pd.DataFrame({"key": group[0], "seq": rows["_order"], "status": rows["status"], "revision": rows["revision"] if "revision" in rows else None})
+        yield out.astype({"revision": "Int64"})
 
     text = collapsed(F.coalesce(F.col(body), F.lit("")))
     rows = versions.select(F.col(key).alias("_key"), F.col(order).cast("bigint").alias("_order"), F.when(F.length(text) >= least, F.sha2(text, 256)).alias("_hash"))
-    return rows.groupBy("_key").applyInPandasWithState(handle, f"key {kind}, seq bigint, status string, revision bigint", "sha string, revision bigint", "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("_key").applyInPandasWithState(handle, f"key {kind}, seq bigint, status string, revision bigint", "sha string, revision bigint, seq bigint", "append", GroupStateTimeout.NoTimeout)
 
 
 def window_counts(events: DataFrame, time: str, by: str, width: str = "1 day", late: str = "2 hours") -> DataFrame:

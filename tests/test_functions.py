@@ -1,15 +1,19 @@
 """Functions and operators on small literal rows."""
 
 import math
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella import session
 from tessella.functions import geo, grid, rules, text
 from tessella.operators import changes, gates, graph, places, statistics
 from tessella.sources import publish
 from tessella.sources.tables import decisions
+from tessella.streaming.revisions import drained, revisions, source
 
 
 def one(spark, **columns):
@@ -120,6 +124,47 @@ def test_radius_join_crosses_cells(spark):
     assert {(r.id, r.pid) for r in places.within(points, sites, F.lit(50.0), 50.0).collect()} == {(1, 7)}
 
 
+def test_nearest_by_brute_force(spark):
+    rng = random.Random(3)
+    points = [(k, k % 3, float(rng.randrange(4000)), float(rng.randrange(100))) for k in range(60)] + [(99, 7, 0.0, 0.0)]
+    sites = [(k, k % 3, float(rng.randrange(4000)), float(rng.randrange(100))) for k in range(20)] + [(50, 0, points[0][2] + 5, points[0][3]), (51, 0, points[0][2] - 5, points[0][3])]
+    want = set()
+    for i, g, x, y in points:
+        near = [((x - a) ** 2 + (y - b) ** 2, j) for j, h, a, b in sites if h == g]
+        want |= {(i, j) for d, j in near if d == min(near)[0]}
+    found = places.nearest_within(spark.createDataFrame(points, "id int, g int, x double, y double"), spark.createDataFrame(sites, "pid int, g int, px double, py double"), "id", "g", 10.0)
+    assert {(r.id, r.pid) for r in found.collect()} == want
+
+
+def test_stream_revisions_over_batches(spark, tmp_path):
+    """Several micro-batches, one of them out of order: a late version is told and changes nothing."""
+    body = "der selbe lange Text einer Meldung."
+    files = [[("a", 1, body), ("b", 2, body)], [("a", 3, body + " Neu."), ("a", 4, "kurz"), ("b", 1, body + " Alt.")], [("a", 2, body + " Spät."), ("a", 5, body + " Neu."), ("a", 6, body), ("b", 3, body)]]
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, "id string, seq int, body string").coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+        for f in (tmp_path / "in").glob("part-*"):
+            if not f.name.startswith("part-9"):
+                f.rename(f.with_name(f"part-9{k}.parquet"))
+                os.utime(tmp_path / "in" / f"part-9{k}.parquet", (k, k))
+    for f in (tmp_path / "in").glob(".*crc"):
+        f.unlink()
+    out = drained(revisions(source(spark, f"file://{tmp_path}/in/part-9?.parquet", 1), "id", "seq", "body"), "stream-test")
+    got = {(r.key, r.seq): (r.status, r.revision) for r in spark.read.parquet(out).collect()}
+    assert got == {("a", 1): ("new", 1), ("b", 2): ("new", 1), ("a", 3): ("revised", 2), ("a", 4): ("rejected", None), ("b", 1): ("late", None), ("a", 2): ("late", None), ("a", 5): ("unchanged", 2), ("a", 6): ("revised", 3), ("b", 3): ("unchanged", 1)}
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Cluster)
+
+
 def test_suppression(spark):
     rows = spark.createDataFrame([("JP", 33), ("HK", 21), ("DE", 19), ("ZZ", 4)], "code string, pv int")
     assert {tuple(r) for r in statistics.suppressed(rows, "code", "pv").collect()} == {("JP", 30), ("HK", 20), ("OTHER", 20)}
@@ -140,7 +185,11 @@ def test_publish_keeps_last_good(spark, tmp_path):
     with pytest.raises(gates.GateError):
         twice = rows.union(rows)
         publish.publish({"events": (twice, ["month"])}, folder, [("ids", gates.repeated(twice, "id"))])
-    assert publish.current(spark, folder, "events").count() == 2
+    assert publish.current(spark, folder, "events").count() == 2 and len(list(tmp_path.glob("generation=*"))) == 1
+    more = publish.publish({"events": (rows.union(spark.createDataFrame([(3, "2024-02")], rows.schema)), ["month"])}, folder)
+    assert more != first and publish.current(spark, folder, "events").count() == 3 and publish.manifest(spark, folder)["generation"] == more
+    assert len(list(tmp_path.glob("generation=*"))) == 2 and len(list(tmp_path.glob("*manifest.json*"))) <= 2  # the manifest, and its checksum
+    assert publish.publish({"events": (rows, ["month"])}, folder) != first and publish.current(spark, folder, "events").count() == 2
 
 
 def test_review_packs_and_tiles(spark):
