@@ -17,6 +17,8 @@ from tessella.llm.words import AS_WRITTEN, grams, inside, mixed, rows_of, words
 
 #: Words of an anchor. Every window of ``window`` words has window - ANCHOR + 1 of them, and is filed under the least.
 ANCHOR = 5
+#: Bytes of seeds or texts of a task.
+TASK = 64 << 20
 SEED = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("word", "<u4")])
 
 
@@ -202,21 +204,23 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other batches for it: the others are repeats whatever the answer is, so a passage that a third of all documents share costs one seed a
     batch. Seeds travel packed, by part of the anchors' hash; texts are shuffled once, by id, to meet their repeats.
 
-    Windows are compared by 40 bits of anchor and 40 of context, within a part of the anchors. Null and empty texts have no words; texts below ``window``
+    Windows are compared by 40 bits of anchor and 40 of context, within a part of the anchors. Ids are whole numbers; others fail under ANSI rules. Null and empty texts have no words; texts below ``window``
     words lose none; repeated ids count as one document, so that they do not delete each other. Rows with a null id ask and answer nothing and are kept whole.
     An empty table gives none. Returns ``carry`` with n_words, n_removed, kept_sha256 and, if ``keep_text``, kept_text.
     """
     spark = docs.sparkSession
     carry = carried(docs, carry, text_col, ("n_words", "n_removed", "kept_sha256", "kept_text"))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Packed seeds take up to 1.7 times the texts' bytes; parts and partitions follow what is counted, beyond those of the session.
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-17 * total // (10 * TASK)))
     parts = parts or 2 * width
     texts = docs.filter(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= 2 * window - 1)).select(F.col(id_col).cast("bigint").alias("_doc"), F.col(text_col).alias("_text"))
     seed_schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("seeds", T.BinaryType())])
     run_schema = T.StructType(seed_schema.fields[1:4])
     seeds = arrow(texts, _seeds("_text", window, parts, arrow_schema(seed_schema)), seed_schema)
     runs = arrow(seeds.repartition(width, "part").sortWithinPartitions("part"), _joined(arrow_schema(run_schema)), run_schema)
-    spans = runs.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
-    rows = docs.select(*dict.fromkeys([*carry, text_col]), F.col(id_col).cast("bigint").alias("_doc")).join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    spans = runs.repartition(width, "doc").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
+    rows = docs.select(*dict.fromkeys([*carry, text_col]), F.col(id_col).cast("bigint").alias("_doc")).repartition(width, "_doc").join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left")
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept_text", T.StringType())] if keep_text else [])])
     return arrow(rows.select(*dict.fromkeys([*carry, text_col]), "_spans"), _remove(text_col, carry, window, keep_text, arrow_schema(schema)), schema)
 

@@ -137,6 +137,11 @@ def test_substrings(docs, rows):
     columns = ("doc_id", "n_words", "n_removed", "kept_sha256")
     for window in (13, 6):
         assert got(substrings.substring_dedup(docs, window=window), *columns) == sorted(substrings.brute_force(rows, window), key=repr)
+    # Repeated rows don't delete each other, and rows with a null id are kept whole.
+    twice = substrings.substring_dedup(docs.union(docs))
+    assert got(twice, *columns) == sorted(got(substrings.substring_dedup(docs), *columns) * 2, key=repr)
+    nameless = substrings.substring_dedup(docs.withColumn("doc_id", F.when(F.col("doc_id") < 100, F.col("doc_id"))))
+    assert nameless.filter("doc_id IS NULL AND n_removed > 0").count() == 0 and nameless.count() == len(rows)
     kept = substrings.substring_dedup(docs, keep_text=True)
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in kept.collect())
     assert substrings.substring_dedup(docs.limit(0)).count() == 0
