@@ -30,3 +30,10 @@ def test_stages(spark, sf):
     assert after.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 3
     before, after = kept["sharding"]
     assert after.select(names).exceptAll(before).isEmpty() and before.exceptAll(after.select(names)).isEmpty()
+
+
+def test_stages_on_empty_tables(spark, sf):
+    """An empty table gives an empty result at every stage, whatever other columns it has."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0).withColumns({"rejected": F.lit("clash"), "shard": F.lit("clash"), "_text": F.lit("clash")})
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf).count() == 0
