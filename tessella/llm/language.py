@@ -61,7 +61,7 @@ def sums(buf: np.ndarray, bounds: np.ndarray, weights: np.ndarray, piece: int =
 
 
 class Model:
-    """weights: buckets x languages, the product of embeddings and softmax; temperature and threshold: calibration."""
+    """weights: buckets x classes, the product of embeddings and softmax; the last class is text of no learned language. temperature and threshold: calibration."""
 
     def __init__(self, langs: list[str], weights: np.ndarray, bias: np.ndarray):
         self.langs, self.weights, self.bias, self.temperature, self.threshold = langs, weights, bias, 1.0, 0.0
@@ -71,7 +71,8 @@ class Model:
         return total / np.maximum(count, 1)[:, None] + self.bias
 
     def predict(self, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        p = softmax(self.logits(buf, bounds) / self.temperature)
+        """The likeliest language of each text, and its share; what is left belongs to the other languages and to none."""
+        p = softmax(self.logits(buf, bounds) / self.temperature)[:, :-1]
         return p.argmax(1), p.max(1)
 
 
@@ -84,11 +85,14 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
 
 
-def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 6, rate: float = 4.0, reject: float = 0.001, seed: int = 5) -> Model | None:
+def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 6, rate: float = 4.0, reject: float = 0.001, admit: float = 0.005, seed: int = 5) -> Model | None:
     """Train by stochastic gradient descent on random stretches of the texts; calibrate on a fifth that is held out.
 
-    The temperature minimises the held-out stretches' log loss. The threshold is the confidence that all but ``reject`` of the
-    held-out texts and stretches reach when their prediction is right, and never above one half.
+    Stretches with their letters in random order stand for text of no learned language, one for each language's share of the
+    texts; so subwords that no language has speak against all of them. The temperature minimises the log loss of held-out texts
+    and stretches, disordered ones too. The threshold lies halfway (in logarithms) between the confidence that all but ``admit``
+    of the disordered held-out texts stay below and the one that all but ``reject`` of the held-out texts and stretches reach when
+    their prediction is right; where these cross, it is the latter.
     """
     rng = np.random.default_rng(seed)
     langs = sorted({lang for _, lang in rows})
@@ -99,13 +103,17 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 6, rate: float
     held, train = order[: len(data) // 5], order[len(data) // 5 :]
     freq = np.bincount([data[i][1] for i in train], minlength=len(langs)) if len(train) else np.ones(len(langs))
     balance = (len(train) / np.maximum(freq, 1) / len(langs)) ** 0.5
-    emb, out, bias = rng.normal(0, 0.1, (1 << BUCKET_BITS, dim)), rng.normal(0, 0.3, (dim, len(langs))), np.zeros(len(langs))
+    none, balance = len(langs), np.append(balance, 1.0)
+    emb, out, bias = rng.normal(0, 0.1, (1 << BUCKET_BITS, dim)), rng.normal(0, 0.3, (dim, none + 1)), np.zeros(none + 1)
 
     def stretch(text: bytes) -> bytes:
         size = int(rng.integers(6, 60) if rng.random() < 0.5 else rng.integers(60, 400))
         at = int(rng.integers(0, max(1, len(text) - size)))
         return text[at : at + size]
 
+    def disordered(text: bytes) -> bytes:
+        return rng.permutation(np.frombuffer(text.decode(errors="ignore").encode("utf-32-le"), np.uint32)).tobytes().decode("utf-32-le").encode()
+
     def features(text: bytes) -> np.ndarray:
         t = folded(np.frombuffer(text, np.uint8))
         parts = [subwords(t, k)[(np.lib.stride_tricks.sliding_window_view(t, k) != 32).any(1)] for k in ORDERS if len(t) >= k]
@@ -115,15 +123,18 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 6, rate: float
     for _ in range(epochs):
         for i in rng.permutation(train):
             text, lang = data[i]
-            for part in (stretch(text), stretch(text)):
+            parts = [(stretch(text), lang), (stretch(text), lang)]
+            if rng.random() < 2 / none:
+                parts.append((disordered(stretch(text)), none))
+            for part, kind in parts:
                 index = features(part)
                 if not len(index):
                     continue
                 lr = rate * (1 - step / steps) + 1e-3
                 mean = emb[index].mean(0)
                 p = softmax((mean @ out + bias)[None])[0]
-                p[lang] -= 1
-                p *= balance[lang]
+                p[kind] -= 1
+                p *= balance[kind]
                 back = out @ p
                 out -= lr * 0.1 * np.outer(mean, p)
                 bias -= lr * 0.01 * p
@@ -131,14 +142,17 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 6, rate: float
             step += 1
     model = Model(langs, (emb @ out).astype(np.float32), bias)
     if len(held):
-        texts = [data[i][0] for i in held] + [stretch(data[i][0]) for i in held]
-        truth = np.array([data[i][1] for i in held] * 2)
+        odd = [disordered(data[i][0]) for i in held]
+        texts = [data[i][0] for i in held] + [stretch(data[i][0]) for i in held] + odd
+        truth = np.array([data[i][1] for i in held] * 2 + [none] * len(odd))
         logits = model.logits(*joined(texts))
         loss = {t: -np.log(np.maximum(softmax(logits / t)[np.arange(len(truth)), truth], 1e-12)).mean() for t in np.geomspace(0.1, 4, 30)}
         model.temperature = float(min(loss, key=loss.get))
-        p = softmax(logits / model.temperature)
-        right = p.max(1)[p.argmax(1) == truth]
-        model.threshold = float(min(0.5, np.quantile(right, reject))) if len(right) else 0.0
+        p = softmax(logits / model.temperature)[:, :-1]
+        right, outside = p.max(1)[p.argmax(1) == truth], p.max(1)[truth == none]
+        if len(right):
+            high = np.quantile(right, reject)
+            model.threshold = float(np.sqrt(high * min(high, np.quantile(outside, 1 - admit))))
     return model
 
 

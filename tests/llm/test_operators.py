@@ -313,6 +313,22 @@ def test_language(spark, sf, docs):
     assert language.identify(docs.limit(0)).count() == 0
 
 
+def test_language_rejects_what_is_none_of_the_learned(spark):
+    """Clean texts of the learned kinds stay; text of other languages, and text whose letters stand in no order, goes."""
+    rng = random.Random(3)
+    kinds = {"aa": ["velar", "mistrou", "hanten", "oberil", "quast", "sildom"], "bb": ["ygwyn", "cwmffa", "llwdrys", "bethwn", "ddysgu", "rhagfy"], "cc": ["zkrast", "pvodny", "czemtu", "jeszko", "wrzosy", "szyden"]}
+    made = lambda kind, n: " ".join(rng.choice(kinds[kind]) for _ in range(n))
+    known = [(k, made(kind, rng.randint(3, 120)), kind) for k, kind in enumerate(["aa", "bb"] * 200)]
+    other = [(1000 + k, made("cc", 60), None) for k in range(30)]
+    for k in range(30):
+        letters = list(made("aa" if k % 2 else "bb", 60))
+        rng.shuffle(letters)
+        other.append((2000 + k, "".join(letters), None))
+    found = {r.doc_id: r for r in language.identify(spark.createDataFrame(known + other, "doc_id bigint, text string, lang string")).collect()}
+    assert all(found[d].lang_pred == kind for d, _, kind in known) and sum(found[d].rejected for d, _, _ in known) <= 4
+    assert all(found[d].rejected for d, _, _ in other)
+
+
 def test_quality(spark, sf, docs):
     real, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     found = quality.quality(real, labels, language.fold("doc_id", 5) != 0, carry=["doc_id"]).join(labels, "doc_id")
