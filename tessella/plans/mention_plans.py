@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import mentions as m
+from tessella.functions.text import normalised
 from tessella.sources.tables import table
 
 #: Before and after the name, and the role that the name then has.
@@ -67,6 +68,30 @@ def mention_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mentions(spark, sf_dir, [(p, "") for p, _ in STANDS]).select("p_partkey", *[t.alias(n) for t, n in zip(tests, TESTS, strict=True)])
 
 
+#: Title and body of a report, and whether it sums up an operation.
+REPORTS = [
+    ("verbundeinsatz in der stadt", "es gab stationäre und mobile verkehrskontrollen", True),
+    ("verbundeinsatz in der stadt", "es gab nur mobile verkehrskontrollen", False),
+    ("bilanz der verkehrswoche", "bei den kontrollen überprüften beamte viele fahrzeuge und leiteten strafverfahren ein", True),
+    ("bilanz der woche", "bei den kontrollen überprüften beamte viele fahrzeuge und leiteten strafverfahren ein", False),
+    ("ergebnisse der bundesweiten verkehrssicherheitsaktion", "eine kontrolle, viele ordnungswidrigkeiten", True),
+    ("raub in der nacht", "kontrollen blieben ohne straftaten", False),
+]
+
+
+def aggregate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which reports sum up an operation: the text of each document after one of the phrases."""
+    pick = lambda k: F.element_at(F.array(*[F.lit(r[k]) for r in REPORTS]), (F.col("doc_id") % len(REPORTS) + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", m.tells_totals(pick(0), F.concat_ws(". ", pick(1), normalised(F.col("text")))).alias("totals"))
+
+
+def section_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roads between which something happened: one named by the part, the other the ring; a gate is no road."""
+    said = [("im bereich zwischen dem ", "weg und der ringstrasse kam es zum unfall"), ("im bereich zwischen der ", "allee und dem alten tor, hiess es"), ("er ging zwischen der ", "allee und dem ring")]
+    found = _mentions(spark, sf_dir, said).select("p_partkey", m.section_bounds(F.col("sentence")).alias("b"))
+    return found.select("p_partkey", F.array_join("b", " / ").alias("bounds"))
+
+
 def _chosen(values: list[str]) -> str:
     return f"list_extract([{', '.join(repr(v) for v in values)}], CAST(p_partkey % {len(values)} + 1 AS INT))"
 
@@ -74,5 +99,7 @@ def _chosen(values: list[str]) -> str:
 QUERIES = {
     "mention_roles": (mention_roles, f"SELECT p_partkey, {_chosen([r for _, _, r in SAID])} AS role FROM part"),
     "mention_clauses": (mention_clauses, f"SELECT p_partkey, ' ging es in der ' || lower(p_name) || ' weiter' || {_chosen(['', ', wobei er stürzte', '', ''] * 2)} AS clause, p_partkey % 4 = 1 AS scene FROM part"),
+    "aggregate_reports": (aggregate_reports, f"SELECT doc_id, list_extract([{', '.join(str(t).lower() for _, _, t in REPORTS)}], CAST(doc_id % {len(REPORTS)} + 1 AS INT)) AS totals FROM documents"),
+    "section_bounds": (section_bounds, "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN lower(p_name) || 'weg / ringstrasse' ELSE '' END AS bounds FROM part"),
     "mention_contexts": (mention_contexts, f"SELECT p_partkey, {', '.join(f"{_chosen([f[k] for _, f in STANDS])} = '1' AS {n}" for k, n in enumerate(TESTS))} FROM part"),
 }
