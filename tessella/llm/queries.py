@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import decontamination, exact, html_text, language, mixing, near, quality, secrets, shards, substrings
+from tessella.llm import chat, decontamination, exact, html_text, language, merkle, mixing, near, quality, secrets, shards, substrings, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_quality": quality.op10_quality,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_chat_format": chat.op13_chat_format,
 }
-SQL = {"op4_jaccard_join": near.OP4_SQL, "op5_substring_dedup": substrings.OP5_SQL, "op6_decontamination": decontamination.OP6_SQL, "op9_exact_dedup": exact.OP9_SQL}
+SQL = {"op4_jaccard_join": near.OP4_SQL, "op5_substring_dedup": substrings.OP5_SQL, "op6_decontamination": decontamination.OP6_SQL, "op9_exact_dedup": exact.OP9_SQL, "op12_merkle_manifest": merkle.OP12_SQL, "op13_chat_format": chat.OP13_SQL}
