@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators import lines
+from tessella.functions import geo
+from tessella.operators import lines, names, simplify
 from tessella.sources.tables import ANNOUNCED, announcements, placed, placed_sql, table
 
 #: Metres of a cell's side for points near lines, for footprints and for roads.
@@ -186,6 +187,139 @@ oc AS (SELECT road, parts, extent, p, CASE WHEN extent > 3000 THEN 'long' WHEN p
 SELECT road, parts, round(extent, 3) AS extent, outcome, CASE WHEN outcome = 'located' THEN p.x END AS x, CASE WHEN outcome = 'located' THEN p.y END AS y FROM oc"""
 
 
+def line_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roads clipped by footprints: metres and runs inside, and the point that stands for them there: the first corner inside, else the middle of the longest run."""
+    roads, places = lines.measured(_roads(spark, sf_dir), "c_custkey", "seq"), _footprints(spark, sf_dir)
+    found = lines.runs(lines.clipped(roads, places, "c_custkey", "seq", "s_suppkey", AREA), "c_custkey", "s_suppkey")
+    longest = F.max(F.struct(F.round(F.col("m2") - F.col("m1"), 3).alias("n"), (-F.col("m1")).alias("m"), ((F.col("m1") + F.col("m2")) / 2).alias("mid")))
+    whole = found.groupBy("c_custkey", "s_suppkey").agg(F.sum(F.col("m2") - F.col("m1")).alias("metres"), F.count("*").alias("runs"), longest.alias("long"))
+    both = F.explode(F.array(F.struct(F.col("m1").alias("m"), F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("m2").alias("m"), F.col("x2").alias("x"), F.col("y2").alias("y"))))
+    corners = roads.select("c_custkey", both.alias("v")).distinct().withColumn("key", F.concat_ws(" ", "c_custkey", "v.m", "v.x", "v.y"))
+    within = lines.inside(corners.select("key", "v.x", "v.y"), places, "key", "s_suppkey", AREA).join(corners, "key").groupBy("c_custkey", "s_suppkey").agg(F.min("v").alias("v"))
+    mid = F.col("long.mid")
+    at = whole.join(roads, "c_custkey").filter((F.col("m1") <= mid) & (mid < F.col("m2"))).withColumn("t", (mid - F.col("m1")) / (F.col("m2") - F.col("m1")))
+    at = at.select("c_custkey", "s_suppkey", "metres", "runs", (F.col("x1") + F.col("t") * (F.col("x2") - F.col("x1"))).alias("mx"), (F.col("y1") + F.col("t") * (F.col("y2") - F.col("y1"))).alias("my")).join(within, ["c_custkey", "s_suppkey"], "left")
+    point = [F.round(F.coalesce(F.col(f"v.{c}"), F.col(f"m{c}")), 2).alias(c) for c in "xy"]
+    return at.filter("metres > 0.01").select("c_custkey", "s_suppkey", F.round("metres", 2).alias("metres"), "runs", F.col("v").isNotNull().alias("corner"), *point)
+
+
+def _inside_sql(name: str, points: str, keys: str, edges: str, area: str) -> str:
+    """A table of the rows of ``points`` (keys, x, y) with the areas that hold them."""
+    return f"{name} AS (SELECT {keys}, e.{area} FROM {points} p, {edges} e GROUP BY ALL HAVING count(*) FILTER ({_RIGHT.format(x='p.x', y='p.y')}) % 2 = 1 OR bool_or({_ON.format(x='p.x', y='p.y')}))"
+
+
+_ANCHORS = f"""WITH {_ROADS}, {_footprint_sql()},
+{_MEET.format(name='m', cols='p.c_custkey, p.seq, q.s_suppkey', left='rl', right='fe', on='true')},
+tt AS (SELECT c_custkey, seq, s_suppkey, unnest(CASE WHEN overlap THEN [s, {_share('u1', 'v1')}, {_share('u2', 'v2')}] ELSE [{_share('x', 'y')}] END) AS t FROM m),
+tm AS (SELECT DISTINCT * FROM (SELECT * FROM tt UNION ALL SELECT c_custkey, seq, s_suppkey, unnest([0::DOUBLE, 1::DOUBLE]) FROM tt)),
+pi AS (SELECT c_custkey, seq, s_suppkey AS own, t AS f, lead(t) OVER (PARTITION BY c_custkey, seq, s_suppkey ORDER BY t) AS t FROM tm UNION ALL SELECT c_custkey, seq, NULL, 0, 1 FROM rl),
+pm AS (SELECT c_custkey, seq, own, f, t, x1 + (f + t) / 2 * (x2 - x1) AS x, y1 + (f + t) / 2 * (y2 - y1) AS y FROM pi JOIN rl USING (c_custkey, seq) WHERE t > f),
+{_inside_sql('pn', 'pm', 'p.c_custkey, p.seq, p.own, p.f, p.t', 'fe', 's_suppkey')},
+pk AS (SELECT c_custkey, seq, s_suppkey, f, t FROM pn WHERE own = s_suppkey OR (own IS NULL AND NOT EXISTS (SELECT 1 FROM tt WHERE tt.c_custkey = pn.c_custkey AND tt.seq = pn.seq AND tt.s_suppkey = pn.s_suppkey))),
+lm AS (SELECT *, sum(n) OVER (PARTITION BY c_custkey ORDER BY seq) - n AS m1, sum(n) OVER (PARTITION BY c_custkey ORDER BY seq) AS m2 FROM (SELECT *, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS n FROM rl)),
+pq AS (SELECT c_custkey, s_suppkey, m1 + f * (m2 - m1) AS a, m1 + t * (m2 - m1) AS b FROM pk JOIN lm USING (c_custkey, seq)),
+r1 AS (SELECT *, CAST(coalesce(a > lag(b) OVER w + 1e-6, true) AS INT) AS fresh FROM pq WINDOW w AS (PARTITION BY c_custkey, s_suppkey ORDER BY a, b)),
+r2 AS (SELECT *, sum(fresh) OVER (PARTITION BY c_custkey, s_suppkey ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS r FROM r1),
+r3 AS (SELECT c_custkey, s_suppkey, r, min(a) AS a, max(b) AS b FROM r2 GROUP BY ALL),
+r4 AS (SELECT c_custkey, s_suppkey, sum(b - a) AS metres, count(*) AS runs, max(struct_pack(n := round(b - a, 3), m := -a, mid := (a + b) / 2)) AS long FROM r3 GROUP BY ALL),
+vc AS (SELECT DISTINCT * FROM (SELECT c_custkey, m1 AS m, x1 AS x, y1 AS y FROM lm UNION ALL SELECT c_custkey, m2, x2, y2 FROM lm)),
+{_inside_sql('vi', 'vc', 'p.c_custkey, p.m, p.x, p.y', 'fe', 's_suppkey')},
+vf AS (SELECT c_custkey, s_suppkey, min(struct_pack(m := m, x := x, y := y)) AS v FROM vi GROUP BY ALL)
+SELECT r4.c_custkey, r4.s_suppkey, round(metres, 2) AS metres, runs, v IS NOT NULL AS corner, round(coalesce(v.x, x1 + (long.mid - m1) / (m2 - m1) * (x2 - x1)), 2) AS x, round(coalesce(v.y, y1 + (long.mid - m1) / (m2 - m1) * (y2 - y1)), 2) AS y
+FROM r4 JOIN lm ON r4.c_custkey = lm.c_custkey AND m1 <= long.mid AND long.mid < m2 LEFT JOIN vf ON vf.c_custkey = r4.c_custkey AND vf.s_suppkey = r4.s_suppkey WHERE metres > 0.01"""
+
+
+def place_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which place a name stands for: none if its members lie in several groups or too far apart, else the member with the largest area."""
+    members = placed(table(spark, sf_dir, "customer").select("c_custkey", F.expr("c_custkey div 3").alias("name")).withColumn("k", F.expr("name * 7 + if(name % 4 = 0, c_custkey % 3, 0)")), "k")
+    near = members.select("name", "c_custkey", (F.col("x") + F.col("c_custkey") % 3 * (F.col("name") % 9 * 70)).alias("x"), "y", (F.col("c_custkey") * 13 % 29).alias("area"))
+    grouped = lines.linked_groups(near, "name", "c_custkey", 75.0).join(near.drop("name"), "c_custkey")
+    one = grouped.groupBy("name").agg(F.countDistinct("group").alias("groups"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("extent"), F.max(F.struct("area", (-F.col("c_custkey")).alias("k"))).alias("best"))
+    outcome = F.when(F.col("groups") > 1, "ambiguous").when(F.col("extent") > 250, "wide").otherwise("place")
+    return one.select("name", "groups", F.round("extent", 3).alias("extent"), outcome.alias("outcome"), F.when(outcome == "place", -F.col("best.k")).alias("stands"))
+
+
+_GROUPS = f"""WITH RECURSIVE {placed_sql('gs', '(SELECT c_custkey, c_custkey // 3 AS name, c_custkey // 3 * 7 + CASE WHEN c_custkey // 3 % 4 = 0 THEN c_custkey % 3 ELSE 0 END AS k FROM customer)', 'k')},
+gp AS (SELECT name, c_custkey, x + c_custkey % 3 * (name % 9 * 70) AS x, y, c_custkey * 13 % 29 AS area FROM gs),
+ge AS (SELECT a.c_custkey AS u, b.c_custkey AS v FROM gp a JOIN gp b ON a.name = b.name AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 22500),
+gr AS (SELECT c_custkey AS u, c_custkey AS v FROM gp UNION SELECT gr.u, ge.v FROM gr JOIN ge ON gr.v = ge.u),
+gg AS (SELECT u AS c_custkey, min(v) AS g FROM gr GROUP BY u),
+g1 AS (SELECT name, count(DISTINCT g) AS groups, greatest(max(x) - min(x), max(y) - min(y)) AS extent, max(struct_pack(area := area, k := -c_custkey)) AS best FROM gp JOIN gg USING (c_custkey) GROUP BY name),
+g2 AS (SELECT *, CASE WHEN groups > 1 THEN 'ambiguous' WHEN extent > 250 THEN 'wide' ELSE 'place' END AS outcome FROM g1)
+SELECT name, groups, round(extent, 3) AS extent, outcome, CASE WHEN outcome = 'place' THEN -best.k END AS stands FROM g2"""
+
+
+def thinned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corners that stay of each supplier's track (its orders in turn) within a tolerance of its own."""
+    stops = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey").agg(F.min("l_partkey").alias("p"))
+    tracks = stops.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(F.struct((F.col("l_orderkey") * 3).cast("double").alias("x"), (F.col("p") % 97).cast("double").alias("y")))).alias("track"))
+    thin = simplify.simplified(tracks.withColumn("tolerance", F.col("l_suppkey") % 5 * 12.0), "track", "tolerance")
+    return thin.select("l_suppkey", F.explode("track").alias("c")).select("l_suppkey", "c.x", "c.y")
+
+
+_THIN = """WITH RECURSIVE st AS (SELECT l_suppkey AS s, l_orderkey, min(l_partkey) AS p FROM lineitem GROUP BY ALL),
+tr AS (SELECT s, row_number() OVER (PARTITION BY s ORDER BY l_orderkey) AS k, CAST(l_orderkey * 3 AS DOUBLE) AS x, CAST(p % 97 AS DOUBLE) AS y, s % 5 * 12.0::DOUBLE AS tol FROM st),
+whole AS (SELECT s, max(k) AS n, any_value(tol) AS tol FROM tr GROUP BY s),
+iv AS (SELECT s, 1::BIGINT AS a, n AS b, tol FROM whole
+UNION ALL SELECT s, CASE WHEN side = 0 THEN a ELSE m END, CASE WHEN side = 0 THEN m ELSE b END, tol FROM (
+ SELECT s, a, b, tol, unnest([0, 1]) AS side, -f.k AS m FROM (
+ SELECT iv.s, iv.a, iv.b, iv.tol, max(struct_pack(d2 := (c.x - p.x - greatest(0::DOUBLE, least(1::DOUBLE, ((c.x - p.x) * (q.x - p.x) + (c.y - p.y) * (q.y - p.y)) / ((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y)))) * (q.x - p.x)) ** 2
+  + (c.y - p.y - greatest(0::DOUBLE, least(1::DOUBLE, ((c.x - p.x) * (q.x - p.x) + (c.y - p.y) * (q.y - p.y)) / ((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y)))) * (q.y - p.y)) ** 2, k := -c.k)) AS f
+ FROM iv JOIN tr p ON p.s = iv.s AND p.k = a JOIN tr q ON q.s = iv.s AND q.k = b JOIN tr c ON c.s = iv.s AND c.k > a AND c.k < b WHERE b - a + 1 >= 4 GROUP BY ALL) WHERE f.d2 > tol * tol)),
+kept AS (SELECT s, a AS k FROM iv UNION SELECT s, b FROM iv UNION SELECT s, unnest([a, a + 1, b]) FROM iv WHERE b - a + 1 < 4)
+SELECT tr.s AS l_suppkey, x, y FROM kept JOIN tr ON tr.s = kept.s AND tr.k = kept.k"""
+
+
+def close_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two names most like each name of ``part`` (with its brand) with one letter left out."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("p_name"))
+    gone = (F.col("p_partkey") % F.length("p_name") + 1).cast("int")
+    damaged = part.select(F.concat(F.substring("p_name", F.lit(1), gone - 1), F.substring("p_name", gone + 1, F.length("p_name"))).alias("token"))
+    return names.close_matches(damaged, part, "token", "p_name").select("token", "p_name", F.round("ratio", 9).alias("ratio"), "rank")
+
+
+def geodesic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance on the ellipsoid, to a millimetre, and azimuth from announcements to a town's centre."""
+    g = geo.geodesic_inverse(F.col("lon"), F.col("lat"), F.lit(13.4), F.lit(52.52))
+    return announcements(spark, sf_dir).select("id", g.alias("g")).select("id", F.round("g.metres", 3).alias("metres"), F.round("g.azimuth", 6).alias("azimuth"), "g.converged")
+
+
+def geodesic_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corners of circles on the ellipsoid about announcements, from 1 to 6 nautical miles."""
+    ring = geo.geodesic_circle(F.col("lon"), F.col("lat"), (F.col("id") % 6 + 1) * 1852.0, 8)
+    return announcements(spark, sf_dir).select("id", F.posexplode(ring).alias("corner", "c")).select("id", "corner", F.round("c.lon", 7).alias("lon"), F.round("c.lat", 7).alias("lat"))
+
+
+_F84 = repr(geo.F84)
+_U = f"atan((1 - {_F84}::DOUBLE) * tan(radians({{0}})))"
+_EP2 = repr((geo.A84**2 - geo._B**2) / geo._B**2)
+_A_B = f"1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))) AS ka, u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))) AS kb"
+_DS = "kb * sin({s}) * ({m} + kb / 4 * (cos({s}) * (2 * {m} * {m} - 1) - kb / 6 * {m} * (4 * sin({s}) * sin({s}) - 3) * (4 * {m} * {m} - 3)))"
+_C = f"({_F84}::DOUBLE / 16 * cos2a * (4 + {_F84}::DOUBLE * (4 - 3 * cos2a)))"
+
+
+def _inverse_sql(steps: int = 8) -> str:
+    """Vincenty's steps written out, one table each."""
+    out = [f"{ANNOUNCED}, v AS (SELECT id, sin({_U.format('lat')}) AS s1, cos({_U.format('lat')}) AS c1, sin({_U.format('52.52::DOUBLE')}) AS s2, cos({_U.format('52.52::DOUBLE')}) AS c2, radians(13.4::DOUBLE - lon) AS l FROM ann), l0 AS (SELECT *, l AS lam FROM v)"]
+    for k in range(steps + 1):
+        out.append(f"h{k} AS (SELECT *, sqrt((c2 * sin(lam)) ** 2 + (c1 * s2 - s1 * c2 * cos(lam)) ** 2) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs FROM l{k}), i{k} AS (SELECT *, atan2(ss, cs) AS sg, coalesce(c1 * c2 * sin(lam) / nullif(ss, 0), 0) AS sa FROM h{k}), j{k} AS (SELECT *, 1 - sa * sa AS cos2a, cs - 2 * s1 * s2 / (1 - sa * sa) AS cm FROM i{k})")
+        if k < steps:
+            out.append(f"l{k + 1} AS (SELECT id, s1, c1, s2, c2, l, l + (1 - {_C}) * {_F84}::DOUBLE * sa * (sg + {_C} * ss * (cm + {_C} * cs * (2 * cm * cm - 1))) AS lam FROM j{k})")
+    out.append(f"w AS (SELECT *, {_A_B} FROM (SELECT *, cos2a * {_EP2}::DOUBLE AS u2 FROM j{steps}))")
+    bearing = "degrees(atan2(c2 * sin(lam), c1 * s2 - s1 * c2 * cos(lam)))"
+    return ", ".join(out) + f" SELECT id, round({geo._B!r}::DOUBLE * ka * (sg - {_DS.format(s='sg', m='cm')}), 3) AS metres, round(CASE WHEN ss > 0 THEN CASE WHEN {bearing} < 0 THEN {bearing} + 360 ELSE {bearing} END END, 6) AS azimuth, true AS converged FROM w"
+
+
+def _direct_sql(steps: int = 8) -> str:
+    out = [f"{ANNOUNCED}, v AS (SELECT id, c AS corner, lon, sin({_U.format('lat')}) AS s1, cos({_U.format('lat')}) AS c1, sin(radians(c % 8 * 45)) AS sa1, cos(radians(c % 8 * 45)) AS ca1, (id % 6 + 1) * 1852.0::DOUBLE AS metres FROM ann, (SELECT unnest(range(9)) AS c))"]
+    out.append(f"w AS (SELECT *, {_A_B}, atan2(s1, c1 * ca1) AS start FROM (SELECT *, c1 * sa1 AS sa, 1 - c1 * c1 * sa1 * sa1 AS cos2a, (1 - c1 * c1 * sa1 * sa1) * {_EP2}::DOUBLE AS u2 FROM v)), l0 AS (SELECT *, metres / ({geo._B!r}::DOUBLE * ka) AS f, metres / ({geo._B!r}::DOUBLE * ka) AS s FROM w)")
+    for k in range(steps):
+        out.append(f"l{k + 1} AS (SELECT * REPLACE (f + {_DS.format(s='s', m='cos(2 * start + s)')} AS s) FROM l{k})")
+    north = f"atan2(s1 * cos(s) + c1 * sin(s) * ca1, (1 - {_F84}::DOUBLE) * sqrt(sa * sa + (s1 * sin(s) - c1 * cos(s) * ca1) ** 2))"
+    east = f"(atan2(sin(s) * sa1, c1 * cos(s) - s1 * sin(s) * ca1) - (1 - {_C}) * {_F84}::DOUBLE * sa * (s + {_C} * sin(s) * (cos(2 * start + s) + {_C} * cos(s) * (2 * cos(2 * start + s) * cos(2 * start + s) - 1))))"
+    return ", ".join(out) + f" SELECT id, CAST(corner AS INT) AS corner, round(lon + degrees({east}), 7) AS lon, round(degrees({north}), 7) AS lat FROM l{steps}"
+
+
 QUERIES = {
     "line_distance_join": (line_distance_join, f"{ANNOUNCED}, {_ORDER_LINES} SELECT id, o_orderkey, round(sqrt(min({_d2('x', 'y')})), 3) AS metres FROM ann, ol WHERE {_d2('x', 'y')} <= (20.0 + o_orderkey % 3 * 30) * (20.0 + o_orderkey % 3 * 30) GROUP BY ALL"),
     "footprint_join": (footprint_join, f"{ANNOUNCED}, {_footprint_sql()} SELECT id, s_suppkey FROM ann, fe GROUP BY ALL HAVING count(*) FILTER ({_RIGHT.format(x='x', y='y')}) % 2 = 1 OR bool_or({_ON.format(x='x', y='y')})"),
@@ -194,4 +328,10 @@ QUERIES = {
     "height_junctions": (height_junctions, f"WITH {_ROADS}, re AS (SELECT * FROM rl WHERE c_custkey % 2 = 0), {_MEET.format(name='m', cols='p.road, q.road AS other', left='re', right='re', on='p.road < q.road')}, g AS (SELECT road, other, count(DISTINCT struct_pack(y := round(y, 3), x := round(x, 3))) AS n, bool_or(overlap) AS o, max(struct_pack(y := round(y, 3), x := round(x, 3))) AS n1, min(struct_pack(y := round(y, 3), x := round(x, 3))) AS s1 FROM m GROUP BY ALL) SELECT road, other, n1.x AS north_x, n1.y AS north_y, s1.x AS south_x, s1.y AS south_y FROM g WHERE n = 2 AND NOT o AND sqrt((n1.x - s1.x) ** 2 + (n1.y - s1.y) ** 2) >= 50"),
     "street_sections": (street_sections, _SECTIONS),
     "street_points": (street_points, _NEAR_PIECES),
+    "line_anchors": (line_anchors, _ANCHORS),
+    "place_groups": (place_groups, _GROUPS),
+    "thinned_lines": (thinned_lines, _THIN),
+    "close_names": (close_names, None),
+    "geodesic_lines": (geodesic_lines, _inverse_sql()),
+    "geodesic_rings": (geodesic_rings, _direct_sql()),
 }
