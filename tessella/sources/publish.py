@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from py4j.java_gateway import JavaClass
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.functions.grid import tile_cover
 from tessella.operators.gates import differences, must_be_empty
@@ -37,21 +42,24 @@ def manifest(spark: SparkSession, folder: str) -> dict:
     return json.loads(spark.read.text(path.toString(), wholetext=True).first()[0])
 
 
-def publish(tables: dict[str, tuple[DataFrame, list[str]]], folder: str, gates: list[tuple[str, DataFrame]] = ()) -> str:
-    """Write tables (with partition columns) as a new generation and point the manifest at it; its name.
+def _digest(df: DataFrame) -> list[int]:
+    """A digest of a table's rows, whatever their order."""
+    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
+    parts = [F.conv(F.substring(row, at, 15), 16, 10).cast("bigint") for at in (1, 16, 31)]
+    return [int(x or 0) for x in df.agg(F.count("*"), *map(F.bit_xor, parts), *[F.sum(p % 1_000_000_007) for p in parts]).first()]
 
-    The gates run first: a violation raises, and what the manifest names stays. Every table is read back and compared with what was to be
-    written before the manifest changes. The generation's name begins with a digest of the rows, whatever their order. Content that is published already
-    is not written again, and every other generation gets a folder of its own, so nothing that a manifest names is ever overwritten.
+
+def stage(tables: dict[str, tuple[DataFrame, list[str]]], folder: str, gates: list[tuple[str, DataFrame]] = ()) -> str:
+    """Write tables (with partition columns) as a new generation that no manifest names yet; its name.
+
+    The gates run first: a violation raises. Every table is read back and compared with what was to be written. The generation's name begins with
+    a digest of the rows, whatever their order. Content that is published already is not written again, and every other generation gets a folder of its own,
+    so nothing that a manifest names is ever overwritten. A receipt beside it keeps the digests.
     """
     spark = next(iter(tables.values()))[0].sparkSession
     for what, found in gates:
         must_be_empty(found, what)
-    sums = {}
-    for name, (df, _) in sorted(tables.items()):
-        row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
-        parts = [F.conv(F.substring(row, at, 15), 16, 10).cast("bigint") for at in (1, 16, 31)]
-        sums[name] = [int(x or 0) for x in df.agg(F.count("*"), *map(F.bit_xor, parts), *[F.sum(p % 1_000_000_007) for p in parts]).first()]
+    sums = {name: _digest(df) for name, (df, _) in sorted(tables.items())}
     digest = spark.range(1).select(F.sha2(F.lit(json.dumps(sums)), 256)).first()[0][:16]
     live = manifest(spark, folder).get("generation", "")
     if live.startswith(digest):
@@ -61,10 +69,120 @@ def publish(tables: dict[str, tuple[DataFrame, list[str]]], folder: str, gates:
         path = f"{folder}/generation={generation}/{name}"
         df.write.partitionBy(*by).parquet(path)
         must_be_empty(differences(df, spark.read.schema(df.schema).parquet(path)), f"{name} read back")
-    _put(spark, f"{folder}/manifest.json", json.dumps({"generation": generation, "tables": {k: v[0] for k, v in sums.items()}}))
+    _put(spark, f"{folder}/receipt-{generation}.json", json.dumps({"digests": sums, "schemas": {name: df.schema.json() for name, (df, _) in tables.items()}}))
     return generation
 
 
+def publish(tables: dict[str, tuple[DataFrame, list[str]]], folder: str, gates: list[tuple[str, DataFrame]] = (), owner: str = "publish") -> str:
+    """Stage tables as a new generation and promote it over the one that the manifest names now; its name. See ``stage`` and ``promote``."""
+    spark = next(iter(tables.values()))[0].sparkSession
+    base = manifest(spark, folder).get("generation", "")
+    generation = stage(tables, folder, gates)
+    promote(spark, folder, generation, base, owner)
+    return generation
+
+
+class ConflictError(RuntimeError):
+    """Another publisher holds the lock or has published, or what was staged has changed; what the manifest names stays."""
+
+
+def _create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file if there is none of that name, in one step of the file system; whether it was created.
+
+    Object stores and distributed file systems create exclusively themselves; the local one does through Java's own call.
+    """
+    jvm, target = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    try:
+        if fs.getScheme() == "file":
+            local = jvm.java.io.File(target.toUri().getPath()).toPath()
+            staged = jvm.java.nio.file.Files.write(jvm.java.io.File(f"{target.toUri().getPath()}.{uuid.uuid4().hex}").toPath(), bytearray(text.encode()), spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 0))
+            try:
+                jvm.java.nio.file.Files.createLink(local, staged)  # with its content, and only if the name is free
+            finally:
+                jvm.java.nio.file.Files.delete(staged)
+        else:
+            out = fs.create(target, False)
+            out.write(bytearray(text.encode()))
+            out.close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _terms(spark: SparkSession, folder: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return sorted(int(n.removeprefix(LOCK)) for n in names if n.startswith(LOCK) and n.removeprefix(LOCK).isdigit())
+
+
+#: Names of locks, before their number.
+LOCK = "release-lock-"
+
+
+@contextmanager
+def locked(spark: SparkSession, folder: str, owner: str, lease_s: float = 900.0) -> Iterator[Callable[[], None]]:
+    """The only release of a folder in progress, or ``ConflictError``. Yields a function that raises if the lock is no longer this one's.
+
+    Locks are numbered files, created only if their name is free. A lock says who holds it and until when; one that was given back or whose time is over is followed
+    by the next number, which again one publisher alone can create, so a lost driver blocks releases for its lease and no longer. Numbers only grow: whoever still
+    holds an old one sees a larger and stops. Earlier files are deleted, all but the last.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(folder))
+    terms = _terms(spark, folder)
+    if terms and not fs.exists(fs_path(f"{folder}/{LOCK}{terms[-1]}.released")):
+        said = spark.read.text(f"{folder}/{LOCK}{terms[-1]}", wholetext=True).first()
+        begun = fs.getFileStatus(fs_path(f"{folder}/{LOCK}{terms[-1]}")).getModificationTime() / 1000
+        held = json.loads(said[0]) if said and said[0] else {"owner": "another publisher", "until": begun + lease_s}  # it is just being written
+        if time.time() < held["until"]:
+            raise ConflictError(f"{held['owner']} is releasing")
+    mine, until = (terms[-1] if terms else 0) + 1, time.time() + lease_s
+    if not _create_new(spark, f"{folder}/{LOCK}{mine}", json.dumps({"owner": owner, "until": until})):
+        raise ConflictError("another release has just begun")
+
+    def check() -> None:
+        if time.time() >= until or _terms(spark, folder)[-1] != mine:
+            raise ConflictError(f"the lease of {owner} has ended")
+
+    try:
+        yield check
+    finally:
+        _create_new(spark, f"{folder}/{LOCK}{mine}.released", "")
+        for old in terms:
+            for name in (f"{LOCK}{old}", f"{LOCK}{old}.released"):
+                fs.delete(fs_path(f"{folder}/{name}"), False)
+
+
+def promote(spark: SparkSession, folder: str, generation: str, base: str, owner: str, lease_s: float = 900.0, approved: dict[str, list[int]] | None = None) -> None:
+    """Point the manifest at a staged generation, if it still names ``base`` (nothing: the empty text) and nobody else is at it.
+
+    Under the lock the staged tables are read and their digests compared with the receipt's, and with those that the owner ``approved`` if given; the manifest
+    is compared once more and replaced last, in one step. Anything amiss raises ``ConflictError`` before that. Promoting what is live already does nothing.
+    """
+    with locked(spark, folder, owner, lease_s) as check:
+        live = manifest(spark, folder).get("generation", "")
+        if live == generation:
+            return
+        if live != base:
+            raise ConflictError(f"{live or 'nothing'} is published, not {base or 'nothing'}")
+        receipt = json.loads(spark.read.text(f"{folder}/receipt-{generation}.json", wholetext=True).first()[0])
+        for name, want in receipt["digests"].items():
+            schema = T.StructType.fromJson(json.loads(receipt["schemas"][name]))
+            if _digest(spark.read.schema(schema).parquet(f"{folder}/generation={generation}/{name}")) != want:
+                raise ConflictError(f"{name} has changed since it was staged")
+            if approved is not None and approved.get(name) != want:
+                raise ConflictError(f"{name} is not what its owner approved")
+        check()
+        if manifest(spark, folder).get("generation", "") != base:
+            raise ConflictError("the manifest has changed meanwhile")
+        _put(spark, f"{folder}/manifest.json", json.dumps({"generation": generation, "owner": owner, "tables": {k: v[0] for k, v in receipt["digests"].items()}}))
+
+
 def current(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the generation that the manifest names."""
     return spark.read.parquet(f"{folder}/generation={manifest(spark, folder)['generation']}/{name}")

@@ -3,6 +3,8 @@
 import math
 import os
 import random
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,6 +194,51 @@ def test_publish_keeps_last_good(spark, tmp_path):
     assert publish.publish({"events": (rows, ["month"])}, folder) != first and publish.current(spark, folder, "events").count() == 2
 
 
+def test_promotion_is_one_publishers(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    tables = lambda k: {"events": (spark.createDataFrame([(n, "2024-01") for n in range(k)], "id bigint, month string"), ["month"])}
+    base = publish.publish(tables(1), folder)
+    staged = [publish.stage(tables(k), folder) for k in (2, 3, 4)]
+    assert publish.manifest(spark, folder)["generation"] == base  # staging publishes nothing
+    won, lost = [], []
+
+    def go(generation):
+        try:
+            publish.promote(spark, folder, generation, base, generation)
+            won.append(generation)
+        except publish.ConflictError:
+            lost.append(generation)
+
+    threads = [threading.Thread(target=go, args=(g,)) for g in staged]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(won) == 1 and len(lost) == 2 and publish.manifest(spark, folder)["generation"] == won[0]
+    assert all((tmp_path / f"generation={g}").is_dir() for g in [base, *staged])  # nothing is lost
+    live = won[0]
+    with pytest.raises(publish.ConflictError, match="published, not"):
+        publish.promote(spark, folder, lost[0], base, "late")
+    publish.promote(spark, folder, live, "whatever", "again")  # live already
+    with publish.locked(spark, folder, "first", 60) as check:
+        with pytest.raises(publish.ConflictError, match="first is releasing"):
+            publish.promote(spark, folder, lost[0], live, "second")
+        check()
+    with publish.locked(spark, folder, "dead", 0.01) as check:  # a driver that is lost holds its lease only
+        time.sleep(0.05)
+        publish.promote(spark, folder, lost[0], live, "next")
+        with pytest.raises(publish.ConflictError, match="lease"):
+            check()
+    assert publish.manifest(spark, folder) | {"tables": 0} == {"generation": lost[0], "owner": "next", "tables": 0}
+    file = next(p for p in (tmp_path / f"generation={lost[1]}").rglob("*.parquet"))
+    file.unlink()
+    with pytest.raises(publish.ConflictError, match="changed since"):
+        publish.promote(spark, folder, lost[1], lost[0], "damaged")
+    with pytest.raises(publish.ConflictError, match="approved"):
+        publish.promote(spark, folder, publish.stage(tables(7), folder), lost[0], "x", approved={"events": [0]})
+    assert publish.manifest(spark, folder)["generation"] == lost[0] and len([p for p in tmp_path.iterdir() if p.name.startswith("release-lock")]) <= 4
+
+
 def test_review_packs_and_tiles(spark):
     packs = publish.review_packs(spark.range(100), spark.range(10), "id", 20)
     assert [tuple(r) for r in packs.groupBy("batch").agg(F.count("*"), F.min("id")).orderBy("batch").collect()] == [(0, 20, 10), (1, 20, 30), (2, 20, 50), (3, 20, 70), (4, 10, 90)]
