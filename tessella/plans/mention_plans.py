@@ -1,7 +1,12 @@
-"""Mentions of places in sentences: clauses, roles and tests; the names are those of ``part``, the phrases around them are given with what they should give."""
+"""Mentions of places in the sentences of all documents, with phrases of police reports mixed in; DuckDB searches the same texts for the same cues.
+
+DuckDB's patterns know neither look-ahead nor letters beyond ASCII at a word's edge, so other letters are replaced in its texts and patterns alike, and what looks ahead is written in another way.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,97 +14,110 @@ from tessella.functions import mentions as m
 from tessella.functions.text import normalised
 from tessella.sources.tables import table
 
-#: Before and after the name, and the role that the name then has.
-SAID = [
-    ("tatort: berlin-mitte, ", ", danach wurde ein mann festgenommen", "primary"),
-    ("hinweise nimmt die wache in der ", " entgegen", "contact"),
-    ("der vorfall geschah nahe der ", " am abend", "proximity"),
-    ("sie wurden in das kommissariat ", " gebracht", "destination"),
-    ("zeugen brachten den verletzten mann zur ", ", wo sie den rettungsdienst riefen", "response"),
-    ("er ging in richtung ", " weiter", "direction"),
-    ("ein auto, aus der ", " kommend, prallte gegen einen baum", "travel_origin"),
-    ("für die unfallaufnahme war die ", " zwei stunden lang zu", "restriction"),
-    ("ein mann wurde geschlagen, als der täter über die ", " floh", "escape"),
-    ("beamte nahmen ihn in der ", " fest", "response"),
-    ("eine frau hörte an der ", " einen lauten knall", "witness"),
-    ("er war aus der ", " unterwegs", "travel_origin"),
-    ("trotz einer schussabgabe setzte er die fahrt in der ", " fort", "followup"),
-    ("daraufhin fuhr er zur ", " hin", "followup"),
-    ("der verkehr staute sich zwischen ", " und dem tor", "restriction_endpoint"),
-    ("ein fahrrad wurde in der ", " gestohlen und der täter floh", "primary"),
-]
-#: Before the name, and the tests it meets of: locative, locality, heading, station, venue, preparatory.
-STANDS = [
-    ("ein mann wartete in der ", "100000"),
-    ("er lief eilig über die ", "100000"),
-    ("unbekannte kamen nach ", "000000"),
-    ("das geschah im ortsteil ", "010000"),
-    ("sie wohnt in berlin-", "010000"),
-    ("unfallort: ", "101000"),
-    ("sie warteten am u-bahnhof ", "100100"),
-    ("gäste im restaurant „", "100010"),
-    ("zwei frauen befuhren die ", "100001"),
-    ("bei einem unfall befuhren sie die ", "100000"),
-]
-TESTS = ["locative", "locality", "heading", "station", "venue", "preparatory"]
-
-
-def _mentions(spark: SparkSession, sf_dir: str, phrases: list[tuple[str, str]]) -> DataFrame:
-    """Every part's name between one of the phrases, with its place."""
-    pick = lambda k: F.element_at(F.array(*[F.lit(p[k]) for p in phrases]), (F.col("p_partkey") % len(phrases) + 1).cast("int"))
-    named = table(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("name"), pick(0).alias("left"), pick(1).alias("right"))
-    return named.select("p_partkey", "name", F.concat("left", "name", "right").alias("sentence"), F.length("left").alias("start"), (F.length("left") + F.length("name")).alias("end"))
+#: What may stand before a name, and after one; each sentence gets one of either.
+LEFT = (
+    "tatort: berlin-mitte, ", "hinweise nimmt die wache in der ", "der vorfall geschah nahe der ", "sie wurden in das kommissariat ", "zeugen brachten den verletzten mann zur ", "er ging in richtung ", "ein auto, aus der ",
+    "für die unfallaufnahme war die ", "ein mann wurde geschlagen, als der täter über die ", "beamte nahmen ihn in der ", "eine frau hörte an der ", "er war aus der ", "trotz einer schussabgabe setzte er die fahrt in der ",
+    "daraufhin fuhr er zur ", "der verkehr staute sich zwischen ", "ein fahrrad wurde in der ", "er lief eilig über die ", "das geschah im ortsteil ", "sie wohnt in berlin-", "unfallort: ", "sie warteten am u-bahnhof ",
+    "gäste im restaurant „", "zwei frauen befuhren die ", "bei einem unfall befuhren sie die ", "wir umbefuhren ", "ein taxi fuhr gegen 12:30 uhr in den ", "ein taxi fuhr gegen den ", "ort: am bahnsteig des u-bahnhofs ",
+    "tatort: hamburg-altona, u-bahn-linie u3 (u3), haltestelle ", "unfallort: alte gasse / ", "im bereich zwischen der ", "zuerst kam ein bus, später dann ging es in der ", "",
+)
+RIGHT = (
+    "", ", danach wurde ein mann festgenommen", " entgegen", " gebracht", ", wo sie den rettungsdienst riefen", " kommend, prallte gegen einen baum", " zwei stunden lang zu", " und der täter floh", " fest", " einen lauten knall",
+    " unterwegs", " fort", ", wobei er stürzte", ", wobei er sang", "; jemand schlug zu", "allee und dem ring, hiess es", "strasse und dem alten weg kam es zum unfall", "weg und der brücke. dort", " gesperrt, der verkehr stand",
+)
+#: Titles and bodies of reports on operations.
+TITLES = ("", "verbundeinsatz: ", "bilanz der verkehrswoche: ", "bilanz: ", "ergebnisse der bundesweiten verkehrssicherheitsaktion ", "thementag drogen ")
+BODIES = (" es gab stationäre und mobile verkehrskontrollen", " bei kontrollen überprüften beamte viele fahrzeuge", " man leitete strafverfahren ein", " kontrollen ergaben ordnungswidrigkeiten", "")
+
+
+def _plain(text: str) -> str:
+    """ASCII letters for others, one for one: rare ones for those of German words and a low line for the rest, lest another word become a cue."""
+    return "".join(c if c.isascii() or not c.isalpha() else {"ä": "x", "ö": "j", "ü": "q", "ß": "z"}.get(c, "_") for c in text)
+
+
+ACCENTS = "äöüßàâæçéèêëîïôœùûÿñáíóú"
+_STRIPPED = f"translate({{0}}, '{ACCENTS}', '{_plain(ACCENTS)}')"
+
+
+def _picked(values: tuple[str, ...], by: str) -> F.Column:
+    return F.element_at(F.array(*map(F.lit, values)), F.expr(f"int(pmod({by}, {len(values)})) + 1"))
+
+
+def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, nr (number of the sentence), sentence, start and end: the last word of every sentence of a document, named again after its first word, between two phrases."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.lower(F.regexp_replace("text", r"[\r\n\t]+", " ")), r"[.!?] +")).alias("nr", "s"))
+    words = docs.select("doc_id", "nr", F.regexp_extract("s", "^([^ ]*)", 1).alias("first"), F.regexp_extract("s", "([^ ]*)$", 1).alias("name"), "s").filter("length(s) >= 3")
+    said = words.select("doc_id", "nr", "name", F.concat_ws(" ", "first", _picked(LEFT, "doc_id * 31 + nr * 17")).alias("lead"), _picked(RIGHT, "doc_id * 7 + nr * 5").alias("right"), F.substr("s", F.length("first") + 1).alias("rest"))
+    return said.select("doc_id", "nr", F.concat("lead", "name", "right", "rest").alias("sentence"), F.length("lead").alias("start"), (F.length("lead") + F.length("name")).alias("end"))
 
 
 def mention_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mentions(spark, sf_dir, SAID).select("p_partkey", m.role(F.col("sentence"), F.col("start"), F.col("end")).alias("role"))
+    return _mentions(spark, sf_dir).select("doc_id", "nr", m.role(F.col("sentence"), F.col("start"), F.col("end")).alias("role"))
 
 
 def mention_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clause of each mention, and whether it tells of an act."""
-    said = [(f"zuerst kam ein bus, {a}dann ging es in der ", f" weiter{b}") for a in ("", "später ") for b in ("", ", wobei er stürzte", ", wobei er sang", "; jemand schlug zu")]
-    found = _mentions(spark, sf_dir, said).select("p_partkey", m.clause(F.col("sentence"), F.col("start"), F.col("end")).alias("c"), m.scene(F.col("sentence"), F.col("start"), F.col("end")).alias("scene"))
-    return found.select("p_partkey", F.concat("c.before", "c.name", "c.after").alias("clause"), "scene")
+    """Length of each mention's clause, and where the mention is in it."""
+    found = _mentions(spark, sf_dir).select("doc_id", "nr", m.clause(F.col("sentence"), F.col("start"), F.col("end")).alias("c"))
+    return found.select("doc_id", "nr", F.length("c.before").alias("before"), F.length(F.concat("c.before", "c.name", "c.after")).alias("length"))
 
 
 def mention_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s, start = F.col("sentence"), F.col("start")
-    tests = [m.locative(s, start), m.locality(s, start), m.heading(s, start), m.station(s, start, F.col("name")), m.venue(s, start), m.preparatory(s)]
-    return _mentions(spark, sf_dir, [(p, "") for p, _ in STANDS]).select("p_partkey", *[t.alias(n) for t, n in zip(tests, TESTS, strict=True)])
-
-
-#: Title and body of a report, and whether it sums up an operation.
-REPORTS = [
-    ("verbundeinsatz in der stadt", "es gab stationäre und mobile verkehrskontrollen", True),
-    ("verbundeinsatz in der stadt", "es gab nur mobile verkehrskontrollen", False),
-    ("bilanz der verkehrswoche", "bei den kontrollen überprüften beamte viele fahrzeuge und leiteten strafverfahren ein", True),
-    ("bilanz der woche", "bei den kontrollen überprüften beamte viele fahrzeuge und leiteten strafverfahren ein", False),
-    ("ergebnisse der bundesweiten verkehrssicherheitsaktion", "eine kontrolle, viele ordnungswidrigkeiten", True),
-    ("raub in der nacht", "kontrollen blieben ohne straftaten", False),
-]
+    return _mentions(spark, sf_dir).select("doc_id", "nr", m.tests(F.col("sentence"), F.col("start"), F.col("end")).alias("t")).select("doc_id", "nr", "t.*")
 
 
 def aggregate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which reports sum up an operation: the text of each document after one of the phrases."""
-    pick = lambda k: F.element_at(F.array(*[F.lit(r[k]) for r in REPORTS]), (F.col("doc_id") % len(REPORTS) + 1).cast("int"))
-    return table(spark, sf_dir, "documents").select("doc_id", m.tells_totals(pick(0), F.concat_ws(". ", pick(1), normalised(F.col("text")))).alias("totals"))
+    """Which reports sum up an operation: every document after a title and between two phrases."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", _picked(TITLES, "doc_id").alias("title"), F.concat_ws("", _picked(BODIES, "doc_id div 6"), F.lit(". "), normalised(F.col("text")), F.lit("."), _picked(BODIES, "doc_id div 30")).alias("body"))
+    return docs.select("doc_id", m.tells_totals(F.col("title"), F.col("body")).alias("totals"))
 
 
 def section_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The roads between which something happened: one named by the part, the other the ring; a gate is no road."""
-    said = [("im bereich zwischen dem ", "weg und der ringstrasse kam es zum unfall"), ("im bereich zwischen der ", "allee und dem alten tor, hiess es"), ("er ging zwischen der ", "allee und dem ring")]
-    found = _mentions(spark, sf_dir, said).select("p_partkey", m.section_bounds(F.col("sentence")).alias("b"))
-    return found.select("p_partkey", F.array_join("b", " / ").alias("bounds"))
+    """The roads (letters beyond ASCII replaced) between which something happened, of the sentences that name such a section."""
+    bounds = F.translate(F.array_join(m.section_bounds(F.col("sentence")), " / "), ACCENTS, _plain(ACCENTS))
+    return _mentions(spark, sf_dir).select("doc_id", "nr", bounds.alias("bounds")).filter("bounds <> ''")
+
+
+def _list(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _pick_sql(values: tuple[str, ...], by: str) -> str:
+    return f"list_extract({_list(values)}, CAST(({by}) % {len(values)} AS INT) + 1)"
+
+
+def _like(text: str, pattern: str) -> str:
+    """Whether the other engine finds a pattern; what follows an action "an" may be part of the match, and times after "gegen" are taken out before."""
+    pattern = pattern.replace(r"(?=\s*[,.;]|$)", r"(?:\s*[,.;]|$)")
+    clock = r"(?!\s+\d{1,2}(?::\d{2})?\s*uhr)"
+    if clock in pattern:
+        text, pattern = f"regexp_replace({text}, '\\bgegen(\\s+\\d{{1,2}}(?::\\d{{2}})?\\s*uhr)', 'gegen_\\1', 'g')", pattern.replace(clock, "")
+    assert not re.search(r"\(\?[=!]", pattern), pattern
+    return f"regexp_matches({text}, '{_plain(pattern).replace(chr(39), chr(39) * 2)}')"
+
+
+_SAID = f"""WITH d AS (SELECT doc_id, string_split_regex(lower(regexp_replace(text, '[\\r\\n\\t]+', ' ', 'g')), '[.!?] +') AS ss FROM documents),
+e AS (SELECT doc_id, unnest(range(len(ss))) AS nr, unnest(ss) AS s FROM d),
+f AS (SELECT doc_id, nr, s, regexp_extract(s, '^([^ ]*)', 1) AS first, regexp_extract(s, '([^ ]*)$', 1) AS name FROM e WHERE length(s) >= 3),
+g AS (SELECT doc_id, CAST(nr AS INT) AS nr, name, first || ' ' || {_pick_sql(LEFT, 'doc_id * 31 + nr * 17')} AS lead, {_pick_sql(RIGHT, 'doc_id * 7 + nr * 5')} || substr(s, length(first) + 1) AS rest FROM f),
+h AS (SELECT doc_id, nr, {_STRIPPED.format('lead')} AS lead, {_STRIPPED.format('name')} AS name, {_STRIPPED.format('rest')} AS rest FROM g),
+b AS (SELECT *, regexp_replace(lead, '(?s)^.*(?:{_plain(m.BREAK)}|{_plain(m.LINKED)}({_plain(m.NEXT_ACTION)}))', '\\1') AS before, regexp_extract(rest, '(?s)^(.*?)(?:$|{_plain(m.BREAK)}|{_plain(m.LINKED)}(?:{_plain(m.NEXT_ACTION)}))', 1) AS near_after FROM h),
+c AS (SELECT *, CASE WHEN {_like('substr(rest, length(near_after) + 1)', r'^,\s*wobei\b')} AND {_like('substr(rest, length(near_after) + 1)', m.either(*m.ACTS))} THEN rest ELSE near_after END AS after FROM b)"""
+_PARTS = {"sentence": "lead || name || rest", "lead": "lead", "near": "right(before, 100)", "after": "after", "clause": "before || name || after"} | {f"last{n}": f"right(lead, {n})" for n in (180, 65, 45)}
+_CUES = f"""{_SAID}, q AS (SELECT doc_id, nr, {', '.join(f'{_like("(" + _PARTS[part] + ")", pattern)} AS "{name}"' for name, (part, pattern) in m.CUES.items())}, contains(name, 'bahnhof') AS "named" FROM c)"""
 
 
-def _chosen(values: list[str]) -> str:
-    return f"list_extract([{', '.join(repr(v) for v in values)}], CAST(p_partkey % {len(values)} + 1 AS INT))"
+def _condition(text: str) -> str:
+    return re.sub(r"\b([a-z_]+)\b", r'"\1"', text)
 
 
+_ROLE_SQL = " ".join(f"WHEN {_condition(c)} THEN '{name}'" for name, c in m.ROLES)
 QUERIES = {
-    "mention_roles": (mention_roles, f"SELECT p_partkey, {_chosen([r for _, _, r in SAID])} AS role FROM part"),
-    "mention_clauses": (mention_clauses, f"SELECT p_partkey, ' ging es in der ' || lower(p_name) || ' weiter' || {_chosen(['', ', wobei er stürzte', '', ''] * 2)} AS clause, p_partkey % 4 = 1 AS scene FROM part"),
-    "aggregate_reports": (aggregate_reports, f"SELECT doc_id, list_extract([{', '.join(str(t).lower() for _, _, t in REPORTS)}], CAST(doc_id % {len(REPORTS)} + 1 AS INT)) AS totals FROM documents"),
-    "section_bounds": (section_bounds, "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN lower(p_name) || 'weg / ringstrasse' ELSE '' END AS bounds FROM part"),
-    "mention_contexts": (mention_contexts, f"SELECT p_partkey, {', '.join(f"{_chosen([f[k] for _, f in STANDS])} = '1' AS {n}" for k, n in enumerate(TESTS))} FROM part"),
-}
+    "mention_roles": (mention_roles, f"{_CUES} SELECT doc_id, nr, CASE {_ROLE_SQL} ELSE 'primary' END AS role FROM q"),
+    "mention_clauses": (mention_clauses, f"{_SAID} SELECT doc_id, nr, CAST(length(before) AS INT) AS before, CAST(length(before || name || after) AS INT) AS length FROM c"),
+    "mention_contexts": (mention_contexts, f"{_CUES} SELECT doc_id, nr, {', '.join(f'{_condition(c)} AS {name}' for name, c in m.TESTS.items())} FROM q"),
+    "aggregate_reports": (aggregate_reports, f"""WITH r AS (SELECT doc_id, {_STRIPPED.format(_pick_sql(TITLES, 'doc_id'))} AS title, {_STRIPPED.format(f"{_pick_sql(BODIES, 'doc_id // 6')} || '. ' || coalesce(lower(text), '') || '.' || {_pick_sql(BODIES, 'doc_id // 30')}")} AS body FROM documents)
+SELECT doc_id, ({_like('title', m.JOINT)} AND {_like('body', m.STATIONED)}) OR ({_like('body', m.CONTROLS)} AND {_like('body', m.OFFENCES)} AND ({_like('title', m.REVIEW)} AND {_like('title', m.THEMES)} AND {_like('body', m.COUNTED)} OR {_like('title', m.CAMPAIGN)})) AS totals FROM r"""),
+    "section_bounds": (section_bounds, f"""{_SAID}, t AS (SELECT doc_id, nr, regexp_extract(lead || name || rest, '{_plain(m.BETWEEN)}(?:{_plain(m.FOLLOWED)})', ['a', 'b']) AS n FROM h)
+SELECT doc_id, nr, trim(n.a) || ' / ' || trim(n.b) AS bounds FROM t WHERE {_like('trim(n.a)', f'{m.either(*m.ROADS)}$')} AND {_like('trim(n.b)', f'{m.either(*m.ROADS)}$')}"""),
+}
