@@ -24,6 +24,7 @@ PLACE_KINDS = [
     ("hotel", [{"tourism": ["hotel"]}]),
     ("park", [{"leisure": ["park"]}]),
 ]
+#: Tag values of shops that are none.
 NO_SHOP = ["no", "vacant", "closed", "abandoned", "demolished"]
 
 

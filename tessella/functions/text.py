@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import html
-import re
 import unicodedata
-from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -13,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.session import ship
 
 BLANKS = "[ \t\n\x0b\f\r]+"
 
@@ -69,9 +66,9 @@ def _single_forms() -> tuple[str, str]:
 
 
 FORMS = _single_forms()
-#: Umlauts written as letter and mark, ligatures, and the sharp s.
+#: Umlauts written as letter and mark, ligatures, and the sharp s.
 SPELLINGS = {"a\u0308": "ä", "o\u0308": "ö", "u\u0308": "ü", "ﬁ": "fi", "ﬂ": "fl", "ß": "ss"}
-#: What makes German place names alike, tried in turn on text in lower case: pattern and what stands for it.
+#: What makes German place names alike, tried in turn on text in lower case: pattern and what stands for it.
 ALIKE = {
     r"\bs-(?:\s+und|\s*/)?\s*u-(bahnhof)s?\b": "s+u-$1",  # a station of both kinds, in all its spellings
     r"(?<=\bbahnhof)s\b": "",  # genitives
@@ -172,39 +169,6 @@ def name_aliases(name: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.concat(forms, F.transform(forms, lambda f: F.concat(f, takes(f)))))))
 
 
-def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, most: int = 200_000) -> DataFrame:
-    """(id, name, start, end) of the dictionary's names in normalised texts: the longest at each place, whole words only.
-
-    ``names`` has one column. The dictionary goes to every task, so more than ``most`` distinct names are refused. Names are grouped by first word, so a
-    text is read once whatever the size of the dictionary.
-    """
-    ship(docs.sparkSession)
-    known = names.select(F.regexp_extract_all(normalised(F.col(names.columns[0])), F.lit(r"(?U)(\w+)"), F.lit(1)).alias("n")).filter("size(n) > 0").distinct().limit(most + 1).collect()
-    if len(known) > most:
-        raise ValueError(f"a dictionary of more than {most} names")
-    heads: dict[str, list[tuple[str, ...]]] = {}
-    for row in known:
-        heads.setdefault(row["n"][0], []).append(tuple(row["n"]))
-    for group in heads.values():
-        group.sort(key=len, reverse=True)
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, text in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
-                found = [(m[0], m.start(), m.end()) for m in re.finditer(r"\w+", text)]
-                words, k = [w for w, _, _ in found], 0
-                while k < len(words):
-                    hit = next((n for n in heads.get(words[k], ()) if tuple(words[k : k + len(n)]) == n), None)
-                    if hit:
-                        rows.append((key, " ".join(hit), found[k][1], found[k + len(hit) - 1][2]))
-                    k += len(hit) if hit else 1
-            yield pd.DataFrame(rows, columns=["id", "name", "start", "end"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_text")).mapInPandas(match, f"id {kind}, name string, start bigint, end bigint")
-
-
 def fingerprint(*columns: Column | str) -> Column:
     """SHA-256 over columns as JSON in the order given, nulls included; it binds rows of this engine alone."""
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)

@@ -1,7 +1,8 @@
-"""Names that are nearly alike."""
+"""Names in texts, and names that are nearly alike."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -9,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.text import normalised
+from tessella.session import ship
+
 
 def _pieces(length: Column, at: Column, number: Column) -> tuple[Column, Column]:
     """Start (from 1) and length of piece ``at`` (from 0) of ``number`` nearly equal pieces of a text."""
@@ -60,3 +64,34 @@ def close_matches(tokens: DataFrame, names: DataFrame, token: str, name: str, n:
     found = likely.mapInPandas(measured, "_t string, _w string, ratio double").filter(F.col("ratio") >= cutoff)
     ranked = found.withColumn("rank", F.expr("row_number() OVER (PARTITION BY _t ORDER BY ratio DESC, _w DESC)")).filter(F.col("rank") <= n)
     return ranked.select(F.col("_t").alias(token), F.col("_w").alias(name), "ratio", "rank")
+
+
+def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
+    """(id, name, start, end) of the dictionary's names in normalised texts: from left to right the longest at each place, whole words only, none inside another.
+
+    ``names`` has one column; names are compared word by word, in normal form, and come back as their words with blanks between. The dictionary may be of any size: first words are
+    joined with the texts' words, and then what follows them with the names, so it is dealt out like the texts; Spark broadcasts it only where it is small. Repeated rows are
+    matched each for itself; null and empty texts and names match nothing.
+    """
+    ship(docs.sparkSession)
+    known = names.select(F.regexp_extract_all(normalised(F.col(names.columns[0])), F.lit(r"(?U)(\w+)"), F.lit(1)).alias("n")).filter("size(n) > 0").select(F.size("n").alias("words"), F.element_at("n", 1).alias("head"), F.array_join("n", " ").alias("name")).distinct()
+    most = known.agg(F.max("words")).first()[0] or 1
+    heads = known.groupBy("head").agg(F.collect_set("words").alias("sizes"))
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row for each word, with the words after it that a name might still have, and where each of them ends."""
+        for batch in batches:
+            for row, key, text in zip(batch["_row"], batch["_id"], batch["_text"], strict=True):
+                found = [(m[0], m.start(), m.end()) for m in re.finditer(r"\w+", text)]
+                words, ends = [w for w, _, _ in found], [e for _, _, e in found]
+                if found:
+                    yield pd.DataFrame({"_row": row, "_id": [key] * len(found), "k": range(len(found)), "head": words, "start": [s for _, s, _ in found], "tail": [" ".join(words[k : k + most]) for k in range(len(words))], "ends": [ends[k : k + most] for k in range(len(words))]})
+
+    texts = docs.select(F.col(id_col).cast("string").alias("_id"), F.monotonically_increasing_id().alias("_row"), normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
+    words = texts.mapInPandas(split, "_row bigint, _id string, k int, head string, start int, tail string, ends array<int>")
+    begun = words.join(heads, "head").select("_row", "_id", "k", "start", "tail", "ends", F.explode("sizes").alias("words")).filter("words <= size(ends)")
+    hits = begun.select("_row", "_id", "k", "start", "words", F.expr("substring_index(tail, ' ', words)").alias("name"), F.element_at("ends", F.col("words")).alias("end")).join(known.select("name", "words"), ["name", "words"])
+    ordered = F.array_sort(F.collect_list(F.struct("k", (-F.col("words")).alias("less"), "name", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))))
+    kept = F.expr("aggregate(hits, named_struct('next', 0, 'kept', filter(hits, h -> false)), (s, h) -> if(h.k < s.next, s, named_struct('next', h.k - h.less, 'kept', array_append(s.kept, h)))).kept")
+    found = hits.groupBy("_row", "_id").agg(ordered.alias("hits")).select("_id", F.explode(kept).alias("h"))
+    return found.select(F.col("_id").cast(docs.schema[id_col].dataType).alias("id"), "h.name", "h.start", "h.end")

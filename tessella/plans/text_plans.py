@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import text as tx
+from tessella.operators import names
 from tessella.operators.graph import grouped
 from tessella.plans.state_plans import BODY
 from tessella.session import ship
@@ -121,11 +122,30 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions of the benchmark's words, by threes, in all documents."""
+    """Mentions of the benchmark's words, by threes (the last of an item by what is left), in all documents."""
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
-    threes = table(spark, sf_dir, "benchmark").select(words.alias("w")).filter("size(w) >= 3")
-    names = threes.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 2, F.lit(3)), lambda k: F.array_join(F.slice("w", k, 3), " "))))
-    return tx.dictionary_matches(table(spark, sf_dir, "documents"), "doc_id", "text", names)
+    threes = table(spark, sf_dir, "benchmark").select(words.alias("w")).filter("size(w) > 0")
+    named = threes.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(3)), lambda k: F.array_join(F.slice("w", k, 3), " "))))
+    docs = table(spark, sf_dir, "documents").select("doc_id", LETTERS(F.col("text")).alias("text"))
+    return names.dictionary_matches(docs, "doc_id", "text", named).withColumnRenamed("id", "doc_id")
+
+
+def LETTERS(text: F.Column) -> F.Column:  # noqa: N802
+    """What is neither a letter nor a digit made a blank, so that another engine sees the same words at the same places."""
+    return F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))
+
+
+_WORDS = r"""WITH RECURSIVE i AS (SELECT regexp_extract_all(lower(text), '\S+') AS w FROM benchmark),
+n0 AS (SELECT regexp_extract_all(replace(array_to_string(w[k : k + 2], ' '), 'ß', 'ss'), '[\p{L}\p{N}_]+') AS n FROM (SELECT w, unnest(range(1, len(w) + 1, 3)) AS k FROM i)),
+n AS (SELECT DISTINCT len(n) AS words, array_to_string(n, ' ') AS name FROM n0 WHERE len(n) > 0),
+d AS (SELECT doc_id, string_split(replace(lower(trim(regexp_replace(text, '[^\p{L}\p{N}]+', ' ', 'g'))), 'ß', 'ss'), ' ') AS w FROM documents WHERE text IS NOT NULL),
+h AS (SELECT doc_id, k, words, name FROM (SELECT doc_id, k, words AS m, array_to_string(w[k : k + words - 1], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d), (SELECT DISTINCT words FROM n) WHERE k + words - 1 <= len(w)) JOIN n ON g = name AND m = words),
+b AS (SELECT doc_id, k, max(words) AS words, max_by(name, words) AS name FROM h GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r FROM b),
+x AS (SELECT a.doc_id, a.r, a.k, a.words, a.name, min(c.r) AS nxt FROM o a LEFT JOIN o c ON c.doc_id = a.doc_id AND c.k >= a.k + a.words AND c.k < a.k + a.words + 400 GROUP BY ALL),
+y AS (SELECT x.doc_id, x.r, x.k, x.words, x.name, coalesce(nxt, (SELECT min(r) FROM o WHERE o.doc_id = x.doc_id AND o.k >= x.k + x.words)) AS nxt FROM x),
+z AS (SELECT doc_id, r, k, words, name, nxt FROM y WHERE r = 1 UNION ALL SELECT y.doc_id, y.r, y.k, y.words, y.name, y.nxt FROM z JOIN y ON y.doc_id = z.doc_id AND y.r = z.nxt)
+SELECT z.doc_id, name, CAST(length(array_to_string(w[1 : k - 1], ' ')) + CASE WHEN k > 1 THEN 1 ELSE 0 END AS BIGINT) AS start, CAST(length(array_to_string(w[1 : k + words - 1], ' ')) AS BIGINT) AS end FROM z JOIN d USING (doc_id)"""
 
 
 def header_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +188,7 @@ SELECT DISTINCT doc_id, item_id, word FROM d JOIN t ON contains(body, quote)""")
     "name_variants": (name_variants, """WITH n AS (SELECT p_partkey, list_extract(['alte', 'kleiner', 'deutsche', 'hohe'], CAST(p_partkey % 4 + 1 AS INT)) AS a, list_extract(['alten', 'kleinen', 'deutschen', 'hohe'], CAST(p_partkey % 4 + 1 AS INT)) AS b, lower(p_name) || list_extract([' platz', ' weg', ' tor'], CAST((p_partkey // 4) % 3 + 1 AS INT)) AS r, list_extract(['es', 's', ''], CAST((p_partkey // 4) % 3 + 1 AS INT)) AS e FROM part),
 f AS (SELECT DISTINCT p_partkey, unnest([a || ' ' || r, b || ' ' || r, a || ' ' || r || e, b || ' ' || r || e]) AS f FROM n) SELECT p_partkey, string_agg(f, ',' ORDER BY f) AS aliases FROM f GROUP BY 1"""),
     "sentence_split": (sentence_split, None),
-    "dictionary_match": (dictionary_match, None),
+    "dictionary_match": (dictionary_match, _WORDS),
     "header_times": (header_times, "SELECT event_id, strftime(ts, '%d.%m.%Y, %H:%M') AS time, CAST(ts AS DATE) AS day, DATE '2026-03-03' AS written FROM events"),
     "occurrence_groups": (occurrence_groups, OCCURRENCE_SQL),
 }

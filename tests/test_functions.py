@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tessella import session
 from tessella.functions import geo, grid, rules, text
-from tessella.operators import changes, gates, graph, places, statistics
+from tessella.operators import changes, gates, graph, names, places, statistics
 from tessella.sources import publish
 from tessella.sources.tables import decisions
 from tessella.streaming.revisions import drained, revisions, source
@@ -78,14 +78,31 @@ def test_dates_quotes_normal_forms(spark):
     assert {r.t: r.s for r in rows.select("t", text.sentences(F.col("t")).alias("s")).collect()} == texts
 
 
+def longest_from_left(text, names):
+    """Names as lists of words in a text of words and blanks, by plain search."""
+    words, out, k = text.split(), [], 0
+    while k < len(words):
+        hit = max((n for n in names if words[k : k + len(n)] == n), key=len, default=None)
+        if hit:
+            start = len(" ".join(words[:k])) + (k > 0)
+            out.append((" ".join(hit), start, start + len(" ".join(hit))))
+        k += len(hit) if hit else 1
+    return out
+
+
 def test_dictionary_by_brute_force(spark, sf):
     docs = [(k, t) for k, t in enumerate(["Der Alte Platz am Ring, alte platz!", "alte", None, "", "ring ring-weg alter Platz", "Alte Platz Nord und Alte Platz"])]
-    names = ["Alte Platz", "Ring", "alte Platz Nord", "Ring Weg"]
-    found = text.dictionary_matches(spark.createDataFrame(docs, "id int, t string"), "id", "t", spark.createDataFrame([(n,) for n in names], "n string"))
+    known = ["Alte Platz", "Ring", "alte Platz Nord", "Ring Weg", None, "", "ring"]
+    df, words = spark.createDataFrame(docs, "id int, t string"), spark.createDataFrame([(n,) for n in known], "n string")
     want = {(0, "alte platz", 4, 14), (0, "ring", 18, 22), (0, "alte platz", 24, 34), (4, "ring", 0, 4), (4, "ring weg", 5, 13), (5, "alte platz nord", 0, 15), (5, "alte platz", 20, 30)}
-    assert {tuple(r) for r in found.collect()} == want
-    with pytest.raises(ValueError):
-        text.dictionary_matches(spark.createDataFrame(docs, "id int, t string"), "id", "t", spark.createDataFrame([(n,) for n in names], "n string"), 3)
+    assert {tuple(r) for r in names.dictionary_matches(df, "id", "t", words).collect()} == want
+    assert names.dictionary_matches(df.union(df), "id", "t", words).count() == 2 * len(want)  # repeated rows each for themselves
+    assert names.dictionary_matches(df, "id", "t", words.limit(0)).count() == 0 == names.dictionary_matches(df.limit(0), "id", "t", words).count()
+    rng = random.Random(9)
+    texts = [(k, " ".join(rng.choice("ab") for _ in range(rng.randrange(60)))) for k in range(40)]
+    some = [[rng.choice("ab") for _ in range(rng.randrange(1, 6))] for _ in range(9)]
+    found = names.dictionary_matches(spark.createDataFrame(texts, "id int, t string"), "id", "t", spark.createDataFrame([(" ".join(n),) for n in some], "n string")).collect()
+    assert sorted(map(tuple, found)) == sorted((k, *h) for k, t in texts for h in longest_from_left(t, some))
 
 
 def test_place_kinds(spark):
