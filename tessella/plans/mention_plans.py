@@ -96,26 +96,30 @@ def _like(text: str, pattern: str) -> str:
     return f"regexp_matches({text}, '{_plain(pattern).replace(chr(39), chr(39) * 2)}')"
 
 
+#: From a table h (lead, name, rest, with letters replaced) its clauses, and all cues.
+CLAUSES_SQL = f"""b AS (SELECT *, regexp_replace(lead, '(?s)^.*(?:{_plain(m.BREAK)}|{_plain(m.LINKED)}({_plain(m.NEXT_ACTION)}))', '\\1') AS before, regexp_extract(rest, '(?s)^(.*?)(?:$|{_plain(m.BREAK)}|{_plain(m.LINKED)}(?:{_plain(m.NEXT_ACTION)}))', 1) AS near_after FROM h),
+c AS (SELECT *, CASE WHEN {_like('substr(rest, length(near_after) + 1)', r'^,\s*wobei\b')} AND {_like('substr(rest, length(near_after) + 1)', m.either(*m.ACTS))} THEN rest ELSE near_after END AS after FROM b)"""
 _SAID = f"""WITH d AS (SELECT doc_id, string_split_regex(lower(regexp_replace(text, '[\\r\\n\\t]+', ' ', 'g')), '[.!?] +') AS ss FROM documents),
 e AS (SELECT doc_id, unnest(range(len(ss))) AS nr, unnest(ss) AS s FROM d),
 f AS (SELECT doc_id, nr, s, regexp_extract(s, '^([^ ]*)', 1) AS first, regexp_extract(s, '([^ ]*)$', 1) AS name FROM e WHERE length(s) >= 3),
 g AS (SELECT doc_id, CAST(nr AS INT) AS nr, name, first || ' ' || {_pick_sql(LEFT, 'doc_id * 31 + nr * 17')} AS lead, {_pick_sql(RIGHT, 'doc_id * 7 + nr * 5')} || substr(s, length(first) + 1) AS rest FROM f),
 h AS (SELECT doc_id, nr, {_STRIPPED.format('lead')} AS lead, {_STRIPPED.format('name')} AS name, {_STRIPPED.format('rest')} AS rest FROM g),
-b AS (SELECT *, regexp_replace(lead, '(?s)^.*(?:{_plain(m.BREAK)}|{_plain(m.LINKED)}({_plain(m.NEXT_ACTION)}))', '\\1') AS before, regexp_extract(rest, '(?s)^(.*?)(?:$|{_plain(m.BREAK)}|{_plain(m.LINKED)}(?:{_plain(m.NEXT_ACTION)}))', 1) AS near_after FROM h),
-c AS (SELECT *, CASE WHEN {_like('substr(rest, length(near_after) + 1)', r'^,\s*wobei\b')} AND {_like('substr(rest, length(near_after) + 1)', m.either(*m.ACTS))} THEN rest ELSE near_after END AS after FROM b)"""
+{CLAUSES_SQL}"""
 _PARTS = {"sentence": "lead || name || rest", "lead": "lead", "near": "right(before, 100)", "after": "after", "clause": "before || name || after"} | {f"last{n}": f"right(lead, {n})" for n in (180, 65, 45)}
-_CUES = f"""{_SAID}, q AS (SELECT doc_id, nr, {', '.join(f'{_like("(" + _PARTS[part] + ")", pattern)} AS "{name}"' for name, (part, pattern) in m.CUES.items())}, contains(name, 'bahnhof') AS "named" FROM c)"""
+CUES_SQL = f"""q AS (SELECT *, {', '.join(f'{_like("(" + _PARTS[part] + ")", pattern)} AS "{name}"' for name, (part, pattern) in m.CUES.items())}, contains(name, 'bahnhof') AS "named" FROM c)"""
+_CUES = f"{_SAID}, {CUES_SQL}"
 
 
-def _condition(text: str) -> str:
+def condition_sql(text: str) -> str:
     return re.sub(r"\b([a-z_]+)\b", r'"\1"', text)
 
 
-_ROLE_SQL = " ".join(f"WHEN {_condition(c)} THEN '{name}'" for name, c in m.ROLES)
+#: The role and the tests of a row of q.
+ROLE_SQL = "CASE " + " ".join(f"WHEN {condition_sql(c)} THEN '{name}'" for name, c in m.ROLES) + " ELSE 'primary' END"
 QUERIES = {
-    "mention_roles": (mention_roles, f"{_CUES} SELECT doc_id, nr, CASE {_ROLE_SQL} ELSE 'primary' END AS role FROM q"),
+    "mention_roles": (mention_roles, f"{_CUES} SELECT doc_id, nr, {ROLE_SQL} AS role FROM q"),
     "mention_clauses": (mention_clauses, f"{_SAID} SELECT doc_id, nr, CAST(length(before) AS INT) AS before, CAST(length(before || name || after) AS INT) AS length FROM c"),
-    "mention_contexts": (mention_contexts, f"{_CUES} SELECT doc_id, nr, {', '.join(f'{_condition(c)} AS {name}' for name, c in m.TESTS.items())} FROM q"),
+    "mention_contexts": (mention_contexts, f"{_CUES} SELECT doc_id, nr, {', '.join(f'{condition_sql(c)} AS {name}' for name, c in m.TESTS.items())} FROM q"),
     "aggregate_reports": (aggregate_reports, f"""WITH r AS (SELECT doc_id, {_STRIPPED.format(_pick_sql(TITLES, 'doc_id'))} AS title, {_STRIPPED.format(f"{_pick_sql(BODIES, 'doc_id // 6')} || '. ' || coalesce(lower(text), '') || '.' || {_pick_sql(BODIES, 'doc_id // 30')}")} AS body FROM documents)
 SELECT doc_id, ({_like('title', m.JOINT)} AND {_like('body', m.STATIONED)}) OR ({_like('body', m.CONTROLS)} AND {_like('body', m.OFFENCES)} AND ({_like('title', m.REVIEW)} AND {_like('title', m.THEMES)} AND {_like('body', m.COUNTED)} OR {_like('title', m.CAMPAIGN)})) AS totals FROM r"""),
     "section_bounds": (section_bounds, f"""{_SAID}, t AS (SELECT doc_id, nr, regexp_extract(lead || name || rest, '{_plain(m.BETWEEN)}(?:{_plain(m.FOLLOWED)})', ['a', 'b']) AS n FROM h)
