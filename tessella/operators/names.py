@@ -29,39 +29,40 @@ def close_matches(tokens: DataFrame, names: DataFrame, token: str, name: str, n:
     """(token, name, ratio, rank): the ``n`` names most like each token, of those whose ratio of matching blocks is ``cutoff`` or more; of equal ratios the later name.
 
     The ratio is twice the characters in matching blocks (the longest one, then the longest on either side of it, and so on) over all characters. Matching blocks are a common
-    subsequence, so texts of a ratio are few insertions and deletions apart; of one more pieces of the name than that, one at least stands unbroken in the token, shifted by as many places at most. Tokens
-    and names therefore meet by equal pieces, number of the piece and lengths; characters that both have bound the ratio next, and only what is left is matched block by block. No pair is lost and no product is made.
+    subsequence, so texts of a ratio are few insertions and deletions apart; of two more pieces of the name than that, two at least stand unbroken in the token, shifted by as many places at most. Tokens
+    and names therefore meet by equal pieces, number of the piece and lengths, and pairs with two such pieces are kept; characters that both have bound the ratio next, and only what is left is matched block by block. No pair is lost and no product is made.
 
-    Null and repeated texts count once; empty ones match nothing. A ratio of one half or less would need as many pieces as characters and is refused.
+    Null and repeated texts count once; empty ones match nothing. A ratio of two thirds or less would need more pieces than characters and is refused.
     """
-    if not 0.5 < cutoff <= 1:
-        raise ValueError("cutoff must be above one half")
+    if not 2 / 3 < cutoff <= 1:
+        raise ValueError("cutoff must be above two thirds")
+    ship(tokens.sparkSession)
     t = tokens.select(F.col(token).alias("_t")).filter("_t <> ''").distinct().withColumn("_tl", F.length("_t"))
     w = names.select(F.col(name).alias("_w")).filter("_w <> ''").distinct().withColumn("_wl", F.length("_w"))
     # A name is filed for every length that a partner may have.
     ratio = cutoff / (2 - cutoff)
     span = lambda c: F.sequence(F.ceil(F.col(c) * ratio - 1e-9), F.floor(F.col(c) / ratio + 1e-9))
     filed = w.withColumn("_tl", F.explode(span("_wl"))).withColumn("_e", _edits(F.col("_tl"), F.col("_wl"), cutoff))
-    filed = filed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_e"))))
-    start, length = _pieces(F.col("_wl"), F.col("_k"), F.col("_e") + 1)
-    filed = filed.withColumn("_p", F.col("_w").substr(start.cast("int"), length.cast("int"))).select("_w", F.col("_wl").cast("bigint"), "_tl", "_k", "_p")
+    filed = filed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_e") + 1)))
+    start, length = _pieces(F.col("_wl"), F.col("_k"), F.col("_e") + 2)
+    filed = filed.withColumn("_p", F.col("_w").substr(start.cast("int"), length.cast("int"))).filter("_p <> ''").select("_w", F.col("_wl").cast("bigint"), "_tl", "_k", "_p", F.least(F.col("_wl") - F.col("_e"), F.lit(2)).alias("_least"))
     asked = t.withColumn("_tl", F.col("_tl").cast("bigint")).withColumn("_wl", F.explode(span("_tl"))).withColumn("_e", _edits(F.col("_tl"), F.col("_wl"), cutoff))
-    asked = asked.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_e"))))
-    start, length = _pieces(F.col("_wl"), F.col("_k"), F.col("_e") + 1)
-    asked = asked.withColumns({"_s": start, "_n": length}).filter("_n <= _tl").withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(1).cast("bigint"), F.col("_s") - F.col("_e")), F.greatest(F.lit(1).cast("bigint"), F.least(F.col("_tl") - F.col("_n") + 1, F.col("_s") + F.col("_e"))))))
+    asked = asked.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_e") + 1)))
+    start, length = _pieces(F.col("_wl"), F.col("_k"), F.col("_e") + 2)
+    asked = asked.withColumns({"_s": start, "_n": length}).filter("_n BETWEEN 1 AND _tl").withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(1).cast("bigint"), F.col("_s") - F.col("_e")), F.greatest(F.lit(1).cast("bigint"), F.least(F.col("_tl") - F.col("_n") + 1, F.col("_s") + F.col("_e"))))))
     asked = asked.select("_t", "_tl", "_wl", "_k", F.col("_t").substr(F.col("_at").cast("int"), F.col("_n").cast("int")).alias("_p")).distinct()
-    pairs = asked.join(filed, ["_tl", "_wl", "_k", "_p"]).select("_t", "_w").distinct()
-
-    letters = lambda c: F.split(F.col(c), "")
-    many = lambda c, x: F.size(F.filter(letters(c), lambda y: y == x))
-    shared = F.aggregate(F.array_distinct(letters("_t")), F.lit(0), lambda s, x: s + F.least(many("_t", x), many("_w", x)))
-    likely = pairs.filter(2 * shared >= cutoff * (F.length("_t") + F.length("_w")) - 1e-9)
+    # A name with fewer characters than pieces has an empty one, which nothing can break.
+    pairs = asked.join(filed, ["_tl", "_wl", "_k", "_p"]).groupBy("_t", "_w").agg(F.countDistinct("_k").alias("_met"), F.first("_least").alias("_least")).filter("_met >= _least").select("_t", "_w")
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            yield rows.assign(ratio=[SequenceMatcher(None, w, t).ratio() for t, w in zip(rows["_t"], rows["_w"], strict=True)])
+            ratios = []
+            for t, w in zip(rows["_t"], rows["_w"], strict=True):
+                match = SequenceMatcher(None, w, t)
+                ratios.append(match.ratio() if match.quick_ratio() >= cutoff else 0.0)
+            yield rows.assign(ratio=ratios)
 
-    found = likely.mapInPandas(measured, "_t string, _w string, ratio double").filter(F.col("ratio") >= cutoff)
+    found = pairs.mapInPandas(measured, "_t string, _w string, ratio double").filter(F.col("ratio") >= cutoff)
     ranked = found.withColumn("rank", F.expr("row_number() OVER (PARTITION BY _t ORDER BY ratio DESC, _w DESC)")).filter(F.col("rank") <= n)
     return ranked.select(F.col("_t").alias(token), F.col("_w").alias(name), "ratio", "rank")
 
@@ -80,12 +81,17 @@ def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: DataF
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A row for each word, with the words after it that a name might still have, and where each of them ends."""
+        columns = ("_row", "_id", "k", "head", "start", "tail", "ends")
         for batch in batches:
+            rows: list[tuple] = []
             for row, key, text in zip(batch["_row"], batch["_id"], batch["_text"], strict=True):
                 found = [(m[0], m.start(), m.end()) for m in re.finditer(r"\w+", text)]
                 words, ends = [w for w, _, _ in found], [e for _, _, e in found]
-                if found:
-                    yield pd.DataFrame({"_row": row, "_id": [key] * len(found), "k": range(len(found)), "head": words, "start": [s for _, s, _ in found], "tail": [" ".join(words[k : k + most]) for k in range(len(words))], "ends": [ends[k : k + most] for k in range(len(words))]})
+                rows += [(row, key, k, words[k], start, " ".join(words[k : k + most]), ends[k : k + most]) for k, (_, start, _) in enumerate(found)]
+                if len(rows) > 50_000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
     texts = docs.select(F.col(id_col).cast("string").alias("_id"), F.monotonically_increasing_id().alias("_row"), normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
     words = texts.mapInPandas(split, "_row bigint, _id string, k int, head string, start int, tail string, ends array<int>")

@@ -44,7 +44,7 @@ def located_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     addresses = placed(members, "c_custkey").groupBy(F.concat(F.lit("ringweg "), F.expr("c_custkey div 2")).alias("name"), (F.col("c_custkey") % 9).alias("number")).agg(F.min(F.struct("x", "y")).alias("q")).select("name", "number", "q.x", "q.y")
     gazetteer = roads.select("name", F.lit("street").alias("kind")).union(places.select("name", F.lit("place").alias("kind")))
     found = locate.located(reports, gazetteer, roads, junctions, places, addresses)
-    return found.select("id", "method", "label", *[F.round(c, 2).alias(c) for c in "xy"])
+    return found.select("id", "method", "label", *[F.round(c, 3).alias(c) for c in "xy"])
 
 
 _TESTS = m.TESTS["locative"]
@@ -78,6 +78,6 @@ o1 AS (SELECT id, CASE WHEN place = 'place' THEN 'named_place_representative' WH
 pt AS (SELECT name, x, y FROM rd WHERE x IS NOT NULL UNION ALL SELECT name, x, y FROM pl WHERE x IS NOT NULL),
 cf AS (SELECT ot.id, NOT bool_and(coalesce((o1.x - pt.x) ** 2 + (o1.y - pt.y) ** 2 <= 62500, false)) AS conflict FROM ot JOIN o1 ON ot.id = o1.id LEFT JOIN pt ON pt.name = ot.name GROUP BY ot.id),
 fi AS (SELECT bo.id, CASE WHEN {mp._like('title', m.REVIEW)} AND {mp._like('title', m.THEMES)} AND {mp._like(_REPLACED.format('body'), m.COUNTED)} AND {mp._like('body', m.CONTROLS)} AND {mp._like('body', m.OFFENCES)} THEN 'multi_event_summary' WHEN len(regexp_extract_all(body, '\\b(tatort|unfallort|ort):')) > 1 THEN 'multiple_official_scenes' WHEN NOT EXISTS (SELECT 1 FROM mg WHERE mg.id = bo.id) THEN 'unmatched' WHEN o1.id IS NULL THEN 'no_scene_mention' WHEN conflict THEN 'conflicting_explicit_scenes' END AS early, o1.method, label, x, y FROM bo LEFT JOIN o1 ON o1.id = bo.id LEFT JOIN cf ON cf.id = bo.id)
-SELECT id, coalesce(early, method) AS method, CASE WHEN early IS NULL THEN label END AS label, round(CASE WHEN early IS NULL THEN x END, 2) AS x, round(CASE WHEN early IS NULL THEN y END, 2) AS y FROM fi"""
+SELECT id, coalesce(early, method) AS method, CASE WHEN early IS NULL THEN label END AS label, round(CASE WHEN early IS NULL THEN x END, 3) AS x, round(CASE WHEN early IS NULL THEN y END, 3) AS y FROM fi"""
 
 QUERIES = {"located_reports": (located_reports, _SQL)}
