@@ -62,9 +62,9 @@ def review_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each source is complete, and what blocks it: any stale, pending or empty article."""
-    rows = inventory(spark, sf_dir).groupBy("source").agg(F.bool_and(F.col("status") == "current").alias("complete"), F.bool_or(F.col("status") == "stale").alias("a"), F.bool_or(F.col("status") == "pending").alias("b"), F.bool_or(F.col("body") == "").alias("c"))
-    return rows.select("source", "complete", F.concat_ws(",", *[F.when(F.col(c), F.lit(name)) for c, name in (("a", "stale"), ("b", "pending"), ("c", "empty"))]).alias("blocking"))
+    """Whether each sheet of two articles of a source is complete, and what blocks it: any stale, pending or empty article."""
+    rows = inventory(spark, sf_dir).groupBy("source", F.expr("doc_id div 2").alias("sheet")).agg(F.bool_and(F.col("status") == "current").alias("complete"), F.bool_or(F.col("status") == "stale").alias("a"), F.bool_or(F.col("status") == "pending").alias("b"), F.bool_or(F.col("body") == "").alias("c"))
+    return rows.select("source", "sheet", "complete", F.concat_ws(",", *[F.when(F.col(c), F.lit(name)) for c, name in (("a", "stale"), ("b", "pending"), ("c", "empty"))]).alias("blocking"))
 
 
 def active_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,9 @@ def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a host by whether one, several or no articles have their number."""
     number = F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint")
     pages = table(spark, sf_dir, "pages").select("page_id", number.alias("number"))
-    found = table(spark, sf_dir, "documents").groupBy((F.col("doc_id") % 5000).alias("number")).agg(F.count("*").alias("n"))
+    # An article has its own number, some that of another too, and some none.
+    numbers = F.array_compact(F.array(F.when(F.col("doc_id") % 4 != 0, F.col("doc_id")), F.when(F.col("doc_id") % 6 == 0, F.expr("doc_id div 2"))))
+    found = table(spark, sf_dir, "documents").select(F.explode(numbers).alias("number")).groupBy("number").agg(F.count("*").alias("n"))
     rows = pages.join(found, "number", "left")
     return rows.groupBy(F.when(F.col("n").isNull(), "unmatched").when(F.col("n") == 1, "matched").otherwise("several").alias("coverage")).agg(F.count("*").alias("pages"))
 
@@ -139,8 +141,8 @@ def cluster_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def map_decision_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions with their article and geometry; what any of the three lacks is reported and not dropped."""
-    d = decided(spark, sf_dir).select("doc_id", "verdict")
-    geometry = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_type").alias("geometry"))
+    d = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 3").alias("doc_id"), F.col("o_orderstatus").alias("verdict")).groupBy("doc_id").agg(F.min("verdict").alias("verdict"))
+    geometry = table(spark, sf_dir, "part").select((F.col("p_partkey") * 3).alias("doc_id"), F.col("p_type").alias("geometry"))
     rows = d.join(sources(spark, sf_dir).select("doc_id", "sha256"), "doc_id", "left").join(geometry, "doc_id", "left")
     return rows.select("doc_id", "verdict", "geometry", F.concat_ws(",", F.when(F.col("sha256").isNull(), "article"), F.when(F.col("geometry").isNull(), "geometry")).alias("missing"))
 
@@ -199,10 +201,9 @@ def named_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def identity_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contexts with one native object get its id; with several or none they stay as they were. Counts never change."""
-    contexts = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 500).alias("context"))
-    ledger = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 700).alias("context")).agg(F.count("*").alias("n"), F.min("p_partkey").alias("native"))
-    rows = contexts.join(ledger, "context", "left")
-    return rows.select("o_orderkey", "context", F.when(F.col("n") == 1, F.col("native")).alias("native"))
+    ledger = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count_distinct(F.when(F.col("l_returnflag") == "R", F.col("l_partkey"))).alias("n"), F.min(F.when(F.col("l_returnflag") == "R", F.col("l_partkey"))).alias("native"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("context")).join(ledger, "o_orderkey", "left")
+    return rows.select("o_orderkey", "context", F.when(F.col("n") == 1, F.col("native")).alias("native"), F.when(F.col("n") > 1, "several").when(F.col("n") == 1, "one").otherwise("none").alias("objects"))
 
 
 def merged_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +273,7 @@ def owner_approval(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = lambda h: F.concat_ws(":", F.count("*"), F.bit_xor(h))
     rows = sources(spark, sf_dir).select("lang", F.conv(F.substring("sha256", 1, 15), 16, 10).cast("bigint").alias("h"), "doc_id")
     now = rows.groupBy("lang").agg(digest(F.col("h")).alias("digest"))
-    approved = rows.filter("NOT (lang = 'en' AND doc_id = 0)").groupBy("lang").agg(digest(F.col("h")).alias("approved"))
+    approved = rows.filter("NOT (lang = 'fr' AND doc_id % 10 = 0)").groupBy("lang").agg(digest(F.col("h")).alias("approved"))
     return now.join(approved, "lang", "left").select("lang", "digest", F.coalesce(F.col("digest") == F.col("approved"), F.lit(False)).alias("released"))
 
 
@@ -280,7 +281,7 @@ QUERIES = {
     "scene_inventory": (scene_inventory, LEDGER_SQL + " SELECT doc_id, status, CASE WHEN status = 'current' THEN verdict END AS verdict FROM i"),
     "current_supported": (current_supported, LEDGER_SQL + " SELECT doc_id, source, method FROM i WHERE verdict = 'supported' AND status = 'current'"),
     "review_summary": (review_summary, LEDGER_SQL + " SELECT source, count(*) FILTER (status = 'current') AS current, count(*) FILTER (status = 'stale') AS stale, count(*) FILTER (status = 'pending') AS pending, CAST(coalesce(sum(incidents) FILTER (status = 'current'), 0) AS BIGINT) AS incidents FROM i GROUP BY 1"),
-    "source_audit": (source_audit, LEDGER_SQL + " SELECT source, bool_and(status = 'current') AS complete, concat_ws(',', CASE WHEN bool_or(status = 'stale') THEN 'stale' END, CASE WHEN bool_or(status = 'pending') THEN 'pending' END, CASE WHEN bool_or(body = '') THEN 'empty' END) AS blocking FROM i GROUP BY 1"),
+    "source_audit": (source_audit, LEDGER_SQL + " SELECT source, doc_id // 2 AS sheet, bool_and(status = 'current') AS complete, concat_ws(',', CASE WHEN bool_or(status = 'stale') THEN 'stale' END, CASE WHEN bool_or(status = 'pending') THEN 'pending' END, CASE WHEN bool_or(body = '') THEN 'empty' END) AS blocking FROM i GROUP BY 1, 2"),
     "active_by_kind": (active_by_kind, "SELECT event_type, count(*) AS active, max(CAST(ts AS DATE)) AS last_seen FROM events WHERE value > 0 GROUP BY 1"),
     "scope_groups": (scope_groups, "SELECT lang, source, count(*) AS articles FROM documents GROUP BY ALL"),
     "ledger_counters": (ledger_counters, LEDGER_SQL + " SELECT 'verdict' AS counter, verdict AS value, count(*) AS n FROM d GROUP BY 2 UNION ALL SELECT 'method', method, count(*) FROM d GROUP BY 2"),
@@ -290,10 +291,10 @@ SELECT coalesce(a.category, e.category) AS category, coalesce(a.n, 0) AS announc
     "build_audit": (build_audit, LEDGER_SQL + ", m AS (SELECT coalesce(method, 'none') AS method, coalesce(method IN ('source_coordinate', 'osm_point', 'osm_intersection'), false) AS ok FROM i) SELECT method, count(*) FILTER (ok) AS mapped, count(*) FILTER (NOT ok) AS unlocated, count(*) FILTER (method = 'osm_line') AS road_ranges FROM m GROUP BY 1"),
     "index_counters": (index_counters, "WITH r AS (SELECT p_type, unnest(CASE WHEN p_size % 2 > 0 AND p_size % 3 > 0 AND p_size % 5 > 0 THEN ['none'] ELSE list_filter([CASE WHEN p_size % 2 = 0 THEN 'road' END, CASE WHEN p_size % 3 = 0 THEN 'place' END, CASE WHEN p_size % 5 = 0 THEN 'station' END], lambda x: x IS NOT NULL) END) AS role FROM part) SELECT role, p_type, count(*) AS objects FROM r GROUP BY ALL"),
     "scope_receipt": (scope_receipt, "SELECT p_type, count(*) AS tile_rows, count(DISTINCT l_partkey) AS objects, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS categories FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"),
-    "coverage_audit": (coverage_audit, "WITH p AS (SELECT page_id, TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS number FROM pages), n AS (SELECT doc_id % 5000 AS number, count(*) AS n FROM documents GROUP BY 1) SELECT CASE WHEN n IS NULL THEN 'unmatched' WHEN n = 1 THEN 'matched' ELSE 'several' END AS coverage, count(*) AS pages FROM p LEFT JOIN n USING (number) GROUP BY 1"),
+    "coverage_audit": (coverage_audit, "WITH p AS (SELECT page_id, TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS number FROM pages), n AS (SELECT number, count(*) AS n FROM (SELECT doc_id AS number FROM documents WHERE doc_id % 4 <> 0 UNION ALL SELECT doc_id // 2 FROM documents WHERE doc_id % 6 = 0) GROUP BY 1) SELECT CASE WHEN n IS NULL THEN 'unmatched' WHEN n = 1 THEN 'matched' ELSE 'several' END AS coverage, count(*) AS pages FROM p LEFT JOIN n USING (number) GROUP BY 1"),
     "relation_dups": (relation_dups, """SELECT conv_id, count(*) FILTER (role = 'user') AS counted, min(turn) AS first FROM conversations GROUP BY 1 HAVING count(*) FILTER (role = 'user') > 1"""),
     "cluster_spans": (cluster_spans, "WITH s AS (SELECT s_nationkey, s_suppkey * 37 % 1000 AS x, s_suppkey * 91 % 1000 AS y FROM supplier) SELECT s_nationkey, count(*) AS sites, greatest(max(x) - min(x), max(y) - min(y)) AS span FROM s GROUP BY 1"),
-    "map_decision_join": (map_decision_join, LEDGER_SQL + " SELECT d.doc_id, verdict, p_type AS geometry, concat_ws(',', CASE WHEN s.doc_id IS NULL THEN 'article' END, CASE WHEN p_type IS NULL THEN 'geometry' END) AS missing FROM d LEFT JOIN s ON d.doc_id = s.doc_id LEFT JOIN part ON p_partkey = d.doc_id"),
+    "map_decision_join": (map_decision_join, "WITH d AS (SELECT o_orderkey // 3 AS doc_id, min(o_orderstatus) AS verdict FROM orders GROUP BY 1) SELECT d.doc_id, verdict, p_type AS geometry, concat_ws(',', CASE WHEN s.doc_id IS NULL THEN 'article' END, CASE WHEN p_type IS NULL THEN 'geometry' END) AS missing FROM d LEFT JOIN documents s ON d.doc_id = s.doc_id LEFT JOIN part ON p_partkey * 3 = d.doc_id"),
     "geometry_requests": (geometry_requests, "WITH a AS (SELECT DISTINCT l_orderkey, l_partkey + l_linenumber % 2 * 1000000 AS p FROM lineitem) SELECT l_orderkey, count(*) AS asked, count(p_partkey) AS found FROM a LEFT JOIN part ON p = p_partkey GROUP BY 1"),
     "geocode_transitions": (geocode_transitions, LEDGER_SQL + f" SELECT method AS before, {_sql_pick(METHODS, '(doc_id + doc_id // 10)')} AS after, count(*) AS n, count(*) FILTER (doc_id % 7 * 40 > 100) AS moved FROM d GROUP BY ALL"),
     "translation_join": (translation_join, "WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment ELSE n_name END AS text FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT c_custkey, CASE WHEN n_name IS NULL THEN text ELSE 'de:' || lower(n_name) END AS shown, n_name IS NOT NULL AS translated FROM t LEFT JOIN nation ON sha256(text) = sha256(n_name)"),
@@ -302,7 +303,7 @@ SELECT coalesce(a.category, e.category) AS category, coalesce(a.n, 0) AS announc
 SELECT q.conv_id, q.turn, coalesce(quote <> '' AND contains(c.text, quote), false) AS holds FROM q LEFT JOIN c ON q.conv_id = c.conv_id AND q.named = c.turn"""),
     "reviewed_street_join": (reviewed_street_join, "SELECT DISTINCT p_partkey, p_name, p_partkey % 10 <> 0 AS agrees FROM lineitem JOIN part ON l_partkey = p_partkey"),
     "named_objects": (named_objects, """WITH n AS (SELECT l_orderkey, l_returnflag, unnest([l_partkey, l_partkey + l_linenumber % 3 * 1000000]) AS a FROM lineitem), p AS (SELECT p_partkey, p_type, unnest([p_partkey, p_partkey + 1000000]) AS a FROM part) SELECT l_orderkey, count(DISTINCT p_partkey) AS objects FROM n JOIN p USING (a) WHERE l_returnflag <> 'R' OR p_type <> 'ECONOMY' GROUP BY 1"""),
-    "identity_apply": (identity_apply, "WITH l AS (SELECT p_partkey % 700 AS context, count(*) AS n, min(p_partkey) AS native FROM part GROUP BY 1) SELECT o_orderkey, o_custkey % 500 AS context, CASE WHEN n = 1 THEN native END AS native FROM orders LEFT JOIN l ON o_custkey % 500 = l.context"),
+    "identity_apply": (identity_apply, "WITH l AS (SELECT l_orderkey, count(DISTINCT l_partkey) AS n, min(l_partkey) AS native FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) SELECT o_orderkey, o_custkey AS context, CASE WHEN n = 1 THEN native END AS native, CASE WHEN n > 1 THEN 'several' WHEN n = 1 THEN 'one' ELSE 'none' END AS objects FROM orders LEFT JOIN l ON o_orderkey = l_orderkey"),
     "merged_ledgers": (merged_ledgers, LEDGER_SQL + ", b AS (SELECT doc_id, verdict, 'a' AS who FROM d WHERE doc_id % 3 < 2 UNION ALL SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'uncertain' ELSE verdict END, 'b' FROM d WHERE doc_id % 3 > 0) SELECT doc_id, CASE WHEN count(DISTINCT verdict) = 1 THEN min(verdict) ELSE 'conflict' END AS verdict, string_agg(DISTINCT who, '' ORDER BY who) AS reviewers FROM b GROUP BY 1"),
     "summary_check": (summary_check, """WITH t AS (SELECT unnest(['quality', 'toxic', 'theft']) AS tag), n AS (SELECT 'quality' AS tag, count(*) AS n FROM labels JOIN documents USING (doc_id) WHERE doc_id % 7 <> 0 AND quality = 1 UNION ALL SELECT 'toxic', count(*) FROM labels JOIN documents USING (doc_id) WHERE doc_id % 7 <> 0 AND toxic = 1)
 SELECT tag, coalesce(n, 0) AS supported, coalesce(n, 0) + CAST(tag = 'toxic' AS BIGINT) AS stored, tag <> 'toxic' AS agrees FROM t LEFT JOIN n USING (tag)"""),
@@ -313,5 +314,5 @@ SELECT doc_id, max_by(verdict, CASE WHEN problem IS NULL THEN seq END) AS verdic
     "frozen_sources": (frozen_sources, LEDGER_SQL + ", b AS (SELECT doc_id FROM labels UNION SELECT p_partkey FROM part) SELECT b.doc_id, sha256, sha256 IS NOT NULL AS found FROM b LEFT JOIN s ON b.doc_id = s.doc_id"),
     "decision_hashes": (decision_hashes, LEDGER_SQL + " SELECT doc_id, doc_id % 13 <> 0 AS intact FROM d"),
     "review_chain": (review_chain, "SELECT conv_id, count(*) AS links, min(turn) FILTER (turn % 5 = 0) AS broken_at FROM conversations c WHERE EXISTS (SELECT 1 FROM conversations p WHERE p.conv_id = c.conv_id AND p.turn + 1 = c.turn) GROUP BY 1"),
-    "owner_approval": (owner_approval, LEDGER_SQL + ", h AS (SELECT lang, doc_id, CAST('0x' || substr(sha256, 1, 15) AS BIGINT) AS h FROM s), n AS (SELECT lang, count(*) || ':' || bit_xor(h) AS digest, bool_or(lang = 'en' AND doc_id = 0) AS differs FROM h GROUP BY 1) SELECT lang, digest, lang IS NOT NULL AND NOT differs AS released FROM n"),
+    "owner_approval": (owner_approval, LEDGER_SQL + ", h AS (SELECT lang, doc_id, CAST('0x' || substr(sha256, 1, 15) AS BIGINT) AS h FROM s), n AS (SELECT lang, count(*) || ':' || bit_xor(h) AS digest, bool_or(lang = 'fr' AND doc_id % 10 = 0) AS differs FROM h GROUP BY 1) SELECT lang, digest, lang IS NOT NULL AND NOT differs AS released FROM n"),
 }

@@ -38,7 +38,7 @@ def radius_join_50m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_join_r(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return places.within(_points(spark, sf_dir), _sites(spark, sf_dir), 100.0 + F.col("s_suppkey") % 5 * 100, 500.0).groupBy("s_suppkey").agg(F.count("*").alias("announcements"))
+    return places.within(_points(spark, sf_dir), _sites(spark, sf_dir), 200.0 + F.col("s_suppkey") % 5 * 700, 3000.0).groupBy("s_suppkey").agg(F.count("*").alias("announcements"))
 
 
 def knn_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,7 @@ def search_top8(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "place_id_join": (place_id_join, "SELECT DISTINCT o_custkey AS c_custkey, s_suppkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN supplier ON l_suppkey = s_suppkey WHERE o_custkey % 3 = s_suppkey % 3"),
     "radius_join_50m": (radius_join_50m, POINTS + " SELECT c_custkey, s_suppkey FROM j WHERE d2 <= 2500"),
-    "near_join_r": (near_join_r, POINTS + " SELECT s_suppkey, count(*) AS announcements FROM j WHERE d2 <= (100.0 + s_suppkey % 5 * 100) * (100.0 + s_suppkey % 5 * 100) GROUP BY 1"),
+    "near_join_r": (near_join_r, POINTS + " SELECT s_suppkey, count(*) AS announcements FROM j WHERE d2 <= (200.0 + s_suppkey % 5 * 700) * (200.0 + s_suppkey % 5 * 700) GROUP BY 1"),
     "knn_ties": (knn_ties, POINTS + ", r AS (SELECT *, rank() OVER (PARTITION BY c_custkey ORDER BY d2) AS r FROM j WHERE c_nationkey = s_nationkey) SELECT c_custkey, s_suppkey FROM r WHERE r = 1"),
     "association_priority_dedup": (association_priority_dedup, LINKS_SQL + " SELECT event_id, poi_id, CAST(priority AS INT) AS priority, status FROM f"),
     "association_counts": (association_counts, LINKS_SQL + " SELECT poi_id, count(*) AS events, count(*) FILTER (status = 'named') AS named, count(*) FILTER (status = 'near') AS near, count(*) FILTER (status = 'context') AS context, round(least(0.78::DOUBLE, 0.12::DOUBLE + 0.16::DOUBLE * log2(1 + count(*))), 6) AS opacity FROM f GROUP BY 1"),
