@@ -95,8 +95,8 @@ def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cadence_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks are due after 72 hours, map refreshes once in a calendar month of Berlin."""
-    e = table(spark, sf_dir, "events").select("user_id", "ts").groupBy("user_id").agg(F.max("ts").alias("last"))
-    now = F.lit("2024-02-01 00:30:00").cast("timestamp_ntz")
+    e = table(spark, sf_dir, "events").select("user_id", "ts").groupBy("user_id").agg(F.max("ts").alias("last")).withColumn("last", F.col("last") + F.expr("make_dt_interval(int(user_id % 20))"))
+    now = F.lit("2024-02-10 00:30:00").cast("timestamp_ntz")
     local = lambda t: F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Europe/Berlin"), t), "yyyy-MM")
     return e.select("user_id", (F.col("last") + F.expr("INTERVAL 72 HOURS") <= now).alias("check_due"), (local(F.col("last")) < local(now)).alias("refresh_due"))
 
@@ -121,5 +121,5 @@ SELECT o_orderkey, checked FROM orders LEFT JOIN r ON o_orderkey = l_orderkey WH
     "sticky_completion": (sticky_completion, "SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS year, bool_or(o_orderstatus = 'F') AS complete, max(o_orderkey % 90) AS pages FROM orders GROUP BY ALL"),
     "decision_import": (decision_import, "SELECT doc_id, 'second' AS missing_in FROM documents WHERE doc_id % 17 <> 0 AND doc_id % 19 = 0 UNION ALL SELECT doc_id, 'first' FROM documents WHERE doc_id % 19 <> 0 AND doc_id % 17 = 0"),
     "read_back": (read_back, "SELECT o_orderkey, o_orderstatus, 'first' AS side FROM orders WHERE o_orderkey % 1000 = 0 UNION ALL SELECT o_orderkey, '?', 'second' FROM orders WHERE o_orderkey % 1000 = 0"),
-    "cadence_due": (cadence_due, """WITH e AS (SELECT user_id, max(ts) AS last FROM events GROUP BY 1) SELECT user_id, last + INTERVAL 72 HOUR <= TIMESTAMP '2024-02-01 00:30:00' AS check_due, strftime(last + INTERVAL 1 HOUR, '%Y-%m') < '2024-02' AS refresh_due FROM e"""),
+    "cadence_due": (cadence_due, """WITH e AS (SELECT user_id, max(ts) + to_days(CAST(user_id % 20 AS INT)) AS last FROM events GROUP BY 1) SELECT user_id, last + INTERVAL 72 HOUR <= TIMESTAMP '2024-02-10 00:30:00' AS check_due, strftime(last + INTERVAL 1 HOUR, '%Y-%m') < '2024-02' AS refresh_due FROM e"""),
 }
