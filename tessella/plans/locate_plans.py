@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import mentions as m
+from tessella.functions import text as tx
+from tessella.operators import followups as fu
 from tessella.operators import locate
 from tessella.plans import geometry_plans as g
 from tessella.plans import mention_plans as mp
@@ -80,4 +82,32 @@ cf AS (SELECT ot.id, NOT bool_and(coalesce((o1.x - pt.x) ** 2 + (o1.y - pt.y) **
 fi AS (SELECT bo.id, CASE WHEN {mp._like('title', m.REVIEW)} AND {mp._like('title', m.THEMES)} AND {mp._like(_REPLACED.format('body'), m.COUNTED)} AND {mp._like('body', m.CONTROLS)} AND {mp._like('body', m.OFFENCES)} THEN 'multi_event_summary' WHEN len(regexp_extract_all(body, '\\b(tatort|unfallort|ort):')) > 1 THEN 'multiple_official_scenes' WHEN NOT EXISTS (SELECT 1 FROM mg WHERE mg.id = bo.id) THEN 'unmatched' WHEN o1.id IS NULL THEN 'no_scene_mention' WHEN conflict THEN 'conflicting_explicit_scenes' END AS early, o1.method, label, x, y FROM bo LEFT JOIN o1 ON o1.id = bo.id LEFT JOIN cf ON cf.id = bo.id)
 SELECT id, coalesce(early, method) AS method, CASE WHEN early IS NULL THEN label END AS label, round(CASE WHEN early IS NULL THEN x END, 3) AS x, round(CASE WHEN early IS NULL THEN y END, 3) AS y FROM fi"""
 
-QUERIES = {"located_reports": (located_reports, _SQL)}
+#: Titles and bodies of reports on cases; T is a time.
+CASE_TITLES = ("mord in der nacht", "festnahme nach mord", "vermisstenfahndung nach einem kind", "erledigung der vermisstenfahndung", "unfall auf der brücke", "mann verstirbt nach verkehrsunfall", "haftbefehl nach schussabgabe", "schussabgabe auf ein haus", "polizei nimmt räuber nach tötungsdelikt fest", "fest im park")
+CASE_BODIES = ("tatzeit: T uhr.", "hinweise auf straftaten liegen nicht vor.", "er erlag seinen wunden.", "tatzeit: T uhr, 02.02.2024, 11:00 uhr.", "verstoss gegen das waffengesetz, T uhr.", "es gab verdacht auf illegalen aufenthalt.", "")
+
+
+def case_followups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as reports, each linked to earlier ones of its customer: which only carry on a case, and why."""
+    k = F.col("o_orderkey")
+    pick = lambda values, by: F.element_at(F.array(*map(F.lit, values)), F.expr(f"int({by} % {len(values)}) + 1"))
+    time = F.concat(F.lit("01.01.2024, 1"), (k % 4).cast("string"), F.lit(":00"))
+    reports = table(spark, sf_dir, "orders").select(k.alias("id"), "o_custkey", pick(CASE_TITLES, "(o_orderkey * 7 + o_custkey)").alias("title"), F.replace(pick(CASE_BODIES, "(o_orderkey * 5 + o_custkey)"), F.lit("T"), time).alias("body"), F.when(k % 3 > 0, F.col("o_orderpriority")).alias("district"))
+    # A report refers to the last three of the same customer: places in order, not all pairs.
+    order = "OVER (PARTITION BY o_custkey ORDER BY id)"
+    links = reports.select("id", F.array(*[F.expr(f"lag(id, {n}) {order}") for n in (1, 2, 3)]).alias("refs")).select("id", F.explode("refs").alias("ref")).filter("ref IS NOT NULL")
+    return fu.followups(reports.drop("o_custkey"), links)
+
+
+def _case_sql() -> str:
+    has = lambda column, pattern: mp._like(column, pattern)
+    plain = lambda c: _REPLACED.format(c)
+    signatures = "list_filter([" + ", ".join(f"CASE WHEN {has('title', p)} THEN '{n}' END" for n, p in tx.SIGNATURES) + "], lambda x: x IS NOT NULL)"
+    return rf"""WITH o AS (SELECT o_orderkey AS id, o_custkey AS c, {plain(mp._pick_sql(CASE_TITLES, 'o_orderkey * 7 + o_custkey'))} AS title, {plain(f"replace({mp._pick_sql(CASE_BODIES, 'o_orderkey * 5 + o_custkey')}, 'T', '01.01.2024, 1' || o_orderkey % 4 || ':00')")} AS body, CASE WHEN o_orderkey % 3 > 0 THEN lower(o_orderpriority) ELSE '' END AS area FROM orders),
+g AS (SELECT id, c, area, {has('title', fu.SEARCH)} AS search, {has('title', fu.SEARCH_OVER)} AND {has('body', fu.NO_OFFENCE)} AS search_over, {has('title', fu.ACCIDENT)} AS accident, {has('title', fu.DEATH_AFTER)} AND {has('body', fu.DIED)} AS died, {has('title', fu.UPDATE)} AND NOT {has('body', fu.OTHER_OFFENCE)} AS upd, {signatures} AS sg, list_distinct(regexp_extract_all(body, '\b(\d{{2}}\.\d{{2}}\.\d{{4}},?\s*\d{{1,2}}:\d{{2}})\b', 1)) AS tm FROM o),
+l AS (SELECT id, unnest([lag(id, 1) OVER w, lag(id, 2) OVER w, lag(id, 3) OVER w]) AS ref FROM o WINDOW w AS (PARTITION BY c ORDER BY id)),
+j AS (SELECT l.id, l.ref, CASE WHEN n.search_over AND b.search THEN 'missing_search' WHEN n.died AND b.accident THEN 'traffic_death' WHEN n.upd AND list_has_any(n.sg, b.sg) AND NOT (len(b.tm) > 0 AND len(n.tm) > len(b.tm) AND NOT list_has_all(b.tm, n.tm)) AND (list_has_any(n.tm, b.tm) OR (n.area <> '' AND n.area = b.area)) THEN 'case_update' END AS kind FROM (SELECT DISTINCT * FROM l WHERE ref IS NOT NULL) l JOIN g n ON n.id = l.id JOIN g b ON b.id = l.ref)
+SELECT * FROM j WHERE kind IS NOT NULL"""
+
+
+QUERIES = {"located_reports": (located_reports, _SQL), "case_followups": (case_followups, _case_sql())}
