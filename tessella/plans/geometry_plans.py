@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import geo
-from tessella.operators import lines, names, simplify
+from tessella.operators import build, lines, names, simplify
 from tessella.sources.tables import ANNOUNCED, announcements, placed, placed_sql, table
 
 #: Metres of a cell's side for points near lines, for footprints and for roads.
@@ -249,6 +249,45 @@ g2 AS (SELECT *, CASE WHEN groups > 1 THEN 'ambiguous' WHEN extent > 250 THEN 'w
 SELECT name, groups, round(extent, 3) AS extent, outcome, CASE WHEN outcome = 'place' THEN -best.k END AS stands FROM g2"""
 
 
+#: Kinds of map objects, in turn; the last ones are no place.
+MAP_KINDS = ("shop", "parking", "station", "park", "cafe", "airport", "shop", None)
+
+
+def _map_objects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as ways (with footprints, some without or as lines) and announcements as nodes, and the edges of the ways."""
+    pick = lambda by: F.element_at(F.array(*map(F.lit, MAP_KINDS)), F.expr(f"int({by} % {len(MAP_KINDS)}) + 1"))
+    k = F.col("s_suppkey")
+    ways = placed(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select(F.concat(F.lit("way/"), k).alias("id"), k.alias("seq"), F.lit(False).alias("node"), pick("s_suppkey").alias("kind"), F.concat(F.lit("n"), k % 2).alias("name"), F.when(k % 3 == 0, "books").alias("variant"), F.when(k % 9 == 8, None).when(k % 9 == 7, "line").otherwise("area").alias("shape"), (k % 2 == 0).alias("context_line"), "x", "y")
+    i = F.col("id")
+    nodes = announcements(spark, sf_dir).select(F.concat(F.lit("node/"), i).alias("id"), (i + 10**9).alias("seq"), F.lit(True).alias("node"), pick("id").alias("kind"), F.concat(F.lit("n"), i % 2).alias("name"), F.when(i % 5 == 0, "books").alias("variant"), F.lit("point").alias("shape"), F.lit(None).cast("boolean").alias("context_line"), "x", "y")
+    return ways.unionByName(nodes), _footprints(spark, sf_dir).withColumn("id", F.concat(F.lit("way/"), "s_suppkey")).select("id", *lines.ENDS)
+
+
+def built_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places built from map objects: kind, mode and aliases."""
+    places, _ = build.built(*_map_objects(spark, sf_dir), AREA)
+    return places.select("id", "kind", "mode", F.array_join("aliases", ",").alias("aliases"))
+
+
+def place_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map objects that are left out, by reason."""
+    return build.built(*_map_objects(spark, sf_dir), AREA)[1]
+
+
+def _kind_sql(by: str) -> str:
+    return f"list_extract([{', '.join('NULL' if v is None else repr(v) for v in MAP_KINDS)}], CAST({by} % {len(MAP_KINDS)} + 1 AS INT))"
+
+
+_BUILT = f"""{ANNOUNCED}, {_footprint_sql()},
+ob AS (SELECT 'way/' || s_suppkey AS id, s_suppkey AS k, s_suppkey AS seq, false AS node, {_kind_sql('s_suppkey')} AS kind, s_suppkey % 2 AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'books' END AS variant, CASE s_suppkey % 9 WHEN 8 THEN NULL WHEN 7 THEN 'line' ELSE 'area' END AS shape, s_suppkey % 2 = 0 AS ctx FROM fs
+UNION ALL SELECT 'node/' || id, id, id + 1000000000, true, {_kind_sql('id')}, id % 2, CASE WHEN id % 5 = 0 THEN 'books' END, 'point', NULL FROM ann),
+dr AS (SELECT *, CASE WHEN kind IS NULL THEN NULL WHEN shape IS NULL THEN 'missing_or_unsupported_geometry' WHEN shape = 'line' AND NOT coalesce(ctx, false) THEN 'unsupported_native_line' END AS rejected FROM ob),
+mo AS (SELECT *, CASE WHEN kind IS NULL OR rejected IS NOT NULL THEN NULL WHEN shape = 'line' THEN 'native_line_reference' WHEN kind IN ({', '.join(map(repr, build.FOOTPRINTS))}) AND shape = 'area' THEN 'osm_footprint' WHEN kind IN ({', '.join(map(repr, build.NO_CIRCLE))}) THEN 'footprint_missing' ELSE '50m_circle' END AS mode FROM dr),
+wi AS (SELECT id AS n, s_suppkey AS s FROM ann, fe GROUP BY ALL HAVING count(*) FILTER ({_RIGHT.format(x='x', y='y')}) % 2 = 1 OR bool_or({_ON.format(x='x', y='y')})),
+tw AS (SELECT p.id, min(struct_pack(seq := a.seq, area := a.id)).area AS area FROM wi JOIN mo p ON p.node AND p.k = n AND p.mode IS NOT NULL JOIN mo a ON NOT a.node AND a.k = s AND a.mode = 'osm_footprint' AND a.kind = p.kind AND a.name = p.name AND a.variant IS NOT DISTINCT FROM p.variant GROUP BY p.id),
+al AS (SELECT area, string_agg(id, ',' ORDER BY id) AS aliases FROM tw GROUP BY area)"""
+
+
 def thinned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corners that stay of each supplier's track (its orders in turn) within a tolerance of its own."""
     stops = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey").agg(F.min("l_partkey").alias("p"))
@@ -332,6 +371,8 @@ QUERIES = {
     "place_groups": (place_groups, _GROUPS),
     "thinned_lines": (thinned_lines, _THIN),
     "close_names": (close_names, None),
+    "built_places": (built_places, f"{_BUILT} SELECT mo.id, kind, mode, coalesce(aliases, '') AS aliases FROM mo LEFT JOIN al ON al.area = mo.id WHERE mode IS NOT NULL AND mo.id NOT IN (SELECT id FROM tw)"),
+    "place_rejections": (place_rejections, f"{_BUILT} SELECT rejected, count(*) AS objects FROM (SELECT rejected FROM mo WHERE rejected IS NOT NULL UNION ALL SELECT 'duplicate_node_in_way' FROM tw) GROUP BY 1"),
     "geodesic_lines": (geodesic_lines, _inverse_sql()),
     "geodesic_rings": (geodesic_rings, _direct_sql()),
 }
