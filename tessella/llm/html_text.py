@@ -19,10 +19,14 @@ from tessella.llm.common import arrow, arrow_schema, batch_of, bounded, carried,
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("script style noscript template iframe object embed svg canvas audio video map head title".split())
-DROPPED = UNSEEN | frozenset("nav header footer aside form button select textarea input dialog menu datalist".split())
+DROPPED = UNSEEN | frozenset("nav header footer aside form button select textarea input dialog menu datalist label search".split())
 CORE = frozenset(("article", "main"))
 BLOCK = frozenset("address article blockquote body caption center dd details dir div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"} | {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
+#: Elements that only hold others, down which the story of a page without an article is looked for.
+CONTAINERS = frozenset("html body div section center table tbody tr td".split())
+#: What tells a story from the controls of a form.
+TOLD = frozenset("p h1 h2 h3 article main".split())
 #: What an element closes when it begins, up to the nearest element that may hold it.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Words that mark what is not the article, where a whole name of class, id or role is made of them and of the words that only tell a place or form.
@@ -30,6 +34,9 @@ MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent notice gdpr sidebar menu navbar nav navigation breadcrumb breadcrumbs header footer masthead"
     " comment comments commentlist reply replies disqus share sharing social related recommended recommendations newsletter subscribe signup login popup modal skip pagination pager toolbar contentinfo complementary search".split()
 )
+#: Of these, the words that no part of an article bears, whatever part of itself a name tells.
+FOREIGN = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr comment comments commentlist reply replies disqus share sharing related recommended recommendations newsletter".split())
+PARTS = frozenset("item items text texts articles stories posts content body title heading".split())
 PLACES = frozenset("site page main top bottom left right list box bar area wrapper container section block slot unit form links link widget wrap inner primary secondary global wide user reader side respond to".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)", re.S)
 STOP = re.compile(r"""=\s*(["'])|>""")
@@ -43,10 +50,10 @@ HOST, SHAPE = 0, 1
 
 @lru_cache(maxsize=1 << 14)
 def marked(names: str) -> bool:
-    """Whether a name of class, id or role says that an element is not the article: ``cookie-notice`` does, ``market-share``, ``article-header`` and ``with-sidebar`` don't."""
+    """Whether a name of class, id or role says that an element is not the article: ``cookie-notice`` and ``ad-slot-300`` do, ``market-share``, ``article-header`` and ``with-sidebar`` don't."""
     for name in names.lower().split():
-        parts = set(PART.split(name)) - {""}
-        if parts & MARKS and parts <= MARKS | PLACES:
+        parts = {x for x in PART.split(name) if x and not x.isdigit()}
+        if parts & MARKS and parts <= (MARKS | PLACES | PARTS if parts & FOREIGN else MARKS | PLACES):
             return True
     return False
 
@@ -59,11 +66,12 @@ def decoded(text: str) -> str:
 
 
 class Node:
-    __slots__ = ("core", "gone", "hash", "kids", "linked", "marked", "names", "shape", "size", "tag")
+    __slots__ = ("core", "gone", "hash", "kids", "linked", "marked", "names", "prose", "seen", "shape", "size", "tag", "told")
 
     def __init__(self, tag: str, names: str = ""):
         self.tag, self.names, self.kids, self.marked, self.core, self.gone = tag, names, [], bool(names) and tag not in ("main", "body", "html") and marked(names), False, False
-        self.hash = self.shape = self.size = self.linked = 0
+        self.hash = self.shape = self.size = self.linked = self.seen = self.prose = 0
+        self.told = tag in TOLD
 
 
 class _Stack:
@@ -161,8 +169,10 @@ def signed(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def measured(root: Node, hashes: bool) -> None:
-    """From the leaves up, without recursion since trees may be deep: the length of each element's text, how much of it is in links, and whether it is or holds an article; no mark holds for what does.
+def measured(root: Node, hashes: bool) -> list[Node]:
+    """All elements, parents first, measured from the leaves up, without recursion since trees may be deep: the length of each element's text, how much of it is in links and how much outside dropped elements, and whether it is or holds an article; no mark holds for what does.
+
+    A form that holds an article, or paragraphs and nine tenths of what the page shows, is around the page: it is taken for a plain element.
 
     With ``hashes``, two hashes of the subtree too: of its tags, names and text (white space aside), and of its shape, in which
     text, digits in names and repeats of a child's shape do not count.
@@ -177,7 +187,8 @@ def measured(root: Node, hashes: bool) -> None:
             if k.__class__ is Node:
                 x.size += k.size
                 x.linked += k.size if k.tag == "a" else k.linked
-                core = core or k.core
+                core, x.told = core or k.core, x.told or k.told
+                x.seen += k.seen if k.tag not in DROPPED or k.tag == "form" else 0
                 if hashes:
                     parts.append(f"\0{k.hash}")
                     if shapes[-1] != (shape := str(k.shape)):
@@ -185,12 +196,23 @@ def measured(root: Node, hashes: bool) -> None:
             else:
                 text = " ".join(k.split())
                 x.size += len(text)
+                x.seen += len(text)
                 parts.append(text)
         if x.tag in CORE and not x.marked:
             core = True
         x.core, x.marked = core, x.marked and not core
         if hashes:
             x.hash, x.shape = signed("\1".join(parts)), signed("\2".join(shapes))
+    for x in order:
+        if x.tag == "form" and (x.core or x.told and not root.core and 10 * x.seen >= 9 * root.seen):
+            x.tag = "div"
+    return order
+
+
+def weighed(order: list[Node]) -> None:
+    """The length of each element's plain text: what is in links, or goes by element, mark or template, aside."""
+    for x in reversed(order):
+        x.prose = sum(len(" ".join(k.split())) if k.__class__ is str else 0 if k.tag == "a" or k.tag in DROPPED or k.marked or k.gone else k.prose for k in x.kids)
 
 
 def _breaks(x: Node) -> bool:
@@ -228,16 +250,6 @@ def spots(root: Node, places: dict[tuple[int, str, str], int] | None = None) ->
             behind = not _breaks(k) and (behind or k.size > 0 and k.tag not in DROPPED and not k.marked)
 
 
-def inside_articles(root: Node) -> set[int]:
-    """The elements of articles, whose shapes tell nothing, as ids of nodes."""
-    found, todo = set(), articles(root)
-    while todo:
-        x = todo.pop()
-        found.add(id(x))
-        todo.extend(k for k in x.kids if k.__class__ is Node)
-    return found
-
-
 def articles(root: Node) -> list[Node]:
     """The outermost articles, in page order, that are not within something dropped or marked."""
     tops, todo = [], [root]
@@ -254,26 +266,106 @@ def subtrees(page: str, section: int = 0, places: dict | None = None) -> set[tup
     """(group, hash) of the page's subtrees and (group, None) of the groups that the page is in: the host, its shapes, its section, and the places of the elements."""
     root = parse(page)
     measured(root, True)
-    within = inside_articles(root)
+    inner = {id(x) for x in within(articles(root))}
     wider = (HOST, section) if section else (HOST,)
     out: set[tuple[int, int | None]] = {(g, None) for g in (*wider, SHAPE)}
     for x, place, shaped in spots(root, {} if places is None else places):
         out.add((place, None))
         out.update((g, x.hash) for g in (*wider, place))
-        if shaped and id(x) not in within:
+        if shaped and id(x) not in inner:
             out.add((SHAPE, x.shape))
     return out
 
 
-def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
-    """The blocks of the article, or of the body where there is none, without dropped, marked and template elements."""
-    root = parse(page)
-    measured(root, bool(template))
+def within(tops: list[Node]) -> Iterator[Node]:
+    todo = list(tops)
+    while todo:
+        x = todo.pop()
+        yield x
+        todo.extend(k for k in x.kids if k.__class__ is Node)
+
+
+def heaviest(root: Node, weight: str, share: float) -> Node:
+    """The innermost container that holds a share of the text of each one around it."""
+    x = root
+    while k := next((k for k in x.kids if k.__class__ is Node and k.tag in CONTAINERS and getattr(x, weight) and getattr(k, weight) >= share * getattr(x, weight)), None):
+        x = k
+    return x
+
+
+def delete_template(root: Node, order: list[Node], template: frozenset[int]) -> None:
+    """Delete what is in the template, but never an article or what is around one.
+
+    Copies of one article on a host are no template: where less than a quarter of an article's plain text would be left, all of it stays. On
+    pages without an article no shape deletes what holds half of the plain text that is left, and within the story only what is nine tenths links.
+    """
     tops = articles(root)
-    if template:
-        within = inside_articles(root)
-        for x, _, shaped in spots(root):
-            x.gone = x.hash in template or shaped and x.shape in template and id(x) not in within
+    inner = {id(x) for x in within(tops)}
+    shapes = []
+    weighed(order)
+    before = [x.prose for x in tops]
+    for x, _, shaped in spots(root):
+        if not x.core and x.hash in template:
+            x.gone = True
+        elif shaped and x.shape in template and id(x) not in inner:
+            shapes.append(x)
+    weighed(order)
+    for top, n in zip(tops, before, strict=True):
+        if 4 * top.prose < n:
+            for x in within([top]):
+                x.gone = False
+    story = set() if root.core else {id(x) for x in within([heaviest(root, "prose", 0.9)])}
+    for x in shapes:
+        x.gone = root.core or 2 * x.prose < max(root.prose, 1) and (id(x) not in story or 10 * x.linked >= 9 * x.size)
+    weighed(order)
+
+
+def chosen(root: Node, order: list[Node]) -> list[Node]:
+    """Where a page's text is: its articles with a headline before them, the story outside its articles, or the whole page where there is none.
+
+    Beside an article with five times its plain text, one with links is a teaser. Where no article has a headline (h1) but the page has, the story is outside if there is more plain text
+    there, in the least element around the headline with half of it, and the articles are teasers; otherwise the headline, and the headings and paragraphs between it and the article, go before it.
+    """
+    tops = articles(root)
+    if not tops:
+        return [root]
+    most = max(x.prose for x in tops)
+    tops = [x for x in tops if 5 * x.prose >= most or not x.linked]
+    if any(x.tag == "h1" for x in within(tops)):
+        return tops
+    above = {id(k): x for x in order for k in x.kids if k.__class__ is Node}
+    hidden: set[int] = set()
+    heads: dict[int, Node] = {}
+    for x in order:
+        if x.marked or x.gone or x.tag in DROPPED or id(above.get(id(x))) in hidden:
+            hidden.add(id(x))
+    for x in reversed(order):
+        if x.tag == "h1" and x.prose and id(x) not in hidden:
+            heads[id(x)] = x
+        if (h1 := heads.get(id(x))) and (parent := above.get(id(x))):
+            heads[id(parent)] = h1
+    if id(root) not in heads:
+        return tops
+    inside = sum(x.prose for x in tops)
+    if root.prose - inside > inside:
+        for x in tops:
+            x.gone = True
+        weighed(order)
+        x = heads[id(root)]
+        while 2 * x.prose < root.prose:
+            x = above[id(x)]
+        return [x]
+    x = tops[0]
+    while parent := above.get(id(x)):
+        earlier = [k for k in parent.kids[: next(i for i, k in enumerate(parent.kids) if k is x)] if k.__class__ is Node and id(k) not in hidden]
+        if first := next((i for i, k in enumerate(earlier, 1) if id(k) in heads), 0):
+            return [heads[id(earlier[first - 1])], *(k for k in earlier[first:] if k.tag in ("p", "h2", "h3", "hgroup")), *tops]
+        x = parent
+    return tops
+
+
+def rendered(tops: list[Node], inner: bool) -> str:
+    """The blocks of elements, joined by newlines; ``inner`` if they are of an article, whose header stays."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -283,9 +375,9 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
         if text:
             blocks.append(text)
 
-    work: list = [(x, bool(tops)) for x in reversed(tops or [root])]
+    work: list = list(reversed(tops))
     while work:
-        x, inner = work.pop()
+        x = work.pop()
         if x is None:
             close()
         elif x.__class__ is str:
@@ -297,12 +389,35 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
         else:
             if x.tag in BLOCK or x.tag == "header":
                 close()
-                work.append((None, inner))
-            work.extend((k, inner) for k in reversed(x.kids))
+                work.append(None)
+            work.extend(reversed(x.kids))
     close()
     return "\n".join(blocks)
 
 
+def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
+    """The blocks of the article, or of the page where there is none, without dropped, marked and template elements.
+
+    If nothing is left of a page without an article, the innermost element with most of what it shows stays, whatever template or mark says.
+    """
+    root = parse(page)
+    order = measured(root, bool(template))
+    if template:
+        delete_template(root, order, template)
+    else:
+        weighed(order)
+    text = rendered(chosen(root, order), root.core)
+    if not text and not root.core and root.seen:
+        story = heaviest(root, "seen", 0.5)
+        story.marked = False
+        for flag in ("gone", "marked"):
+            for x in within([story]):
+                setattr(x, flag, False)
+            if text := rendered([story], False):
+                break
+    return text
+
+
 def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit(""))
 
@@ -344,6 +459,9 @@ def extract_html(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     changes from page to page recur by their shape (tags and names, without text): outside the article, and where there is none among links, a shape on
     ``place_share`` of a host's pages goes too. Only short inline elements amid a
     sentence stay. So few subtrees can reach a share that a host's list is bounded by its pages' size, its sections and places, not their number.
+    No template deletes an article or what is around one, nor three quarters of an article's plain text or more (copies of one article are no template), nor by its shape half of the
+    plain text of a page without an article. A paragraph that stands in the articles of a fifth of a host's pages does go, as notices do: a part repeated through a
+    series can't be told from one.
     What a host's pages cannot tell goes by element, and by names of class, id and role that say nothing but what they mark; neither holds for what is around the article,
     and an article's own header stays. What is left of the article (the
     body, where there is none) becomes text: references decoded, white space in a block made one blank, blocks joined by

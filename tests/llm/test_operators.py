@@ -368,6 +368,11 @@ def test_html_templates_of_a_part_of_a_host(spark):
         ('<div class="container with-sidebar"><p>a</p></div>', "a"), ('<div class="page no-sidebar"><p>a</p></div>', "a"), ('<section class="market-share">a</section>', "a"), ('<div class="sidebar"><article>a</article></div>', "a"),
         ("<article><header><h1>Headline</h1></header><p>b</article>", "Headline\nb"), ('<article><div class="article-header"><h1>H</h1></div>b</article>', "H\nb"), ('<article>a</article><article class="comment">no</article>', "a"),
         ("<article>x <math><mi>y</mi></math></article>", "x y"), ('<p hidden>a</p><p style="display:none">b</p><p aria-hidden="true">c', "a\nb\nc"), ('<p title="abc>two', "two"), ("<p it's>a</p>", "a"), ('<p title="a > b">c', "c"),
+        ('<form id="aspnetForm"><div><article><h1>H</h1><p>story</p></article></div></form>', "H\nstory"), ("<form id=a><nav>n</nav><h1>H</h1><p>story is here</p><label>no</label><input></form>", "H\nstory is here"), ("<form>Search</form>", ""),
+        ('<nav>a</nav><div class="promo">only text</div>', "only text"), ("<div class=ad>no</div><article></article>", ""), ('<div class="comment-article">a</div>', "a"), ('<header><h1>Site</h1></header><article>a</article>', "a"),
+        ("<div><h1>Head</h1><p>long story</p></div><section><article>teaser</article></section>", "Head\nlong story"), ('<div class="post"><h1>Head</h1><p>Lead</p><article><p>a longer story than that</p></article></div>', "Head\nLead\na longer story than that"),
+        ("<article><h1>A</h1><p>" + "word " * 20 + "</article><div><article><a href=x>Other</a> few</article></div>", "A\n" + ("word " * 20).strip()), ("<article><h1>A</h1>" + "word " * 20 + "</article><article>an entry</article>", "A\n" + ("word " * 20).strip() + "\nan entry"),
+        ("<article>a<div class=comment-item>n</div><div class=user-comment-text>n</div><div class=related-articles>n</div><div class=ad-slot-300>n</div><div class=cookie-banner-text>n</div><label>n</label><search>n</search></article>", "a"),
         ("<title>no</title><textarea>no</textarea>a<!-- no", "a"), ("a<br/>b<p/>c</i></b>d", "a b\ncd"), ("&lt;b&gt; &#228; &nbsp;x", "<b> ä x"), ("", ""),
     ],
 )
@@ -375,6 +380,28 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_templates_never_empty_a_page(spark):
+    """On hosts of any size: copies of one article, stories of links, and a story that all pages share keep their text, while menus that recur go."""
+    rng, rows, want = random.Random(5), [], {}
+
+    def add(url, page, text):
+        rows.append((len(rows), url, page))
+        want[rows[-1][0]] = text
+
+    for pages in (1, 3, 9, 10, 100):
+        one = [prose(rng, 30) for _ in range(3)]
+        for k in range(pages):
+            shell = f"<div class=top><a href=/>home of {pages}</a></div>" if pages > 2 else ""
+            add(f"https://copies{pages}.example/{k}", f"<body class=v{k}>{shell}<article data-k={k}><h1>Head</h1>{''.join(f'<p>{x}</p>' for x in one)}</article><nav>{k}</nav></body>", "\n".join(["Head", *one]))
+            own = prose(rng, 40)
+            add(f"https://own{pages}.example/{k}", f"<body>{shell}<article><h1>{own[:20]}</h1><p>{own}</p></article><p>note of the house</p></body>", f"{' '.join(own[:20].split())}\n{own}")
+            items = [(prose(rng, 2), prose(rng, 2)) for _ in range(6)]
+            add(f"https://links{pages}.example/{k}", f"<body>{shell}<div class=story><h1>List {k}</h1><ul>{''.join(f'<li><a href=/{a}>{a}</a> {b}</li>' for a, b in items)}</ul></div></body>", "\n".join([f"List {k}", *(f"{a} {b}" for a, b in items)]))
+            add(f"https://same{pages}.example/{k}", f"<body><div class=story><h1>Same</h1><p>{one[0]}</p></div><nav>{k}</nav></body>", f"Same\n{one[0]}")
+    found = dict(got(html_text.extract_html(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id", "main_text"))
+    assert {k: found[k] for k in want if found[k] != want[k]} == {}
+
+
 def test_pages_are_parsed_in_linear_time():
     n = 30_000
     for page in ("<b>" * n + "</i>" * n, '<p title="' * n, "<p><div>" + "<b>" * n + "<hr>" * n, "<table><tr><td><table>" + "<b>" * n + "<td></td>" * n, '<p title="abc>two ' * n + '"'):
