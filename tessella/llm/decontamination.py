@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.llm.common import arrow, arrow_schema, batch_of, carried, slices, table, utf8
+from tessella.llm.common import arrow, arrow_schema, batch_of, carried, cut, slices, table, utf8
 from tessella.llm.words import ALNUM_LOWERED, grams, inside, words
 
 FILTER_BITS = 22
@@ -210,34 +212,36 @@ def _scan(key: str, items: list[tuple[str | None, str]], window: int, text_col:
             buf, bounds = utf8(batch.column(at_text))
             start, end, hashes, at = words(buf, bounds, ALNUM_LOWERED)
             found = search(hashes, at)
-            spans = [list(map(tuple, np.reshape(x or [], (-1, 2)).tolist())) for x in batch.column(batch.schema.get_field_index("_spans")).to_pylist()]
+            if not last:
+                hit = sorted(found)
+                columns = {c: batch.column(batch.schema.get_field_index(c)).take(pa.array(hit, pa.int64())) for c in carry}
+                yield batch_of(schema, columns | {"_spans": [[x for s in merged(found[k][0]) for x in s] for k in hit], "_items": [sorted(found[k][1] - {None}) for k in hit]})
+                continue
+            spans = [merged(list(map(tuple, np.reshape(x or [], (-1, 2)).tolist()))) for x in batch.column(batch.schema.get_field_index("_spans")).to_pylist()]
             names = [set(x or ()) for x in batch.column(batch.schema.get_field_index("_items")).to_pylist()]
             for k, (more, who) in found.items():
                 spans[k] = merged(spans[k] + more)
                 names[k] |= who - {None}
             columns = {c: batch.column(batch.schema.get_field_index(c)) for c in carry}
             columns |= {"_spans": [[x for s in y for x in s] for y in spans], "_items": [sorted(x) for x in names]}
-            if last:
-                n_words, n_hit = np.diff(at), np.array([sum(b - a for a, b in s) for s in spans], np.int64)
-                bad = (n_hit > 0) & (100 * n_hit >= percent * n_words)
-                columns |= {"n_words": n_words, "n_hit": n_hit, "contaminated": bad, "longest": np.array([max((b - a for a, b in s), default=0) for s in spans], np.int64)}
-                if clean:
-                    texts = batch.column(at_text).to_pylist()
-                    for k in np.flatnonzero(bad).tolist():
-                        raw, kept, here = buf[bounds[k] : bounds[k + 1]].tobytes(), [], 0
-                        for a, b in spans[k]:
-                            kept.append(raw[here : start[at[k] + a] - bounds[k]])
-                            here = int(end[at[k] + b - 1] - bounds[k])
-                        texts[k] = b"".join([*kept, raw[here:]]).decode()
-                    columns["clean_text"] = texts
-            else:
-                columns[text_col] = batch.column(at_text)
+            n_words, n_hit = np.diff(at), np.array([sum(b - a for a, b in s) for s in spans], np.int64)
+            bad = (n_hit > 0) & (100 * n_hit >= percent * n_words)
+            columns |= {"n_words": n_words, "n_hit": n_hit, "contaminated": bad, "longest": np.array([max((b - a for a, b in s), default=0) for s in spans], np.int64)}
+            if clean:
+                texts = batch.column(at_text).to_pylist()
+                for k in np.flatnonzero(bad).tolist():
+                    raw, kept, here = buf[bounds[k] : bounds[k + 1]].tobytes(), [], 0
+                    for a, b in spans[k]:
+                        kept.append(raw[here : start[at[k] + a] - bounds[k]])
+                        here = int(end[at[k] + b - 1] - bounds[k])
+                    texts[k] = b"".join([*kept, raw[here:]]).decode()
+                columns["clean_text"] = texts
             yield batch_of(schema, columns)
 
     return scan
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", text_col: str = "text", carry: list[str] | None = None, window: int = 13, percent: int = 5, clean: bool = False, block_mb: int = 8) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", text_col: str = "text", carry: list[str] | None = None, window: int = 13, percent: int = 5, clean: bool = False, block_mb: float = 8, broadcast_mb: int = 64) -> DataFrame:
     """Find the words of ``docs`` that lie in a window of ``window`` item words (or in a whole item of fewer).
 
     Returns ``carry`` with n_words, n_hit, longest (words of the longest stretch of hits), items (ids as strings),
@@ -247,21 +251,31 @@ def decontaminate(docs: DataFrame, items: DataFrame, item_id: str = "item_id", i
     No items, or no documents, gives no hits. A carried column with the name of a result gives way to it.
 
     The items are the stated query set. They go out in blocks of at most about ``block_mb`` of text, one pass over the
-    documents a block, so that an automaton's size is bounded whatever the number of items (some 45 bytes a byte of items, built once a worker); documents are never shuffled.
+    documents a block, so that an automaton's size is bounded whatever the number of items (some 45 bytes a byte of items, built once a worker). With several blocks
+    the rows are written once with numbers, and each pass but the last writes the spans and items of the rows with hits alone, so a task holds one automaton; these hits meet the rows again in the last pass.
+    Documents are not shuffled unless the hits of the earlier blocks are more than ``broadcast_mb`` (counted).
     """
     carry = carried(docs, carry, text_col, ("n_words", "n_hit", "longest", "items", "contaminated", "clean_text"))
     items = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // (block_mb << 20)))
-    df = docs.select(*dict.fromkeys([*carry, text_col]), F.lit(None).cast("array<int>").alias("_spans"), F.lit(None).cast("array<string>").alias("_items"))
-    for b in range(blocks):
-        last = b == blocks - 1
+    blocks = max(1, math.ceil(total / (block_mb * (1 << 20))))
+    found = [T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))]
+
+    def scanned(df: DataFrame, b: int, keep: list[str], results: list[T.StructField], last: bool) -> DataFrame:
         block = [(r["id"], r["t"]) for r in items.filter(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b).collect()]
-        fields = [df.schema[c] for c in dict.fromkeys([*carry, *([] if last else [text_col])])] + [T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))]
-        if last:
-            fields += [T.StructField(c, T.LongType()) for c in ("n_words", "n_hit", "longest")] + [T.StructField("contaminated", T.BooleanType())] + [T.StructField("clean_text", T.StringType())] * clean
-        schema = T.StructType(fields)
-        df = arrow(df, _scan(uuid.uuid4().hex, block, window, text_col, carry, arrow_schema(schema), last, percent, clean), schema)
+        schema = T.StructType([*(df.schema[c] for c in keep), *found, *results])
+        return arrow(df, _scan(uuid.uuid4().hex, block, window, text_col, keep, arrow_schema(schema), last, percent, clean), schema)
+
+    df = docs.select(*dict.fromkeys([*carry, text_col]), *(F.lit(None).cast(f.dataType).alias(f.name) for f in found))
+    if blocks > 1:
+        rows = cut(docs.select(*dict.fromkeys([*carry, text_col]), F.monotonically_increasing_id().alias("_row")), "decontamination-rows")
+        hits = [cut(scanned(rows.select("_row", text_col), b, ["_row"], [], False), "decontamination-hits") for b in range(blocks - 1)]
+        together = [F.flatten(F.collect_list(f.name)).alias(f.name) for f in found]
+        earlier = cut(reduce(DataFrame.unionByName, hits).groupBy("_row").agg(*together), "decontamination-earlier")
+        size = earlier.agg(F.coalesce(F.sum(64 + 4 * F.size("_spans") + F.octet_length(F.concat_ws("", "_items")) + 16 * F.size("_items")), F.lit(0))).first()[0]
+        df = rows.join(F.broadcast(earlier) if size <= broadcast_mb << 20 else earlier, "_row", "left")
+    results = [T.StructField(c, T.LongType()) for c in ("n_words", "n_hit", "longest")] + [T.StructField("contaminated", T.BooleanType())] + [T.StructField("clean_text", T.StringType())] * clean
+    df = scanned(df, blocks - 1, carry, results, True)
     return df.withColumnRenamed("_items", "items").drop("_spans")
 
 

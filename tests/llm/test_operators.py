@@ -171,6 +171,13 @@ def test_decontamination(spark, docs, rows):
         found = decontamination.decontaminate(docs, frame, carry=["doc_id"], clean=True, block_mb=blocks) if blocks == 16 else _blocked(docs, frame)
         keyed = found.select("doc_id", "n_words", "n_hit", F.size("items").alias("n"), F.sha2(F.concat_ws(",", "items"), 256).alias("s"), "contaminated")
         assert got(keyed, "doc_id", "n_words", "n_hit", "n", "s", "contaminated") == want
+    # Several blocks by a small bound: each pass is a job of its own, so that no task holds two automata, and hits of all blocks come together.
+    found = decontamination.decontaminate(docs, frame, carry=["doc_id"], clean=True, block_mb=0.001)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("(?i)MapInArrow", plan)) == 1
+    assert got(found.select("doc_id", "n_words", "n_hit", F.size("items").alias("n"), F.sha2(F.concat_ws(",", "items"), 256).alias("s"), "contaminated"), "doc_id", "n_words", "n_hit", "n", "s", "contaminated") == want
+    whole = decontamination.decontaminate(docs, frame, carry=["doc_id"], clean=True)
+    assert got(found, "doc_id", "longest", "clean_text") == got(whole, "doc_id", "longest", "clean_text")
     assert decontamination.decontaminate(docs, frame.limit(0)).filter("n_hit > 0").count() == 0
     assert decontamination.decontaminate(docs.limit(0), frame).count() == 0 and decontamination.decontaminate(docs.union(docs), frame).count() == 2 * len(rows)
 
