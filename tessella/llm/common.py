@@ -72,17 +72,22 @@ def carried(docs: DataFrame, carry: list[str] | None, text_col: str, results: tu
     return [c for c in dict.fromkeys(names) if c not in results and not c.startswith("_")]
 
 
-def hash_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int, most_kinds: int = 256) -> DataFrame:
-    """About the ``per_kind`` rows with the least hash of the id of each ``kind``, repeated ids once; of the ``most_kinds`` most frequent kinds.
+def hash_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int, most_rows: int = 153_600) -> DataFrame:
+    """About the ``per_kind`` rows with the least hash of the id of each ``kind``, repeated ids once; fewer of each, but of every kind, where all kinds' would be more than ``most_rows``.
 
-    Kinds are counted first, and a cut through the hashes, before any shuffle, leaves a few times ``per_kind`` of each to rank, however many rows
+    More kinds than ``most_rows`` are no classes to learn: they raise a ValueError. Kinds are counted first, and a cut through the hashes, before any shuffle, leaves a few times ``per_kind`` of each to rank, however many rows
     there are. Ranks are taken within ``SAMPLE_SPREAD`` groups of ids, so that a kind is not one task's.
     """
     return_memory()  # what is sampled is learned from in this process
     rows = rows.select(id_col, kind, F.pmod(F.xxhash64(id_col), F.lit(1 << 40)).alias("_h"))
-    counts = rows.groupBy(F.col(kind).alias("_kind")).agg(F.approx_count_distinct("_h").alias("_n")).orderBy(F.desc("_n"), "_kind").limit(most_kinds)
+    counts = cut(rows.groupBy(F.col(kind).alias("_kind")).agg(F.approx_count_distinct("_h").alias("_n")), "sample-kinds")
+    kinds, longest = counts.agg(F.count("*"), F.coalesce(F.max(F.octet_length(F.col("_kind").cast("string"))), F.lit(0))).first()
+    if kinds > most_rows:
+        raise ValueError(f"{kinds} values of {kind} are more than the {most_rows} rows that may be learned from")
+    per_kind = max(1, min(per_kind, most_rows // max(1, kinds)))
     share = F.least(F.lit(1.0), (4 * per_kind + 64) / F.col("_n"))
-    near = rows.join(F.broadcast(counts), F.col(kind) == F.col("_kind")).filter(F.col("_h") < share * (1 << 40)).select(id_col, kind, "_h").distinct()
+    counts = F.broadcast(counts) if kinds * (longest + 24) <= 64 << 20 else counts
+    near = rows.join(counts, F.col(kind) == F.col("_kind")).filter(F.col("_h") < share * (1 << 40)).select(id_col, kind, "_h").distinct()
     each = -(-per_kind // SAMPLE_SPREAD)
     return near.withColumn("_r", F.expr(f"row_number() OVER (PARTITION BY {kind}, _h % {SAMPLE_SPREAD} ORDER BY _h, {id_col})")).filter(F.col("_r") <= each).select(id_col, kind)
 

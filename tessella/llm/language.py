@@ -40,7 +40,7 @@ def sums(buf: np.ndarray, bounds: np.ndarray, weights: np.ndarray, piece: int =
     total, count = np.zeros((len(bounds) - 1, weights.shape[1])), np.zeros(len(bounds) - 1, np.int64)
     for lo in range(0, len(buf), piece):
         hi = min(len(buf), lo + piece + max(ORDERS) - 1)
-        text = folded(buf[lo:hi])
+        text = folded(buf[max(lo - 1, 0) : hi])[min(lo, 1) :]  # a capital's first byte may lie in the piece before
         for order in ORDERS:
             n = min(piece, len(buf) - lo, len(text) - order + 1)
             if n <= 0:

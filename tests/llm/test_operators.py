@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on tables with nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -10,9 +11,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from tessella.llm import decontamination, exact, html_text, language, mixing, near, quality, secrets, shards, substrings
+from tessella.llm import common, decontamination, exact, html_text, language, mixing, near, quality, secrets, shards, substrings
 from tessella.llm import words as w
 from tessella.llm.common import utf8
 
@@ -336,6 +338,83 @@ def test_language_rejects_what_is_none_of_the_learned(spark):
     assert all(found[d].rejected for d, _, _ in other)
 
 
+def _language_plainly(model, text):
+    """Language and share of a text, byte by byte."""
+    raw = list(text.encode())
+    out = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in raw]
+    for i in range(1, len(raw)):
+        if raw[i - 1] == 0xC3 and 0x80 <= raw[i] <= 0x9E and raw[i] != 0x97:
+            out[i] += 0x20
+    total, n = [0.0] * (len(model.langs) + 1), 0
+    for order in language.ORDERS:
+        for i in range(len(out) - order + 1):
+            gram = out[i : i + order]
+            if any(b != 32 for b in gram):
+                key = np.array([int.from_bytes(bytes(gram), "big") + order], np.uint64)
+                row = model.weights[int(language.mixed(key)[0]) >> (64 - language.BUCKET_BITS)]
+                total, n = [t + float(w) for t, w in zip(total, row, strict=True)], n + 1
+    logits = [(t / max(n, 1) + float(b)) / model.temperature for t, b in zip(total, model.bias, strict=True)]
+    shares = [math.exp(z - max(logits)) for z in logits]
+    shares = [x / sum(shares) for x in shares][:-1]
+    return model.langs[shares.index(max(shares))], max(shares)
+
+
+def test_language_by_brute_force(spark, monkeypatch):
+    """Spark's predictions are the plain ones, in whatever batches and pieces; repeated rows agree, and equal confidences go to the first language."""
+    rng = random.Random(8)
+    rows = [(k, ("El niño está aquí " if k % 2 else "Das Mädchen GEHT ÜBER ") + prose(rng, rng.randrange(0, 60)), "es" if k % 2 else "de") for k in range(80)]
+    rows += [(100, "a", None), (101, "ÄÖÜ ×", None), (102, "語 ñ", None), (103, "x" * 300, "de"), (103, "x" * 300, "de")]
+    kept = []
+    real = language.fit
+    monkeypatch.setattr(language, "fit", lambda r: kept.append(real(r)) or kept[-1])
+    found = language.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    texts = {d: t for d, t, _ in rows}
+    assert len(found) == len(rows) and len({(r.lang_pred, r.score, r.rejected) for r in found if r.doc_id == 103}) == 1
+    for r in found:
+        lang, score = _language_plainly(kept[0], texts[r.doc_id])
+        assert (r.lang_pred, r.rejected) == (lang, r.score < kept[0].threshold) and r.score == pytest.approx(score, abs=1e-6)
+    buf, bounds = language.joined([t.encode() for _, t, _ in rows])
+    whole, pieces = (language.sums(buf, bounds, kept[0].weights, piece) for piece in (1 << 17, 97))
+    assert np.allclose(whole[0], pieces[0], atol=1e-6) and (whole[1] == pieces[1]).all()
+    even = language.Model(["aa", "bb"], np.zeros((1 << language.BUCKET_BITS, 3), np.float32), np.zeros(3))
+    best, share = even.predict(*language.joined([b"some text"]))
+    assert best.tolist() == [0] and share.tolist() == [pytest.approx(1 / 3)]
+
+
+def test_samples_bound_rows_not_kinds(spark):
+    """Every kind is learned from, with fewer rows each where there are many; more kinds than rows raise."""
+    rows = spark.range(3000).select("id", F.concat(F.lit("k"), F.col("id") % 300).alias("kind"))
+    few = common.hash_sample(rows.union(rows), "kind", "id", 600, most_rows=900).groupBy("kind").count().collect()
+    assert len(few) == 300 and all(1 <= r["count"] <= 10 for r in few)
+    assert common.hash_sample(rows, "kind", "id", 600).count() == 3000
+    with pytest.raises(ValueError, match="300 values"):
+        common.hash_sample(rows, "kind", "id", 600, most_rows=299)
+    assert common.hash_sample(rows.limit(0), "kind", "id", 600).count() == 0
+
+
+def test_quality_by_brute_force(spark, monkeypatch):
+    """Spark's scores are those of compressing block by block with a new compressor each time; repeated rows agree."""
+    rng = random.Random(4)
+    rows = [(k, prose(rng, 40) if k % 2 else " ".join(rng.choice(["buy", "now", "cheap", "pills"]) for _ in range(60)), k % 2) for k in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(90, None), (91, ""), (92, prose(rng, 3000)), (5, rows[5][1])], "doc_id bigint, text string")
+    kept = []
+    real = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda r: kept.append(real(r)) or kept[-1])
+    found = quality.quality(docs, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id bigint, quality int")).collect()
+    model, texts = kept[0], {r.doc_id: r.text or "" for r in docs.collect()}
+    assert len(found) == 64 and len({(r.score, r.predicted) for r in found if r.doc_id == 5}) == 1
+    for r in found:
+        raw, sizes = texts[r.doc_id].encode(), []
+        for dictionary in model.dictionaries:
+            d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes.append(sum(len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress(raw[k : k + quality.BLOCK])) for k in range(0, len(raw), quality.BLOCK)))
+        bad, good = sizes
+        x = [(bad - good) / (bad + good), math.log((bad + good) / (2 * len(raw)))] if raw else [0.0, 0.0]
+        u, v = (max(-6.0, min(6.0, (a - c) / s)) for a, c, s in zip(x, model.centre, model.scale, strict=True))
+        p = 1 / (1 + math.exp(-sum(c * t for c, t in zip(model.curve, [1, u, v, v * v, u * v], strict=True))))
+        assert r.score == pytest.approx(p, abs=1e-9) and r.predicted == (p >= 0.3) and r.difference == pytest.approx(x[0], abs=1e-12)
+
+
 def test_quality(spark, sf, docs):
     real, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     found = quality.quality(real, labels, language.fold("doc_id", 5) != 0, carry=["doc_id"]).join(labels, "doc_id")
