@@ -136,15 +136,15 @@ def parse(page: str) -> Node:
                 stack.nodes[-1].kids.append(m[0][9:].removesuffix("]]>"))
             continue
         tag = m[2].lower()
-        stop, at = _tag_end(page, at, astray)
+        stop, at = (at, at + 1) if page.startswith(">", at) else _tag_end(page, at, astray)
         if m[1]:
-            if k := stack.last((tag,)):
-                stack.close(k)
+            if places := stack.at.get(tag):
+                stack.close(places[-1])
             continue
         if tag == "html" or tag == "body" and stack.last(("body",)):
             continue
-        if tag in CLOSES_P and (k := stack.last(("p",))) > stack.blocks[-1]:
-            stack.close(k)
+        if tag in CLOSES_P and (places := stack.at.get("p")) and places[-1] > stack.blocks[-1]:
+            stack.close(places[-1])
         if tag in SIBLINGS:
             closed, within = SIBLINGS[tag]
             if (k := stack.last(closed)) > stack.last(within):
@@ -181,34 +181,49 @@ def measured(root: Node, hashes: bool) -> list[Node]:
     for x in order:
         order.extend(k for k in x.kids if k.__class__ is Node)
     for x in reversed(order):
-        parts, shapes = [x.tag, x.names], [x.tag, DIGITS.sub("0", x.names)]
+        parts, shapes = [x.tag, x.names], [x.tag, DIGITS.sub("0", x.names) if x.names else ""]
         core = False
+        size = linked = 0
         for k in x.kids:
-            if k.__class__ is Node:
-                x.size += k.size
-                x.linked += k.size if k.tag == "a" else k.linked
-                core, x.told = core or k.core, x.told or k.told
-                x.seen += k.seen if k.tag not in DROPPED or k.tag == "form" else 0
+            if k.__class__ is str:
+                text = " ".join(k.split())
+                size += len(text)
+                parts.append(text)
+            else:
+                size += k.size
+                linked += k.size if k.tag == "a" else k.linked
+                core = core or k.core
                 if hashes:
                     parts.append(f"\0{k.hash}")
                     if shapes[-1] != (shape := str(k.shape)):
                         shapes.append(shape)
-            else:
-                text = " ".join(k.split())
-                x.size += len(text)
-                x.seen += len(text)
-                parts.append(text)
+        x.size, x.linked = size, linked
         if x.tag in CORE and not x.marked:
             core = True
         x.core, x.marked = core, x.marked and not core
         if hashes:
             x.hash, x.shape = signed("\1".join(parts)), signed("\2".join(shapes))
-    for x in order:
-        if x.tag == "form" and (x.core or x.told and not root.core and 10 * x.seen >= 9 * root.seen):
-            x.tag = "div"
+    if forms := [x for x in order if x.tag == "form"]:
+        if not root.core:
+            shown(order)
+        for x in forms:
+            if x.core or x.told and 10 * x.seen >= 9 * root.seen:
+                x.tag = "div"
     return order
 
 
+def shown(order: list[Node]) -> None:
+    """The length of the text that each element shows, links among it, and whether it tells something, on a page without an article."""
+    for x in reversed(order):
+        x.seen = 0
+        for k in x.kids:
+            if k.__class__ is str:
+                x.seen += len(" ".join(k.split()))
+            elif k.tag not in DROPPED or k.tag == "form":
+                x.seen += k.seen
+                x.told = x.told or k.told
+
+
 def weighed(order: list[Node]) -> None:
     """The length of each element's plain text: what is in links, or goes by element, mark or template, aside."""
     for x in reversed(order):
@@ -301,23 +316,30 @@ def delete_template(root: Node, order: list[Node], template: frozenset[int]) ->
     """
     tops = articles(root)
     inner = {id(x) for x in within(tops)}
-    shapes = []
-    weighed(order)
-    before = [x.prose for x in tops]
+    shapes, cut_in = [], False
     for x, _, shaped in spots(root):
-        if not x.core and x.hash in template:
+        if x.hash in template and not x.core:
             x.gone = True
+            cut_in = cut_in or id(x) in inner
         elif shaped and x.shape in template and id(x) not in inner:
             shapes.append(x)
-    weighed(order)
-    for top, n in zip(tops, before, strict=True):
-        if 4 * top.prose < n:
-            for x in within([top]):
+    if cut_in:
+        weighed(order)
+        after = [x.prose for x in tops]
+        parts = [[x for x in within([top]) if x.gone] for top in tops]
+        for part in parts:
+            for x in part:
                 x.gone = False
-    story = set() if root.core else {id(x) for x in within([heaviest(root, "prose", 0.9)])}
+        weighed(order)
+        for top, n, part in zip(tops, after, parts, strict=True):
+            for x in part:
+                x.gone = 4 * n >= top.prose
+    if shapes and not root.core:
+        weighed(order)
+        story = {id(x) for x in within([heaviest(root, "prose", 0.9)])}
+        shapes = [x for x in shapes if 2 * x.prose < max(root.prose, 1) and (id(x) not in story or 10 * x.linked >= 9 * x.size)]
     for x in shapes:
-        x.gone = root.core or 2 * x.prose < max(root.prose, 1) and (id(x) not in story or 10 * x.linked >= 9 * x.size)
-    weighed(order)
+        x.gone = True
 
 
 def chosen(root: Node, order: list[Node]) -> list[Node]:
@@ -329,6 +351,9 @@ def chosen(root: Node, order: list[Node]) -> list[Node]:
     tops = articles(root)
     if not tops:
         return [root]
+    if len(tops) == 1 and any(x.tag == "h1" for x in within(tops)):
+        return tops
+    weighed(order)
     most = max(x.prose for x in tops)
     tops = [x for x in tops if 5 * x.prose >= most or not x.linked]
     if any(x.tag == "h1" for x in within(tops)):
@@ -404,10 +429,9 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     order = measured(root, bool(template))
     if template:
         delete_template(root, order, template)
-    else:
-        weighed(order)
     text = rendered(chosen(root, order), root.core)
-    if not text and not root.core and root.seen:
+    if not text and not root.core:
+        shown(order)
         story = heaviest(root, "seen", 0.5)
         story.marked = False
         for flag in ("gone", "marked"):
