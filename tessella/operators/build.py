@@ -35,9 +35,15 @@ def built(objects: DataFrame, edges: DataFrame, side: float) -> tuple[DataFrame,
     areas = all_drawn.filter("mode = 'osm_footprint'").select(F.col("id").alias("area"), F.col("seq").alias("area_seq"), F.col("kind").alias("_k"), F.col("name").alias("_n"), F.col("variant").alias("_v"))
     nodes = all_drawn.filter("node AND mode IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
     outlines = edges.withColumnRenamed("id", "area").join(areas.select("area"), "area", "left_semi")
-    within = lines.inside(nodes.select("id", "x", "y"), outlines, "id", "area", side)
-    same = F.col("kind").eqNullSafe(F.col("_k")) & F.col("name").eqNullSafe(F.col("_n")) & F.col("variant").eqNullSafe(F.col("_v"))
-    twins = within.join(nodes.select("id", "kind", "name", "variant"), "id").join(areas, "area").filter(same & (F.col("id") != F.col("area"))).groupBy("id").agg(F.min(F.struct("area_seq", "area")).alias("first")).select("id", "first.area")
+    # Nodes at one spot that are alike have one answer; only a node that is an area itself is asked for alone.
+    alike = ["x", "y", "kind", "name", "variant", "own"]
+    nodes = nodes.withColumn("own", F.when(F.col("mode") == "osm_footprint", F.col("id")))
+    spots = nodes.groupBy(*alike).agg(F.min("id").alias("spot"))
+    same = F.col("kind").eqNullSafe(F.col("_k")) & F.col("name").eqNullSafe(F.col("_n")) & F.col("variant").eqNullSafe(F.col("_v")) & ~F.col("own").eqNullSafe(F.col("area"))
+    first = lines.inside(spots, outlines, "spot", "area", side).join(spots, "spot").join(areas, "area").filter(same).groupBy(*alike).agg(F.min(F.struct("area_seq", "area")).alias("first"))
+    first = first.select(*[F.col(c).alias(f"_{c}") for c in alike], "first.area")
+    meets = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in alike]
+    twins = nodes.join(first, meets).select("id", "area")
     twins = cut(twins, "build-twins")
     aliases = twins.groupBy(F.col("area").alias("id")).agg(F.array_sort(F.collect_list("id")).alias("aliases"))
     places = all_drawn.filter("mode IS NOT NULL").join(twins, "id", "left_anti").join(aliases, "id", "left").select("id", "kind", "name", "mode", "x", "y", F.coalesce("aliases", F.array().cast(aliases.schema["aliases"].dataType)).alias("aliases"))
