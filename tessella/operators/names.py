@@ -25,34 +25,45 @@ def _edits(first: Column, second: Column, cutoff: float) -> Column:
     return F.floor((1 - cutoff) * (first + second) + 1e-9)
 
 
+def _letters(text: str) -> Column:
+    """64 bits about a text's characters: whether one of each of 32 kinds is there, and whether two are. One insertion or deletion changes one bit at most."""
+    bit = "shiftleft(1L, 2 * (ascii(c) % 32))"
+    return F.expr(f"aggregate(filter(split({text}, ''), c -> c <> ''), 0L, (m, c) -> m | if((m & {bit}) = 0, {bit}, shiftleft({bit}, 1)))")
+
+
 def close_matches(tokens: DataFrame, names: DataFrame, token: str, name: str, n: int = 2, cutoff: float = 0.9) -> DataFrame:
     """(token, name, ratio, rank): the ``n`` names most like each token, of those whose ratio of matching blocks is ``cutoff`` or more; of equal ratios the later name.
 
     The ratio is twice the characters in matching blocks (the longest one, then the longest on either side of it, and so on) over all characters. Matching blocks are a common
     subsequence, so texts of a ratio are few insertions and deletions apart; of two more pieces of the name than that, two at least stand unbroken in the token, shifted by as many places at most. Tokens
-    and names therefore meet by equal pieces, number of the piece and lengths, and pairs with two such pieces are kept; characters that both have bound the ratio next, and only what is left is matched block by block. No pair is lost and no product is made.
+    and names therefore meet by equal pieces, number of the piece and lengths, where bits about their characters don't differ in more places than that, and pairs with two such pieces are kept; characters that both have bound the ratio next, and only what is left is matched block by block. No pair is lost and no product is made.
 
     Null and repeated texts count once; empty ones match nothing. A ratio of two thirds or less would need more pieces than characters and is refused.
     """
     if not 2 / 3 < cutoff <= 1:
         raise ValueError("cutoff must be above two thirds")
     ship(tokens.sparkSession)
-    t = tokens.select(F.col(token).alias("_t")).filter("_t <> ''").distinct().withColumn("_tl", F.length("_t"))
-    w = names.select(F.col(name).alias("_w")).filter("_w <> ''").distinct().withColumn("_wl", F.length("_w"))
+    t = tokens.select(F.col(token).alias("_t")).filter("_t <> ''").distinct().withColumns({"_tl": F.length("_t"), "_tb": _letters("_t")})
+    w = names.select(F.col(name).alias("_w")).filter("_w <> ''").distinct().withColumns({"_wl": F.length("_w"), "_wb": _letters("_w")})
+    # Few bytes become very many rows, so their parts are not put together by bytes.
+    width = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    t, w = t.repartition(width), w.repartition(width)
     # A name is filed for every length that a partner may have.
     ratio = cutoff / (2 - cutoff)
     span = lambda c: F.sequence(F.ceil(F.col(c) * ratio - 1e-9), F.floor(F.col(c) / ratio + 1e-9))
     filed = w.withColumn("_tl", F.explode(span("_wl"))).withColumn("_e", _edits(F.col("_tl"), F.col("_wl"), cutoff))
     filed = filed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_e") + 1)))
     start, length = _pieces(F.col("_wl"), F.col("_k"), F.col("_e") + 2)
-    filed = filed.withColumn("_p", F.col("_w").substr(start.cast("int"), length.cast("int"))).filter("_p <> ''").select("_w", F.col("_wl").cast("bigint"), "_tl", "_k", "_p", F.least(F.col("_wl") - F.col("_e"), F.lit(2)).alias("_least"))
+    filed = filed.withColumn("_p", F.col("_w").substr(start.cast("int"), length.cast("int"))).filter("_p <> ''").select("_w", "_wb", "_e", F.col("_wl").cast("bigint"), "_tl", "_k", "_p", F.least(F.col("_wl") - F.col("_e"), F.lit(2)).alias("_least"))
     asked = t.withColumn("_tl", F.col("_tl").cast("bigint")).withColumn("_wl", F.explode(span("_tl"))).withColumn("_e", _edits(F.col("_tl"), F.col("_wl"), cutoff))
     asked = asked.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_e") + 1)))
     start, length = _pieces(F.col("_wl"), F.col("_k"), F.col("_e") + 2)
-    asked = asked.withColumns({"_s": start, "_n": length}).filter("_n BETWEEN 1 AND _tl").withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(1).cast("bigint"), F.col("_s") - F.col("_e")), F.greatest(F.lit(1).cast("bigint"), F.least(F.col("_tl") - F.col("_n") + 1, F.col("_s") + F.col("_e"))))))
-    asked = asked.select("_t", "_tl", "_wl", "_k", F.col("_t").substr(F.col("_at").cast("int"), F.col("_n").cast("int")).alias("_p")).distinct()
+    asked = asked.withColumns({"_s": start, "_n": length}).filter("_n BETWEEN 1 AND _tl")
+    first, last = F.greatest(F.lit(1).cast("bigint"), F.col("_s") - F.col("_e")), F.greatest(F.lit(1).cast("bigint"), F.least(F.col("_tl") - F.col("_n") + 1, F.col("_s") + F.col("_e")))
+    shifted = F.transform(F.sequence(first, last), lambda at: F.col("_t").substr(at.cast("int"), F.col("_n").cast("int")))
+    asked = asked.select("_t", "_tb", "_tl", "_wl", "_k", F.explode(F.array_distinct(shifted)).alias("_p"))
     # A name with fewer characters than pieces has an empty one, which nothing can break.
-    pairs = asked.join(filed, ["_tl", "_wl", "_k", "_p"]).groupBy("_t", "_w").agg(F.countDistinct("_k").alias("_met"), F.first("_least").alias("_least")).filter("_met >= _least").select("_t", "_w")
+    pairs = asked.join(filed, ["_tl", "_wl", "_k", "_p"]).filter("bit_count(_tb ^ _wb) <= _e").groupBy("_t", "_w").agg(F.countDistinct("_k").alias("_met"), F.first("_least").alias("_least")).filter("_met >= _least").select("_t", "_w")
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
