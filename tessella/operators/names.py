@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -78,36 +79,67 @@ def close_matches(tokens: DataFrame, names: DataFrame, token: str, name: str, n:
     return ranked.select(F.col("_t").alias(token), F.col("_w").alias(name), "ratio", "rank")
 
 
+#: Bits of a filter of names, a multiple of those of Spark's bitmaps.
+FILTER = 2**22
+_WORD = re.compile(r"\w+")
+
+
+def _filter(df: DataFrame, text: str) -> dict[int, bytes]:
+    """The bits of all texts' hashes, in Spark's bitmaps of 32,768 bits by number: half a MB at most, whatever the number of texts."""
+    bit = F.crc32(F.col(text).cast("binary")) % FILTER
+    rows = df.select(bit.alias("b")).groupBy(F.floor(F.col("b") / 32768).alias("n")).agg(F.bitmap_construct_agg(F.col("b") % 32768).alias("bits")).collect()
+    return {r.n: bytes(r.bits) for r in rows}
+
+
+def _passes(found: dict[int, bytes], text: str) -> bool:
+    bit = crc32(text.encode()) % FILTER
+    bits = found.get(bit >> 15)
+    return bits is not None and bool(bits[(bit & 32767) >> 3] >> (bit & 7) & 1)
+
+
 def dictionary_matches(docs: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
     """(id, name, start, end) of the dictionary's names in normalised texts: from left to right the longest at each place, whole words only, none inside another.
 
-    ``names`` has one column; names are compared word by word, in normal form, and come back as their words with blanks between. The dictionary may be of any size: first words are
-    joined with the texts' words, and then what follows them with the names, so it is dealt out like the texts; Spark broadcasts it only where it is small. Repeated rows are
-    matched each for itself; null and empty texts and names match nothing.
+    ``names`` has one column; names are compared word by word, in normal form, and come back as their words with blanks between. The dictionary may be of any size: where a name
+    begins with a word, what a filter of ``FILTER`` bits of the names' hashes lets through becomes a row, and these are joined with the names, so a collision adds nothing. A larger
+    dictionary lets more through, but loses nothing. Repeated rows are matched each for itself; null and empty texts and names match nothing.
     """
     ship(docs.sparkSession)
     known = names.select(F.regexp_extract_all(normalised(F.col(names.columns[0])), F.lit(r"(?U)(\w+)"), F.lit(1)).alias("n")).filter("size(n) > 0").select(F.size("n").alias("words"), F.element_at("n", 1).alias("head"), F.array_join("n", " ").alias("name")).distinct()
-    most = known.agg(F.max("words")).first()[0] or 1
-    heads = known.groupBy("head").agg(F.collect_set("words").alias("sizes"))
+    sizes = sorted(r.words for r in known.select("words").distinct().collect())
+    heads, whole = _filter(known, "head"), _filter(known, "name")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row for each word, with the words after it that a name might still have, and where each of them ends."""
-        columns = ("_row", "_id", "k", "head", "start", "tail", "ends")
+        """A row for each place and number of words at which a name may be."""
+        columns, begins = ("_row", "_id", "k", "words", "name", "start", "end"), {}
         for batch in batches:
             rows: list[tuple] = []
             for row, key, text in zip(batch["_row"], batch["_id"], batch["_text"], strict=True):
-                found = [(m[0], m.start(), m.end()) for m in re.finditer(r"\w+", text)]
-                words, ends = [w for w, _, _ in found], [e for _, _, e in found]
-                rows += [(row, key, k, words[k], start, " ".join(words[k : k + most]), ends[k : k + most]) for k, (_, start, _) in enumerate(found)]
+                words = _WORD.findall(text)
+                if len(begins) > 200_000:
+                    begins.clear()
+                for w in set(words):
+                    if w not in begins:
+                        begins[w] = _passes(heads, w)
+                if not any(begins[w] for w in words):
+                    continue
+                spans = None
+                for k, w in enumerate(words):
+                    if begins[w]:
+                        for n in sizes:
+                            if k + n > len(words):
+                                break
+                            name = " ".join(words[k : k + n])
+                            if _passes(whole, name):
+                                spans = spans or [m.span() for m in _WORD.finditer(text)]
+                                rows.append((row, key, k, n, name, spans[k][0], spans[k + n - 1][1]))
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
             yield pd.DataFrame(rows, columns=columns)
 
     texts = docs.select(F.col(id_col).cast("string").alias("_id"), F.monotonically_increasing_id().alias("_row"), normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
-    words = texts.mapInPandas(split, "_row bigint, _id string, k int, head string, start int, tail string, ends array<int>")
-    begun = words.join(heads, "head").select("_row", "_id", "k", "start", "tail", "ends", F.explode("sizes").alias("words")).filter("words <= size(ends)")
-    hits = begun.select("_row", "_id", "k", "start", "words", F.expr("substring_index(tail, ' ', words)").alias("name"), F.element_at("ends", F.col("words")).alias("end")).join(known.select("name", "words"), ["name", "words"])
+    hits = texts.mapInPandas(split, "_row bigint, _id string, k int, words int, name string, start int, end int").join(known.select("name", "words"), ["name", "words"])
     ordered = F.array_sort(F.collect_list(F.struct("k", (-F.col("words")).alias("less"), "name", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))))
     kept = F.expr("aggregate(hits, named_struct('next', 0, 'kept', filter(hits, h -> false)), (s, h) -> if(h.k < s.next, s, named_struct('next', h.k - h.less, 'kept', array_append(s.kept, h)))).kept")
     found = hits.groupBy("_row", "_id").agg(ordered.alias("hits")).select("_id", F.explode(kept).alias("h"))
