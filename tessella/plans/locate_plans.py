@@ -50,7 +50,6 @@ def located_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TESTS = m.TESTS["locative"]
-_REPLACED = f"translate({{0}}, '{mp.ACCENTS}', '{mp._plain(mp.ACCENTS)}')"
 
 _SQL = f"""WITH {placed_sql('cu', 'customer', 'c_custkey')},
 rd AS (SELECT 'ringweg ' || road AS name, outcome, x, y FROM ({g.QUERIES['street_points'][1]})),
@@ -64,7 +63,7 @@ se AS (SELECT id, nr, s || CASE WHEN s LIKE '%.' THEN '' ELSE '.' END AS s FROM
 sp AS (SELECT id, nr, s, string_split_regex(s, '(ringweg|haus) [0-9]+') AS gaps, regexp_extract_all(s, '(ringweg|haus) [0-9]+') AS ns FROM se),
 me AS (SELECT id, nr, s, ns[k] AS name, length(array_to_string(gaps[1 : k], '')) + length(array_to_string(ns[1 : k - 1], '')) AS start FROM (SELECT *, unnest(range(1, len(ns) + 1)) AS k FROM sp)),
 mg AS (SELECT me.*, kind FROM me JOIN ga USING (name)),
-h AS (SELECT id, nr, start, kind, {_REPLACED.format('substr(s, 1, start)')} AS lead, name, {_REPLACED.format('substr(s, start + length(name) + 1)')} AS rest FROM mg),
+h AS (SELECT id, nr, start, kind, {mp.replaced('substr(s, 1, start)')} AS lead, name, {mp.replaced('substr(s, start + length(name) + 1)')} AS rest FROM mg),
 {mp.CLAUSES_SQL}, {mp.CUES_SQL},
 ca AS (SELECT *, CASE WHEN headed THEN 0 WHEN act THEN 1 ELSE 2 END AS sort FROM (SELECT *, {mp.ROLE_SQL} AS role FROM q) WHERE role = 'primary' AND ({mp.condition_sql(_TESTS)})),
 be AS (SELECT id, min(struct_pack(sort := sort, nr := nr)) AS b FROM ca GROUP BY id),
@@ -79,7 +78,7 @@ o1 AS (SELECT id, CASE WHEN place = 'place' THEN 'named_place_representative' WH
  CASE WHEN place IS NOT NULL THEN site WHEN many > 1 THEN streets ELSE street END AS label, CASE WHEN place = 'place' THEN px WHEN place IS NOT NULL THEN NULL WHEN many > 1 THEN CASE WHEN meet THEN j.x END WHEN q IS NOT NULL THEN q.x WHEN road = 'located' THEN rx END AS x, CASE WHEN place = 'place' THEN py WHEN place IS NOT NULL THEN NULL WHEN many > 1 THEN CASE WHEN meet THEN j.y END WHEN q IS NOT NULL THEN q.y WHEN road = 'located' THEN ry END AS y FROM ow),
 pt AS (SELECT name, x, y FROM rd WHERE x IS NOT NULL UNION ALL SELECT name, x, y FROM pl WHERE x IS NOT NULL),
 cf AS (SELECT ot.id, NOT bool_and(coalesce((o1.x - pt.x) ** 2 + (o1.y - pt.y) ** 2 <= 62500, false)) AS conflict FROM ot JOIN o1 ON ot.id = o1.id LEFT JOIN pt ON pt.name = ot.name GROUP BY ot.id),
-fi AS (SELECT bo.id, CASE WHEN {mp._like('title', m.REVIEW)} AND {mp._like('title', m.THEMES)} AND {mp._like(_REPLACED.format('body'), m.COUNTED)} AND {mp._like('body', m.CONTROLS)} AND {mp._like('body', m.OFFENCES)} THEN 'multi_event_summary' WHEN len(regexp_extract_all(body, '\\b(tatort|unfallort|ort):')) > 1 THEN 'multiple_official_scenes' WHEN NOT EXISTS (SELECT 1 FROM mg WHERE mg.id = bo.id) THEN 'unmatched' WHEN o1.id IS NULL THEN 'no_scene_mention' WHEN conflict THEN 'conflicting_explicit_scenes' END AS early, o1.method, label, x, y FROM bo LEFT JOIN o1 ON o1.id = bo.id LEFT JOIN cf ON cf.id = bo.id)
+fi AS (SELECT bo.id, CASE WHEN {mp._like('title', m.REVIEW)} AND {mp._like('title', m.THEMES)} AND {mp._like(mp.replaced('body'), m.COUNTED)} AND {mp._like('body', m.CONTROLS)} AND {mp._like('body', m.OFFENCES)} THEN 'multi_event_summary' WHEN len(regexp_extract_all(body, '\\b(tatort|unfallort|ort):')) > 1 THEN 'multiple_official_scenes' WHEN NOT EXISTS (SELECT 1 FROM mg WHERE mg.id = bo.id) THEN 'unmatched' WHEN o1.id IS NULL THEN 'no_scene_mention' WHEN conflict THEN 'conflicting_explicit_scenes' END AS early, o1.method, label, x, y FROM bo LEFT JOIN o1 ON o1.id = bo.id LEFT JOIN cf ON cf.id = bo.id)
 SELECT id, coalesce(early, method) AS method, CASE WHEN early IS NULL THEN label END AS label, round(CASE WHEN early IS NULL THEN x END, 3) AS x, round(CASE WHEN early IS NULL THEN y END, 3) AS y FROM fi"""
 
 #: Titles and bodies of reports on cases; T is a time.
@@ -101,7 +100,7 @@ def case_followups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _case_sql() -> str:
     has = lambda column, pattern: mp._like(column, pattern)
-    plain = lambda c: _REPLACED.format(c)
+    plain = mp.replaced
     signatures = "list_filter([" + ", ".join(f"CASE WHEN {has('title', p)} THEN '{n}' END" for n, p in tx.SIGNATURES) + "], lambda x: x IS NOT NULL)"
     return rf"""WITH o AS (SELECT o_orderkey AS id, o_custkey AS c, {plain(mp._pick_sql(CASE_TITLES, 'o_orderkey * 7 + o_custkey'))} AS title, {plain(f"replace({mp._pick_sql(CASE_BODIES, 'o_orderkey * 5 + o_custkey')}, 'T', '01.01.2024, 1' || o_orderkey % 4 || ':00')")} AS body, CASE WHEN o_orderkey % 3 > 0 THEN lower(o_orderpriority) ELSE '' END AS area FROM orders),
 g AS (SELECT id, c, area, {has('title', fu.SEARCH)} AS search, {has('title', fu.SEARCH_OVER)} AND {has('body', fu.NO_OFFENCE)} AS search_over, {has('title', fu.ACCIDENT)} AS accident, {has('title', fu.DEATH_AFTER)} AND {has('body', fu.DIED)} AS died, {has('title', fu.UPDATE)} AND NOT {has('body', fu.OTHER_OFFENCE)} AS upd, {signatures} AS sg, list_distinct(regexp_extract_all(body, '\b(\d{{2}}\.\d{{2}}\.\d{{4}},?\s*\d{{1,2}}:\d{{2}})\b', 1)) AS tm FROM o),

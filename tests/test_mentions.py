@@ -1,8 +1,13 @@
 """Mentions of places in sentences: every role, every kind of heading and every word of the locative test, one case each."""
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import mentions as m
+from tessella.plans import mention_plans as mp
 
 NAME = "lindengasse"
 #: Before and after the name, and the role that the name then has.
@@ -127,3 +132,39 @@ def test_bounds(spark):
     ]
     rows = spark.createDataFrame([(k, s) for k, (s, _) in enumerate(cases)], "k int, s string").select("k", m.section_bounds(F.col("s")).alias("x")).orderBy("k").collect()
     assert [r.x or [] for r in rows] == [x for _, x in cases]
+
+
+#: Sentences with letters, blanks, digits and ends of lines beyond ASCII: query, sentence, column and its value.
+ODD = [
+    ("mention_contexts", "ein brand\u0161 war da", "scene", False),
+    ("mention_contexts", "ein brand\u0308 war da", "scene", False),
+    ("mention_contexts", "ein brand\u200b war da", "scene", True),
+    ("mention_contexts", "er stqrzte da", "scene", False),
+    ("mention_contexts", "es kam\u00a0es zum raub da", "scene", True),
+    ("mention_contexts", "es kam\x0bes zum raub da", "scene", True),
+    ("mention_contexts", "er fuhr\u2028schnell an, so da", "scene", True),
+    ("mention_contexts", "er fuhr an\u0085 so da", "scene", False),
+    ("mention_roles", "er wurde zur polizeidirektion \u0663 gebracht da", "role", "destination"),
+    ("mention_roles", "er \u00f8floh hier da", "role", "primary"),
+    ("mention_roles", "er hat\u2003gerufen: kontakt\u2003unter da", "role", "contact"),
+    ("mention_clauses", "d\u0130e wache war da", "before", 5),
+    ("mention_clauses", "die wache \u017eund\u3000er lief da", "length", 28),
+]
+
+
+@pytest.mark.parametrize("name", ["mention_roles", "mention_contexts", "mention_clauses"])
+def test_odd_letters(spark, tmp_path, name):
+    # These numbers of documents put nothing before the first sentence's name but its first word, and nothing right after it.
+    texts = [s for _, s, _, _ in ODD]
+    ids = [380 + 627 * k for k in range(len(texts))]
+    every = [(i, s) for i, s in zip(ids, texts, strict=True)] + [(10**6 + 40 * k + n, f"{s}. {s}") for k, s in enumerate(texts) for n in range(33)]
+    pq.write_table(pa.table({"doc_id": [i for i, _ in every], "text": [s for _, s in every]}), tmp_path / "documents.parquet")
+    query, sql = mp.QUERIES[name]
+    df = query(spark, str(tmp_path))
+    ours = {(r.doc_id, r.nr): r for r in df.collect()}
+    for i, (of, s, column, value) in zip(ids, ODD, strict=True):
+        assert of != name or ours[i, 0][column] == value, (s, ours[i, 0])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    theirs = con.execute(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall()
+    assert sorted(map(tuple, ours.values())) == sorted(theirs)
