@@ -62,7 +62,8 @@ def _lower(text: str) -> str:
 
 
 def _picked(values: tuple[str, ...], by: str) -> F.Column:
-    return F.element_at(F.array(*map(F.lit, values)), F.expr(f"int(pmod({by}, {len(values)})) + 1"))
+    """One of the values in turn, whatever the number's sign; the first where there is none."""
+    return F.element_at(F.array(*map(F.lit, values)), F.expr(f"int(pmod(coalesce({by}, 0), {len(values)})) + 1"))
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +105,7 @@ def _list(values: tuple[str, ...]) -> str:
 
 
 def _pick_sql(values: tuple[str, ...], by: str) -> str:
-    return f"list_extract({_list(values)}, CAST(({by}) % {len(values)} AS INT) + 1)"
+    return f"list_extract({_list(values)}, CAST((coalesce({by}, 0) % {len(values)} + {len(values)}) % {len(values)} AS INT) + 1)"
 
 
 def _like(text: str, pattern: str) -> str:

@@ -168,3 +168,19 @@ def test_odd_letters(spark, tmp_path, name):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
     theirs = con.execute(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall()
     assert sorted(map(tuple, ours.values())) == sorted(theirs)
+
+
+@pytest.mark.parametrize("name", ["mention_roles", "mention_contexts", "mention_clauses"])
+def test_odd_numbers(spark, tmp_path, name):
+    # Documents below zero take the phrases in turn too, and one without a number the first of each.
+    every = [(i, f"Ein Mann lief {i} Mal fort. Er blieb hier") for i in (*range(-40, 3), None)]
+    pq.write_table(pa.table({"doc_id": pa.array([i for i, _ in every], pa.int64()), "text": [s for _, s in every]}), tmp_path / "documents.parquet")
+    query, sql = mp.QUERIES[name]
+    df = query(spark, str(tmp_path))
+    ours = [tuple(r) for r in df.collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    theirs = con.execute(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall()
+    assert sorted(ours, key=repr) == sorted(theirs, key=repr)
+    assert len(ours) == 2 * len(every)
+    assert name != "mention_roles" or (None, 0, "primary") in ours
