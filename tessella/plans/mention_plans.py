@@ -69,7 +69,7 @@ def _picked(values: tuple[str, ...], by: str) -> F.Column:
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, nr (number of the sentence), sentence, start and end: the last word of every sentence of a document, named again after its first word, between two phrases."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.lower(F.regexp_replace("text", r"[\r\n\t]+", " ")), r"[.!?] +")).alias("nr", "s"))
-    words = docs.select("doc_id", "nr", F.regexp_extract("s", "^([^ ]*)", 1).alias("first"), F.regexp_extract("s", "([^ ]*)$", 1).alias("name"), "s").filter("length(s) >= 3")
+    words = docs.select("doc_id", "nr", F.substring_index("s", " ", 1).alias("first"), F.substring_index("s", " ", -1).alias("name"), "s").filter("length(s) >= 3")
     said = words.select("doc_id", "nr", "name", F.concat_ws(" ", "first", _picked(LEFT, "doc_id * 31 + nr * 17")).alias("lead"), _picked(RIGHT, "doc_id * 7 + nr * 5").alias("right"), F.substr("s", F.length("first") + 1).alias("rest"))
     return said.select("doc_id", "nr", F.concat("lead", "name", "right", "rest").alias("sentence"), F.length("lead").alias("start"), (F.length("lead") + F.length("name")).alias("end"))
 
@@ -80,8 +80,7 @@ def mention_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mention_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of each mention's clause, and where the mention is in it."""
-    found = _mentions(spark, sf_dir).select("doc_id", "nr", m.clause(F.col("sentence"), F.col("start"), F.col("end")).alias("c"))
-    return found.select("doc_id", "nr", F.length("c.before").alias("before"), F.length(F.concat("c.before", "c.name", "c.after")).alias("length"))
+    return _mentions(spark, sf_dir).select("doc_id", "nr", m.clause_lengths(F.col("sentence"), F.col("start"), F.col("end")).alias("c")).select("doc_id", "nr", "c.before", "c.length")
 
 
 def mention_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
