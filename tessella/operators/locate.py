@@ -6,6 +6,8 @@ without one scene, or whose scene has no one place, gets the name of the reason
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,10 +48,11 @@ def scenes(mentions: DataFrame) -> DataFrame:
     return same.filter("nr = scene").select("id", "nr", "start", "name", "kind", "rest").join(other.groupBy("id").agg(F.collect_list("other").alias("others")), "id", "left")
 
 
-def located(reports: DataFrame, gazetteer: DataFrame, roads: DataFrame, junctions: DataFrame, places: DataFrame, addresses: DataFrame) -> DataFrame:
+def located(reports: DataFrame, gazetteer: DataFrame, roads: DataFrame, junctions: Callable[[DataFrame], DataFrame], places: DataFrame, addresses: DataFrame) -> DataFrame:
     """(id, method, label, x, y): for every report (id, title, body) the first outcome of the ladder that applies, with a point where there is one.
 
-    ``gazetteer``: name, kind ("street" or "place"). ``roads``: name, outcome ("located", "long", "disconnected"), x, y. ``junctions``: road, other (names, road < other), x, y.
+    ``gazetteer``: name, kind ("street" or "place"). ``roads``: name, outcome ("located", "long", "disconnected"), x, y. ``junctions``: a function of pairs of
+    roads (road, other: names, road < other; each once) that gives those with a junction, with x and y, so that only pairs that reports name are worked out.
     ``places``: name, outcome ("place", "ambiguous", "wide"), x, y. ``addresses``: name, number, x, y, with one row each.
 
     In turn: a report of totals is ``multi_event_summary``; of several official headings, ``multiple_official_scenes``; without a known name, ``unmatched``; with names but no
@@ -70,7 +73,8 @@ def located(reports: DataFrame, gazetteer: DataFrame, roads: DataFrame, junction
 
     rows = streets.groupBy("id").agg(F.array_sort(F.collect_set("name")).alias("streets"), F.min(F.struct("start", "name", "rest")).alias("s"))
     pairs = rows.filter("size(streets) BETWEEN 2 AND 4").select("id", "streets", F.explode(F.expr("flatten(transform(streets, (a, i) -> transform(slice(streets, i + 2, 4), b -> named_struct('road', a, 'other', b))))")).alias("p")).select("id", "streets", "p.*")
-    met = pairs.join(junctions, ["road", "other"], "left").groupBy("id").agg(F.bool_and(F.col("x").isNotNull()).alias("all_meet"), (F.max("x") - F.min("x")).alias("dx"), (F.max("y") - F.min("y")).alias("dy"), F.min(F.struct("road", "other", "x", "y")).alias("j"))
+    pairs = cut(pairs, "locate-pairs")
+    met = pairs.join(junctions(pairs.select("road", "other").distinct()), ["road", "other"], "left").groupBy("id").agg(F.bool_and(F.col("x").isNotNull()).alias("all_meet"), (F.max("x") - F.min("x")).alias("dx"), (F.max("y") - F.min("y")).alias("dy"), F.min(F.struct("road", "other", "x", "y")).alias("j"))
     met = met.select("id", (F.col("all_meet") & (F.greatest("dx", "dy") <= 75)).alias("meet"), F.col("j.x").alias("jx"), F.col("j.y").alias("jy"))
     single = rows.filter("size(streets) = 1").select("id", F.col("s.name").alias("name"), F.regexp_extract("s.rest", r"^ (?:nr\. |nummer )?(\d+)", 1).alias("number"))
     single = single.join(roads.select("name", F.col("outcome").alias("road"), F.col("x").alias("rx"), F.col("y").alias("ry")), "name", "left").join(addresses.select("name", F.col("number").cast("string").alias("number"), F.col("x").alias("ax"), F.col("y").alias("ay")), ["name", "number"], "left").drop("number").withColumnRenamed("name", "street")

@@ -39,8 +39,13 @@ def located_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     named = lambda df, c: df.withColumn(c, F.concat(F.lit("ringweg "), c))
     roads = named(g.street_points(spark, sf_dir), "road").select(F.col("road").alias("name"), "outcome", "x", "y")
-    j = named(named(g.road_junctions(spark, sf_dir), "road"), "other")
-    junctions = j.select(F.least("road", "other").alias("road"), F.greatest("road", "other").alias("other"), "x", "y")
+
+    def junctions(pairs):
+        """Names are ordered as text, roads as numbers."""
+        a, b = (F.replace(c, F.lit("ringweg ")).cast("bigint") for c in ("road", "other"))
+        j = named(named(g.road_junctions(spark, sf_dir, pairs.select(F.least(a, b).alias("road"), F.greatest(a, b).alias("other"))), "road"), "other")
+        return j.select(F.least("road", "other").alias("road"), F.greatest("road", "other").alias("other"), "x", "y")
+
     members = table(spark, sf_dir, "customer").select("c_custkey")
     places = g.place_groups(spark, sf_dir).join(placed(members, "c_custkey").select(F.col("c_custkey").alias("stands"), "x", "y"), "stands", "left").select(F.concat(F.lit("haus "), "name").alias("name"), "outcome", "x", "y")
     addresses = placed(members, "c_custkey").groupBy(F.concat(F.lit("ringweg "), F.expr("c_custkey div 2")).alias("name"), (F.col("c_custkey") % 9).alias("number")).agg(F.min(F.struct("x", "y")).alias("q")).select("name", "number", "q.x", "q.y")
